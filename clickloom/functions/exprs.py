@@ -22,27 +22,26 @@ def half_up_mean(total: Column, n: Column, held: int, kept: int) -> Column:
     return rounded / F.lit(float(10**kept))
 
 
-def _ties_printed_upwards() -> list[int]:
-    """Tenths t for which t + 1/2 tenths of a percent is printed as t + 1.
-
-    A share can fall exactly half-way between two tenths; the nearest double
-    then decides which of them ``format(x, ".1f")`` prints.
-    """
-    return [t for t in range(1000) if float(format((2 * t + 1) / 20, ".1f")) > t / 10]
+# A double between 2**-5 and 128 is a whole number of 2**-57 beyond its floor.
+_FRACTION_BITS = 57
+_ONE = 1 << _FRACTION_BITS
 
 
 def percent_text(part: Column, total: Column) -> Column:
-    """``part`` / ``total`` as text like ``16.2%``: the digits of
-    ``format(part * 100 / total, ".1f")``, by whole-number arithmetic."""
-    total = total.cast("bigint")
-    scaled = part.cast("bigint") * 1000
-    down = whole_div(scaled, total)
-    twice_rest = (scaled - down * total) * 2
-    up = (twice_rest > total) | ((twice_rest == total) & down.isin(_ties_printed_upwards()))
-    tenths = down + up.cast("bigint")
-    return F.concat(
-        whole_div(tenths, F.lit(10)).cast("string"),
-        F.lit("."),
-        (tenths % 10).cast("string"),
-        F.lit("%"),
-    )
+    """``part`` / ``total`` as text like ``16.2%``, the digits that
+    ``format(part * 100 / total, ".1f")`` gives in Python.
+
+    That rounds the exact value of the double, with halves to the even digit.
+    Spark's own rounding goes by the shortest decimal text of the double and
+    would print some halves differently, so the fraction is rounded here as a
+    whole number of 2**-57.
+    """
+    percent = part * 100 / total
+    whole = F.floor(percent)
+    tenfold = ((percent - whole) * float(_ONE)).cast("bigint") * 10
+    digit = F.shiftright(tenfold, _FRACTION_BITS)
+    rest = tenfold.bitwiseAND(_ONE - 1)
+    odd = digit.bitwiseAND(1)
+    up = (rest + odd > _ONE // 2).cast("bigint")
+    tenths = (whole * 10 + digit + up).cast("decimal(5,0)")
+    return F.concat((tenths * F.lit("0.1").cast("decimal(1,1)")).cast("string"), F.lit("%"))

@@ -11,18 +11,35 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
+# Rows that one task may hold in the hash table of a shuffle hash join.
+HASH_TABLE_ROWS = 5_000_000
+
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure ``df`` with one aggregate row: is it small enough to broadcast?
+    """Measure ``df``: is it small enough to broadcast?
 
-    The size counted is that of the rows as JSON text, which is more than their
-    binary form.
+    The rows are counted first and their bytes only if those are few.  Bytes are
+    those of the rows as JSON text, which is more than their binary form.
     """
+    if df.count() > max_rows:
+        return False
     size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    rows, measured = df.agg(F.count(F.lit(1)), size).first()
-    return rows <= max_rows and measured <= max_bytes
+    return df.agg(size).first()[0] <= max_bytes
+
+
+def fits_hash_tables(
+    df: DataFrame, on: Sequence[str], max_rows: int = HASH_TABLE_ROWS
+) -> bool:
+    """Would ``df``, hash-partitioned by ``on``, have no partition above ``max_rows``?
+
+    Counts the rows per shuffle partition; only the largest count is fetched.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = df.groupBy(F.pmod(F.hash(*on), F.lit(partitions))).count()
+    largest = sizes.agg(F.max("count")).first()[0]
+    return (largest or 0) <= max_rows
 
 
 def join(
@@ -31,22 +48,27 @@ def join(
     on: str | Sequence[str],
     how: str = "inner",
     strategy: str | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join; all columns and all matches of both sides are kept.
 
     ``strategy``: None leaves the choice to Spark, which goes by measured sizes
-    at run time; ``merge`` and ``shuffle_hash`` shuffle both sides, with skewed
-    partitions split by adaptive execution; ``broadcast`` first measures ``b``
-    (one small job) and sends it to every executor only if it fits, else the
-    join is left to Spark.
+    at run time; ``merge`` sorts both sides, and adaptive execution splits skewed
+    partitions.  ``broadcast`` and ``shuffle_hash`` keep rows of ``b`` in memory,
+    so ``b`` is measured first (a small job) and the join is sort-merge if it, or
+    one hot key of it, is too large for that.
     """
+    keys = [on] if isinstance(on, str) else list(on)
     if strategy is None:
-        return a.join(b, on, how)
+        return a.join(b, keys, how)
     if strategy == "broadcast":
-        return a.join(F.broadcast(b) if fits_broadcast(b, max_rows) else b, on, how)
-    if strategy in ("merge", "shuffle_hash"):
-        return a.join(b.hint(strategy), on, how)
+        fits = fits_broadcast(b, max_rows or BROADCAST_ROWS)
+        return a.join(F.broadcast(b) if fits else b, keys, how)
+    if strategy == "shuffle_hash":
+        fits = fits_hash_tables(b, keys, max_rows or HASH_TABLE_ROWS)
+        return a.join(b.hint("shuffle_hash" if fits else "merge"), keys, how)
+    if strategy == "merge":
+        return a.join(b.hint("merge"), keys, how)
     raise ValueError(f"unknown join strategy {strategy!r}")
 
 

@@ -15,7 +15,6 @@ interchangeable, and they stay together in one chunk.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +22,10 @@ from pyspark.sql import functions as F
 # Rows of one group that a single task sorts without trouble.
 HOT_GROUP_ROWS = 2_000_000
 
+# At most this many of the largest groups are treated as hot.  A group beyond
+# them holds at most a 100,000th of all rows.
+HOT_GROUPS = 100_000
+
 _CHUNK = "__chunk"
 _EDGE = "__edge"
 
@@ -36,19 +39,25 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into (rows of ordinary groups, rows of hot groups).
 
-    There are at most rows / ``hot_rows`` hot groups.  The joins carry no hint:
-    Spark broadcasts the list only while it is below its size threshold.
+    Groups are told apart by a 64-bit hash, so the list of hot ones is at most
+    ``HOT_GROUPS`` numbers, under a megabyte, and safe to broadcast.  Where two
+    groups share a hash both go the same way, which changes no result: either
+    way is right for any group as long as all its rows take it together.
     """
+    key = F.xxhash64(*group)
     hot = (
-        df.groupBy(*group)
+        df.groupBy(key.alias("__hot"))
         .agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > hot_rows)
-        .select(*[F.col(g).alias(f"__hot_{g}") for g in group])
+        .orderBy(F.desc("__rows"), "__hot")
+        .limit(HOT_GROUPS)
+        .select("__hot")
     )
-    same = reduce(
-        lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__hot_{g}")) for g in group]
+    is_hot = key == F.col("__hot")
+    return (
+        df.join(F.broadcast(hot), is_hot, "left_anti"),
+        df.join(F.broadcast(hot), is_hot, "left_semi"),
     )
-    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
 def _chunked(df: DataFrame, group: Sequence[str], order: Sequence[str | Column]) -> DataFrame:

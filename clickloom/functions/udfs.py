@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -103,10 +104,14 @@ def fold_lists(
     combined by ``merge``, so it has to be a function that splits that way, such
     as a count, a sum, a minimum or a maximum.
     """
-    return aggregate_in_batches(
-        df,
-        keys,
-        value,
-        lambda grouped: grouped.agg(lambda s: fold(s.tolist())).to_frame(out),
-        {out: (kind, merge)},
-    )
+
+    def partial(grouped: pd.core.groupby.SeriesGroupBy) -> pd.DataFrame:
+        # Lay the values out group by group and cut the list; a Series for each
+        # small group would cost far more than the function itself.
+        number = grouped.ngroup().to_numpy()
+        values = grouped.obj.to_numpy()[np.argsort(number, kind="stable")].tolist()
+        ends = np.cumsum(np.bincount(number)).tolist()
+        folded = [fold(values[a:b]) for a, b in zip([0, *ends], ends)]
+        return pd.DataFrame({out: folded}, index=grouped.size().index)
+
+    return aggregate_in_batches(df, keys, value, partial, {out: (kind, merge)})

@@ -27,26 +27,30 @@ def with_action_type(actions: DataFrame) -> DataFrame:
     return actions.withColumn("action_type", kind)
 
 
-def id_list(column: str, sep: str = ",") -> Column:
-    """A comma list as ``array<bigint>``; an id that is no number becomes NULL."""
-    return F.transform(F.split(F.col(column), sep), lambda e: e.try_cast("bigint"))
-
-
 def explode_ids(df: DataFrame, column: str, out: str = "id", sep: str = ",") -> DataFrame:
-    """One row per id of a comma list; a NULL list gives no row."""
-    return df.withColumn(out, F.explode(id_list(column, sep)))
+    """One row per id of a comma list, as ``bigint``; a NULL list gives no row and
+    an id that is no number becomes NULL."""
+    tokens = df.withColumn(out, F.explode(F.split(column, sep)))
+    return tokens.withColumn(out, F.col(out).try_cast("bigint"))
 
 
 def explode_action_ids(actions: DataFrame) -> DataFrame:
     """One row per (action, category touched): columns of ``actions``,
     ``action_type`` and ``category_id``.  Searches touch no category."""
-    typed = with_action_type(actions)
-    touched = (
-        F.when(F.col("action_type") == "click", F.array("click_category_id"))
-        .when(F.col("action_type") == "order", id_list("order_category_ids"))
-        .when(F.col("action_type") == "pay", id_list("pay_category_ids"))
+    is_click_row = F.col("action_type") == "click"
+    tokens = (
+        F.when(is_click_row, F.array(F.lit("")))
+        .when(F.col("action_type") == "order", F.split("order_category_ids", ","))
+        .when(F.col("action_type") == "pay", F.split("pay_category_ids", ","))
+    )
+    category = F.when(is_click_row, F.col("click_category_id")).otherwise(
+        F.col("category_id").try_cast("bigint")
+    )
+    return (
+        with_action_type(actions)
+        .withColumn("category_id", F.explode(tokens))
+        .withColumn("category_id", category)
     )
-    return typed.withColumn("category_id", F.explode(touched))
 
 
 def action_counts(actions: DataFrame, key: str = "category_id") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.exprs import percent_text
+from clickloom.operators.joins import fits_broadcast
 from clickloom.operators.ranking import top_k_per_group
 
 # Fixed value: the label for all cities after the second.
@@ -27,13 +28,27 @@ def star_join(actions: DataFrame, cities: DataFrame, products: DataFrame) -> Dat
     )
 
 
-def city_counts(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
-    """Clicks per (area, product_name, city_name).
+def city_counts(
+    actions: DataFrame,
+    cities: DataFrame,
+    products: DataFrame,
+    small_products: bool | None = None,
+) -> DataFrame:
+    """Clicks per (area, product_name, city_name), column ``n``.
 
-    The fact rows are counted per (city, product) before they meet the
-    dimensions, so the joins see one row per pair instead of one per click and
-    a popular product or city is no hot join key.
+    If the products fit in memory (measured unless ``small_products`` says so),
+    they are broadcast and the clicks are counted in the task that joins them:
+    one shuffle, of counts.  Otherwise the clicks would have to be shuffled by
+    product, so they are first counted per (city, product); a popular product is
+    then no hot join key, as it has one row per city.
     """
+    if small_products is None:
+        small_products = fits_broadcast(products.select("product_id", "product_name"))
+    if small_products:
+        joined = star_join(actions, cities, F.broadcast(products))
+        return joined.groupBy("area", "product_name", "city_name").agg(
+            F.count(F.lit(1)).alias("n")
+        )
     pairs = (
         actions.where(F.col("click_product_id") > -1)
         .groupBy("city_id", "click_product_id")
@@ -47,10 +62,15 @@ def city_counts(actions: DataFrame, cities: DataFrame, products: DataFrame) -> D
     )
 
 
-def area_product_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
+def area_product_clicks(
+    actions: DataFrame,
+    cities: DataFrame,
+    products: DataFrame,
+    small_products: bool | None = None,
+) -> DataFrame:
     """Clicks per (area, product_name), column ``click_count``."""
     return (
-        city_counts(actions, cities, products)
+        city_counts(actions, cities, products, small_products)
         .groupBy("area", "product_name")
         .agg(F.sum("n").alias("click_count"))
     )
@@ -124,14 +144,15 @@ def area_top_products(
     k: int = 3,
     remark: str | None = "exact",
     other: str = OTHER,
+    small_products: bool | None = None,
 ) -> DataFrame:
     """Top ``k`` products of each area by clicks: area, product_name,
     click_count, city_remark (unless ``remark`` is None), rank."""
     order = [F.desc("click_count"), F.asc("product_name")]
     if remark is None:
-        counts = area_product_clicks(actions, cities, products)
+        counts = area_product_clicks(actions, cities, products, small_products)
         return top_k_per_group(counts, ["area"], order, k)
-    counts = city_counts(actions, cities, products)
+    counts = city_counts(actions, cities, products, small_products)
     summary = share_summary(counts, ["area", "product_name"], "city_name")
     ranked = summary.withColumnRenamed("total", "click_count")
     top = top_k_per_group(ranked, ["area"], order, k).withColumnRenamed("click_count", "total")

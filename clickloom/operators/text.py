@@ -7,13 +7,21 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.ranking import top_k
 
-# Fixed value: only spaces and line ends part words; tabs and punctuation do not.
-WORD_BREAK = "[ \n\r]"
+# Only these part words; tabs and punctuation stay in the word.
+SPACE = " "
+LINE_ENDS = ("\n", "\r")
 
 
 def words(df: DataFrame, column: str = "value") -> DataFrame:
-    """One row per non-empty word, column ``word``."""
-    return df.select(F.explode(F.split(column, WORD_BREAK)).alias("word")).where("word <> ''")
+    """One row per non-empty word, column ``word``.
+
+    Line ends become spaces first: a split at one plain character needs no
+    regular expression and is the faster of the two.
+    """
+    flat = F.col(column)
+    for end in LINE_ENDS:
+        flat = F.replace(flat, F.lit(end), F.lit(SPACE))
+    return df.select(F.explode(F.split(flat, SPACE)).alias("word")).where("word <> ''")
 
 
 def word_count(df: DataFrame, column: str = "value", k: int | None = None) -> DataFrame:

@@ -88,7 +88,7 @@ share AS (
   FROM city GROUP BY area, product_name
 )
 SELECT area, product_name, click_count, rank,
-       c1 || ':' || printf('%.1f', n1 * 100.0 / click_count) || '%'
+       c1 || ':' || printf('%.1f', CAST(n1 * 100 AS DOUBLE) / click_count) || '%'
        || CASE WHEN cities > 1 THEN ',' || c2 || ':' || printf('%.1f', CAST(n2 * 100 AS DOUBLE) / click_count) || '%' ELSE '' END
        || CASE WHEN cities >= {rest} THEN ',其他:' || printf('%.1f', CAST((click_count - n1 - n2) * 100 AS DOUBLE) / click_count) || '%' ELSE '' END
        AS city_remark
@@ -260,6 +260,9 @@ _ORACLES = {
         FROM star GROUP BY area, product_name""",
     "area_top3": f"WITH {_STAR}, {_AREA_RANKED} SELECT * FROM ranked WHERE rank <= 3",
     "area_top3_remark": _REMARK.format(star=_STAR, ranked=_AREA_RANKED, lost=0, rest=3),
+    "area_top3_remark_large_products": _REMARK.format(
+        star=_STAR, ranked=_AREA_RANKED, lost=0, rest=3
+    ),
     "area_top3_remark_legacy": _REMARK.format(star=_STAR, ranked=_AREA_RANKED, lost=1, rest=2),
     "merge_replace": _pick("max_by"),
     "merge_keep": _pick("min_by"),

@@ -19,6 +19,9 @@ from clickloom.operators.ordered import (
 )
 from clickloom.operators.ranking import top_k, top_k_per_group
 
+# Fixed value: the pages whose conversion is asked for by default.
+DEFAULT_PAGES = (1, 2, 3, 4, 5, 6, 7)
+
 # A top-k list of at most this many ids is broadcast by hint.
 _TOP_BROADCAST = 10_000
 
@@ -119,7 +122,7 @@ def _page_transitions(
 
 def page_flow(
     actions: DataFrame,
-    pages: Sequence[int],
+    pages: Sequence[int] = DEFAULT_PAGES,
     adjacency: str = "filtered",
     pairs: str = "all",
     order: Sequence[str] = ("action_time",),

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.sources.readers import read_csv
+from clickloom.sources.writers import write_text
+
 # A side may be broadcast on request up to this measured size.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
@@ -72,6 +75,31 @@ def join(
     raise ValueError(f"unknown join strategy {strategy!r}")
 
 
+def join_text_files(
+    spark: SparkSession,
+    a_path: str,
+    a_columns: Sequence[str],
+    b_path: str,
+    b_columns: Sequence[str],
+    target: str,
+    strategy: str | None = None,
+    single_file: bool = False,
+) -> None:
+    """Join two comma-separated text tables by their first columns and write the
+    rows (key, rest of a, rest of b) as comma-separated text.
+
+    The first names of ``a_columns`` and ``b_columns`` must agree.
+    """
+    if a_columns[0] != b_columns[0]:
+        raise ValueError("the key has to be the first column of both tables")
+
+    def read(path: str, columns: Sequence[str]) -> DataFrame:
+        return read_csv(spark, path, ", ".join(f"`{c}` string" for c in columns))
+
+    joined = join(read(a_path, a_columns), read(b_path, b_columns), a_columns[0], "inner", strategy)
+    write_text(joined, target, single_file=single_file)
+
+
 def keep_members(df: DataFrame, column: str, members: Iterable | DataFrame) -> DataFrame:
     """Rows whose ``column`` is in a constant list, or in the column of the same
     name of another DataFrame (semi join; the list never visits the driver)."""

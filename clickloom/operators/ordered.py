@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 # Rows of one group that a single task sorts without trouble.
@@ -138,24 +138,29 @@ def next_in_group(
     )
 
 
+def _count_up_to(group: WindowSpec, order: Sequence[str | Column]) -> Column:
+    """Position in order, from 1; unlike ``row_number`` it does not end at 2**31."""
+    so_far = group.orderBy(*_as_columns(order)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return F.count(F.lit(1)).over(so_far)
+
+
 def position_plain(
     df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str
 ) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(*_as_columns(order))
-    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    return df.withColumn(out, _count_up_to(Window.partitionBy(*group), order))
 
 
 def position_in_chunks(
     df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str
 ) -> DataFrame:
-    """``position_plain`` for hot groups: row number inside the chunk plus the
-    sizes of the chunks before it."""
-    keys = _as_columns(order)
+    """``position_plain`` for hot groups: position inside the chunk plus the sizes
+    of the chunks before it."""
     chunk = Window.partitionBy(*group, _CHUNK)
-    in_chunk = chunk.orderBy(*keys)
     chunked = (
         _chunked(df, group, order)
-        .withColumn("__near", F.row_number().over(in_chunk).cast("bigint"))
+        .withColumn("__near", _count_up_to(chunk, order))
         .withColumn("__size", F.count(F.lit(1)).over(chunk))
         .withColumn(_EDGE, F.when(F.col("__near") == 1, F.lit(-1)).otherwise(F.col(_CHUNK)))
     )

@@ -123,7 +123,7 @@ def filter_clicks(spark, d):
 
 @query
 def filter_in_set(spark, d):
-    return joins.keep_members(t.visits(spark, d), "page_id", t.FLOW_PAGES).select(
+    return joins.keep_members(t.visits(spark, d), "page_id", funnel.DEFAULT_PAGES).select(
         "event_id", "session_id", "page_id"
     )
 
@@ -295,6 +295,18 @@ def join_shuffle_hash(spark, d):
     return _orders_with_customer(spark, d, "shuffle_hash")
 
 
+@query
+def join_text_files(spark, d):
+    a, b, out = (scratch_path(spark, name) for name in ("a", "b", "joined"))
+    orders = t.table(spark, d, "orders")
+    writers.write_text(orders.select("o_custkey", "o_orderkey", "o_orderpriority"), a)
+    writers.write_text(t.table(spark, d, "customer").select("c_custkey", "c_mktsegment"), b)
+    joins.join_text_files(
+        spark, a, ["custkey", "orderkey", "priority"], b, ["custkey", "segment"], out
+    )
+    return readers.read_lines(spark, out).select(F.col("value").alias("line"))
+
+
 @query
 def semi_join_topk(spark, d):
     return funnel.clicks_in_hot_categories(t.actions(spark, d)).select(
@@ -331,7 +343,7 @@ def top_k_per_group(spark, d):
 
 
 def _adjacent(spark, d, **options):
-    pages = joins.keep_members(t.visits(spark, d), "page_id", t.FLOW_PAGES)
+    pages = joins.keep_members(t.visits(spark, d), "page_id", funnel.DEFAULT_PAGES)
     pairs = funnel.adjacent_pairs(pages, ["ts", "event_id"], **options)
     return pairs.select("session_id", "event_id", "page_id", "next_page_id")
 
@@ -370,7 +382,7 @@ def category_sessions(spark, d):
 
 
 def _flow(spark, d, **options):
-    return funnel.page_flow(t.visits(spark, d), t.FLOW_PAGES, order=("ts", "event_id"), **options)
+    return funnel.page_flow(t.visits(spark, d), order=("ts", "event_id"), **options)
 
 
 @query

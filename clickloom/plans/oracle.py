@@ -214,6 +214,9 @@ _ORACLES = {
     "join_inner": _ORDERS_CUSTOMER,
     "join_broadcast": _ORDERS_CUSTOMER,
     "join_shuffle_hash": _ORDERS_CUSTOMER,
+    "join_text_files": """
+        SELECT concat_ws(',', o_custkey, o_orderkey, o_orderpriority, c_mktsegment) AS line
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
     "semi_join_topk": f"""
         WITH {_ACTIONS}, {_COUNTS}, {_TOP}
         SELECT session_id, action_time, k AS click_category_id FROM log

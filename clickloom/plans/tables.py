@@ -12,9 +12,6 @@ CLICK_EVENT = "view"
 ORDER_EVENT = "click"
 PAY_EVENT = "purchase"
 
-# The page list of the conversion queries.
-FLOW_PAGES = (1, 2, 3, 4, 5, 6, 7)
-
 
 # Stated so that opening a table needs no job to read a file footer first.
 SCHEMAS = {

@@ -38,6 +38,19 @@ def test_join_strategies_agree(tables, strategy):
     assert rows(joins.join(*tables, "key", strategy=strategy)) == JOINED
 
 
+@pytest.mark.parametrize("strategy", [None, "merge", "broadcast", "shuffle_hash"])
+def test_join_of_text_files(spark, tmp_path, strategy):
+    a, b, out = tmp_path / "a", tmp_path / "b", str(tmp_path / "out")
+    a.write_text("1,a,27\n2,b,24\n3,c,23\n4,d,21\n5,e,22\n6,f,20")
+    b.write_text("1,male\n2,female\n4,female\n5,male")
+    names = ["key", "name", "age"], ["key", "sex"]
+    joins.join_text_files(spark, str(a), names[0], str(b), names[1], out, strategy)
+    got = sorted(r.value for r in spark.read.text(out).collect())
+    assert got == ["1,a,27,male", "2,b,24,female", "4,d,21,female", "5,e,22,male"]
+    with pytest.raises(ValueError):
+        joins.join_text_files(spark, str(a), ["x", "y"], str(b), ["k"], out + "2")
+
+
 def plan_of(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this k Spark itself trims every task's rows to k per group before the
-# shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT_K = 1000
-_SALTS = 256
+# Up to this k one step is enough: Spark trims every task's rows to k per group
+# before the shuffle, so a hot group brings k rows from each task.
+ONE_STEP_K = 100
+_TASKS_PER_STEP = 1000
 
 
 def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
@@ -18,32 +18,30 @@ def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def _first(
+    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], k: int, rank: str
+) -> DataFrame:
+    w = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
+
+
 def top_k_per_group(
     df: DataFrame,
     group: Sequence[str],
     order: Sequence[str | Column],
     k: int,
     rank: str = "rank",
-    limit_k: int = GROUP_LIMIT_K,
+    one_step_k: int = ONE_STEP_K,
 ) -> DataFrame:
     """The first ``k`` rows of each group with their ``rank`` (bigint, from 1).
 
-    For a small ``k`` a hot group shrinks to ``k`` rows per task before it is
-    shuffled.  For a larger one the group is first ranked in salted parts; the
-    best ``k`` of a group are among the best ``k`` of its parts.
+    For a large ``k`` the rows of a hot group would still be many, so they are
+    cut down in steps: the best ``k`` of each input task, then of each thousand
+    tasks, then of the group.  The best ``k`` of a group are among those.
     """
-    if k > limit_k:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
-        part = Window.partitionBy(*group, "__salt").orderBy(*order)
-        df = (
-            df.withColumn("__salt", salt)
-            .withColumn("__part_rank", F.row_number().over(part))
-            .where(F.col("__part_rank") <= k)
-            .drop("__salt", "__part_rank")
-        )
-    w = Window.partitionBy(*group).orderBy(*order)
-    return (
-        df.withColumn(rank, F.row_number().over(w))
-        .where(F.col(rank) <= k)
-        .withColumn(rank, F.col(rank).cast("bigint"))
-    )
+    if k > one_step_k:
+        df = df.withColumn("__task", F.spark_partition_id())
+        df = _first(df, [*group, "__task"], order, k, rank).drop(rank)
+        df = df.withColumn("__task", F.floor(F.col("__task") / F.lit(_TASKS_PER_STEP)))
+        df = _first(df, [*group, "__task"], order, k, rank).drop(rank, "__task")
+    return _first(df, group, order, k, rank).withColumn(rank, F.col(rank).cast("bigint"))

@@ -342,6 +342,14 @@ def top_k_per_group(spark, d):
     return ranking.top_k_per_group(items, ["l_suppkey"], order, 3)
 
 
+@query
+def top_k_per_group_steps(spark, d):
+    """As ``top_k_per_group`` with a k for which groups are cut down in steps."""
+    items = t.table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
+    return ranking.top_k_per_group(items, ["o_orderstatus"], order, 500)
+
+
 def _adjacent(spark, d, **options):
     pages = joins.keep_members(t.visits(spark, d), "page_id", funnel.DEFAULT_PAGES)
     pairs = funnel.adjacent_pairs(pages, ["ts", "event_id"], **options)

@@ -232,6 +232,13 @@ _ORACLES = {
                    ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank
           FROM lineitem)
         WHERE rank <= 3""",
+    "top_k_per_group_steps": """
+        SELECT * FROM (
+          SELECT o_orderstatus, o_orderkey, o_totalprice,
+                 row_number() OVER (PARTITION BY o_orderstatus
+                   ORDER BY o_totalprice DESC, o_orderkey) AS rank
+          FROM orders)
+        WHERE rank <= 500""",
     "adjacent_pairs": _ADJACENT,
     "adjacent_pairs_split": _ADJACENT,
     "session_path": _PATH,

@@ -111,12 +111,12 @@ def test_union_all_keeps_copies(spark):
     assert sorted((r.k, r.a or "") for r in got) == [(1, ""), (1, ""), (1, "x")]
 
 
-@pytest.mark.parametrize("limit_k", [1000, 2])
-def test_top_k_per_group(spark, limit_k):
+@pytest.mark.parametrize("one_step_k", [100, 2])
+def test_top_k_per_group(spark, one_step_k):
     rng = random.Random(1)
     data = [(rng.choice("aaab"), rng.randrange(20), i) for i in range(300)]
     df = spark.createDataFrame(data, "g string, v bigint, id bigint").repartition(4)
-    got = ranking.top_k_per_group(df, ["g"], [F.desc("v"), F.asc("id")], 5, limit_k=limit_k)
+    got = ranking.top_k_per_group(df, ["g"], [F.desc("v"), F.asc("id")], 5, one_step_k=one_step_k)
     want = []
     for g in "ab":
         best = sorted((r for r in data if r[0] == g), key=lambda r: (-r[1], r[2]))[:5]

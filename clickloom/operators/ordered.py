@@ -9,7 +9,8 @@ give the same answer.  When no group is hot, adaptive execution sees the empty
 list of hot groups and drops the second way before it runs.
 
 ``order`` has to be total within a group.  Rows that tie in it must be
-interchangeable, and they stay together in one chunk.
+interchangeable, and they stay together in one chunk.  The input is computed more
+than once and has to give the same rows each time.
 """
 
 from __future__ import annotations

@@ -180,6 +180,11 @@ def charge_summary(spark, d):
     )
 
 
+@query
+def charge_summary_plain(spark, d):
+    return summary.charge_summary(t.table(spark, d, "lineitem"), "l_suppkey", "l_quantity")
+
+
 @query
 def action_counts(spark, d):
     return act.action_counts(t.actions(spark, d))
@@ -351,8 +356,7 @@ def top_k_per_group_steps(spark, d):
 
 
 def _adjacent(spark, d, **options):
-    pages = joins.keep_members(t.visits(spark, d), "page_id", funnel.DEFAULT_PAGES)
-    pairs = funnel.adjacent_pairs(pages, ["ts", "event_id"], **options)
+    pairs = funnel.adjacent_pairs(t.visits(spark, d), ["ts", "event_id"], **options)
     return pairs.select("session_id", "event_id", "page_id", "next_page_id")
 
 
@@ -363,7 +367,7 @@ def adjacent_pairs(spark, d):
 
 @query
 def adjacent_pairs_split(spark, d):
-    return _adjacent(spark, d, hot_rows=4)
+    return _adjacent(spark, d, hot_rows=SPLIT_ROWS)
 
 
 @query

@@ -112,7 +112,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY {order}) AS p
 GROUP BY 1, 2"""
 
 _ADJACENT = (
-    f"WITH {_NEXT.format(where='WHERE page_id BETWEEN 1 AND 7')} "
+    f"WITH {_NEXT.format(where='')} "
     "SELECT session_id, event_id, page_id, next_page_id FROM step WHERE next_page_id IS NOT NULL"
 )
 
@@ -195,6 +195,12 @@ _ORACLES = {
     "keyed_sum": "SELECT l_suppkey, sum(l_quantity) AS total FROM lineitem GROUP BY l_suppkey",
     "global_sum": "SELECT sum(l_quantity) AS total FROM lineitem",
     "charge_summary": _CENTS,
+    # Rounds the shortest decimal text of the mean half up, as Spark does.
+    "charge_summary_plain": """
+        SELECT l_suppkey, max(l_quantity) AS max_duration,
+               CAST(round(CAST(CAST(avg(l_quantity) AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE)
+               AS avg_duration
+        FROM lineitem GROUP BY l_suppkey""",
     "action_counts": f"WITH {_ACTIONS}, {_COUNTS} SELECT * FROM counts",
     "full_outer_counts": f"WITH {_ACTIONS}, {_COUNTS} SELECT * FROM counts",
     "collect_list_agg": _LISTS.format(

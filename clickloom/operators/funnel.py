@@ -14,7 +14,7 @@ from clickloom.operators.ordered import (
     next_in_chunks,
     next_in_group,
     next_plain,
-    position_in_group,
+    ordered_rows,
     split_hot,
 )
 from clickloom.operators.ranking import top_k, top_k_per_group
@@ -71,14 +71,16 @@ def adjacent_pairs(
 
 def session_path(
     actions: DataFrame,
-    order: Sequence[str | Column],
+    order: Sequence[str] = ("action_time",),
     session: str = "session_id",
     page: str = "page_id",
     hot_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """The page path of each session as rows (session, step, page), step from 1."""
-    steps = position_in_group(actions, [session], order, "step", hot_rows)
-    return steps.select(session, "step", page)
+    """The page path of each session as rows (session, step, page), step from 1.
+
+    Visits that tie in ``order`` come by page id.
+    """
+    return ordered_rows(actions, [session], page, list(order), "step", hot_rows)
 
 
 def _page_transitions(

@@ -20,6 +20,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from clickloom.functions.exprs import whole_div
+
 # Rows of one group that a single task sorts without trouble.
 HOT_GROUP_ROWS = 2_000_000
 
@@ -139,31 +141,40 @@ def next_in_group(
     )
 
 
-def _count_up_to(group: WindowSpec, order: Sequence[str | Column]) -> Column:
-    """Position in order, from 1; unlike ``row_number`` it does not end at 2**31."""
+def _up_to(weight: Column, group: WindowSpec, order: Sequence[str | Column]) -> Column:
+    """Sum of ``weight`` up to and including the row, in order."""
     so_far = group.orderBy(*_as_columns(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return F.count(F.lit(1)).over(so_far)
+    return F.sum(weight).over(so_far)
 
 
 def position_plain(
     df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str
 ) -> DataFrame:
-    return df.withColumn(out, _count_up_to(Window.partitionBy(*group), order))
+    return df.withColumn(out, _up_to(F.lit(1).cast("bigint"), Window.partitionBy(*group), order))
 
 
 def position_in_chunks(
-    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], out: str
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str | Column],
+    out: str,
+    copies: str | None = None,
 ) -> DataFrame:
     """``position_plain`` for hot groups: position inside the chunk plus the sizes
-    of the chunks before it."""
+    of the chunks before it.
+
+    A row may stand for ``copies`` equal ones; it gets the position of the last.
+    """
     chunk = Window.partitionBy(*group, _CHUNK)
+    weight = F.col(copies) if copies else F.lit(1).cast("bigint")
     chunked = (
         _chunked(df, group, order)
-        .withColumn("__near", _count_up_to(chunk, order))
-        .withColumn("__size", F.count(F.lit(1)).over(chunk))
-        .withColumn(_EDGE, F.when(F.col("__near") == 1, F.lit(-1)).otherwise(F.col(_CHUNK)))
+        .withColumn("__near", _up_to(weight, chunk, order))
+        .withColumn("__size", F.sum(weight).over(chunk))
+        .withColumn("__first", F.col("__near") == weight)
+        .withColumn(_EDGE, F.when(F.col("__first"), F.lit(-1)).otherwise(F.col(_CHUNK)))
     )
     before = (
         Window.partitionBy(*group, _EDGE)
@@ -173,7 +184,7 @@ def position_in_chunks(
     return (
         chunked.withColumn(
             "__before",
-            F.when(F.col(_EDGE) == -1, F.coalesce(F.sum("__size").over(before), F.lit(0))),
+            F.when(F.col("__first"), F.coalesce(F.sum("__size").over(before), F.lit(0))),
         )
         .withColumn(out, F.col("__near") + F.max("__before").over(chunk))
         .select(*df.columns, out)
@@ -197,11 +208,49 @@ def position_in_group(
     )
 
 
+def _lists_plain(
+    df: DataFrame, group: Sequence[str], value: str, order: Sequence[str], out: str, list_rows: int
+) -> DataFrame:
+    placed = position_plain(df, group, order, "__pos")
+    part = whole_div(F.col("__pos") - 1, F.lit(list_rows)).alias("part")
+    return (
+        placed.groupBy(*group, part)
+        .agg(F.sort_array(F.collect_list(F.struct("__pos", F.col(value).alias("v")))).alias("l"))
+        .select(*group, "part", F.transform("l", lambda e: e["v"]).alias(out))
+    )
+
+
+def _lists_of_runs(
+    df: DataFrame, group: Sequence[str], value: str, order: Sequence[str], out: str, list_rows: int
+) -> DataFrame:
+    """``_lists_plain`` for hot groups.  Equal rows are merged first; a run of them
+    is cut where a part ends, and written out only inside its part."""
+    columns = list(dict.fromkeys([*group, *order]))
+    runs = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    size = F.lit(list_rows).cast("bigint")
+    end = F.col("__end")
+    start = end - F.col("__n")
+    parts = F.sequence(whole_div(start, size), whole_div(end - 1, size))
+    inside = F.least(end, (F.col("part") + 1) * size) - F.greatest(start, F.col("part") * size)
+    return (
+        position_in_chunks(runs, group, order, "__end", "__n")
+        .withColumn("part", F.explode(parts))
+        .withColumn("__m", inside.cast("int"))
+        .groupBy(*group, "part")
+        .agg(F.sort_array(F.collect_list(F.struct("__end", F.col(value).alias("v"), "__m"))).alias("l"))
+        .select(
+            *group,
+            "part",
+            F.flatten(F.transform("l", lambda e: F.array_repeat(e["v"], e["__m"]))).alias(out),
+        )
+    )
+
+
 def ordered_lists(
     df: DataFrame,
     group: Sequence[str],
     value: str,
-    order: Sequence[str | Column],
+    order: Sequence[str],
     out: str = "values",
     list_rows: int = 10_000,
     hot_rows: int | None = HOT_GROUP_ROWS,
@@ -210,12 +259,45 @@ def ordered_lists(
 
     Columns: the group, ``part`` (0, 1, 2 …) and ``out``.  A group that fits has
     one row, part 0; a larger one continues in the following parts, so no row
-    and no task has to hold a whole group.
+    and no task has to hold a whole group.  Rows that tie in ``order`` come by
+    value, so the order need not be unique here, and any number of equal rows is
+    no burden.
     """
-    placed = position_in_group(df, group, order, "__pos", hot_rows)
-    part = F.floor((F.col("__pos") - 1) / F.lit(list_rows)).cast("bigint").alias("part")
-    return (
-        placed.groupBy(*group, part)
-        .agg(F.sort_array(F.collect_list(F.struct("__pos", F.col(value).alias("v")))).alias("__list"))
-        .select(*group, "part", F.transform("__list", lambda e: e["v"]).alias(out))
+    by = list(dict.fromkeys([*order, value]))
+    return _both_ways(
+        df.select(*dict.fromkeys([*group, *by])),
+        group,
+        hot_rows,
+        lambda part: _lists_plain(part, group, value, by, out, list_rows),
+        lambda part: _lists_of_runs(part, group, value, by, out, list_rows),
+    )
+
+
+def ordered_rows(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    order: Sequence[str],
+    out: str = "position",
+    hot_rows: int | None = HOT_GROUP_ROWS,
+) -> DataFrame:
+    """Rows (group, ``out``, value) with ``out`` counting 1, 2, 3 … within the group.
+
+    The long form of ``ordered_lists``, with the same order.
+    """
+    by = list(dict.fromkeys([*order, value]))
+    list_rows = 10_000
+
+    def split(part: DataFrame) -> DataFrame:
+        lists = _lists_of_runs(part, group, value, by, "__list", list_rows)
+        elements = lists.select(*group, "part", F.posexplode("__list").alias("__i", value))
+        position = F.col("part") * list_rows + F.col("__i") + 1
+        return elements.select(*group, position.alias(out), value)
+
+    return _both_ways(
+        df.select(*dict.fromkeys([*group, *by])),
+        group,
+        hot_rows,
+        lambda part: position_plain(part, group, by, out).select(*group, out, value),
+        split,
     )

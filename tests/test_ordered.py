@@ -112,6 +112,43 @@ def test_lists_come_in_parts(spark, many_chunks, hot_rows):
     assert got == want
 
 
+@pytest.mark.parametrize("hot_rows", [None, 0, 90])
+@pytest.mark.parametrize("list_rows", [1, 7, 1000])
+def test_lists_and_rows_with_many_copies(spark, many_chunks, hot_rows, list_rows):
+    """Times tie, and a third of all rows are copies of one."""
+    rng = random.Random(10)
+    rows = [(rng.choice("aab"), rng.randrange(9), rng.choice([None, 1, 2])) for _ in range(200)]
+    rows += [("a", 4, 2)] * 100
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, t bigint, v bigint").repartition(4)
+    want = defaultdict(list)
+    for g, _, v in sorted(rows, key=lambda r: (r[0], r[1], r[2] or 0)):
+        want[g].append(v)
+
+    got = defaultdict(list)
+    lists = ordered.ordered_lists(df, ["g"], "v", ["t"], list_rows=list_rows, hot_rows=hot_rows)
+    for row in sorted(lists.collect(), key=lambda r: (r.g, r.part)):
+        assert row.part * list_rows == len(got[row.g])
+        assert len(row["values"]) <= list_rows
+        got[row.g] += row["values"]
+    assert got == want
+
+    placed = ordered.ordered_rows(df, ["g"], "v", ["t"], "pos", hot_rows).collect()
+    assert sorted(r.pos for r in placed) == sorted(
+        i for values in want.values() for i in range(1, len(values) + 1)
+    )
+    assert all(want[r.g][r.pos - 1] == r.v for r in placed)
+
+
+def test_long_runs_cross_many_parts(spark, many_chunks):
+    df = spark.range(25_000).select(F.lit("a").alias("g"), F.lit(1).alias("t"), F.lit("x").alias("v"))
+    df = df.union(spark.createDataFrame([("a", 0, "w"), ("a", 2, "z")], df.schema))
+    out = ordered.ordered_rows(df, ["g"], "v", ["t"], "pos", hot_rows=0)
+    assert out.count() == out.select("pos").distinct().count() == 25_002
+    ends = out.where("v <> 'x'").collect()
+    assert sorted((r.pos, r.v) for r in ends) == [(1, "w"), (25_002, "z")]
+
+
 def flow_by_hand(rows, pages, adjacency, order):
     visits, jumps = Counter(), Counter()
     sessions = defaultdict(list)

@@ -96,30 +96,26 @@ def _page_transitions(
     columns = list(dict.fromkeys([session, *sort_by]))
     visits = visits.select(*columns)
 
-    def plain(rows: DataFrame) -> DataFrame:
-        runs = rows.withColumn("copies", F.lit(1).cast("bigint"))
-        return next_plain(runs, [session], sort_by, page, "next_page")
+    def steps(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col(page).alias("page"), "next_page", F.lit(1).alias("n"))
+
+    def steps_of_runs(rows: DataFrame) -> DataFrame:
+        onward = F.struct(F.col("next_page").alias("to"), F.lit(1).alias("n"))
+        onto_itself = F.struct(F.col(page).alias("to"), (F.col("copies") - 1).alias("n"))
+        made = rows.select(
+            F.col(page).alias("page"), F.explode(F.array(onward, onto_itself)).alias("step")
+        )
+        return made.select("page", F.col("step.to").alias("next_page"), "step.n").where("n > 0")
 
     if hot_rows is None:
-        runs = plain(visits)
+        made = steps(next_plain(visits, [session], sort_by, page, "next_page"))
     else:
         usual, hot = split_hot(visits, [session], hot_rows)
-        merged = hot.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
-        chunked = next_in_chunks(merged, [session], sort_by, page, "next_page")
-        runs = plain(usual).unionByName(chunked)
-
-    counted = runs.groupBy(F.col(page).alias("page"), "next_page").agg(
-        F.count(F.lit(1)).alias("steps"), F.sum(F.col("copies") - 1).alias("repeats")
-    )
-    # From here on there is one row per page pair.
-    onward = F.struct(F.col("next_page").alias("next_page"), F.col("steps").alias("n"))
-    onto_itself = F.struct(F.col("page").alias("next_page"), F.col("repeats").alias("n"))
-    return (
-        counted.select("page", F.explode(F.array(onward, onto_itself)).alias("t"))
-        .where(F.col("t.n") > 0)
-        .groupBy("page", F.col("t.next_page").alias("next_page"))
-        .agg(F.sum("t.n").alias("n"))
-    )
+        runs = hot.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+        made = steps(next_plain(usual, [session], sort_by, page, "next_page")).unionByName(
+            steps_of_runs(next_in_chunks(runs, [session], sort_by, page, "next_page"))
+        )
+    return made.groupBy("page", "next_page").agg(F.sum("n").alias("n"))
 
 
 def page_flow(

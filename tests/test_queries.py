@@ -84,6 +84,24 @@ def test_clicks_in_hot_categories(actions):
     assert funnel.clicks_in_hot_categories(actions, 1).count() == 3
 
 
+def test_long_lists_of_hot_categories_are_not_broadcast_by_hint(actions, monkeypatch):
+    want = rows(funnel.clicks_in_hot_categories(actions, 2))
+    monkeypatch.setattr(funnel, "_TOP_BROADCAST", 0)
+    assert rows(funnel.clicks_in_hot_categories(actions, 2)) == want
+
+
+def test_shares_add_up(spark, actions):
+    counts = spark.createDataFrame(
+        [("g", f"c{i}", i + 1) for i in range(9)] + [("h", "x", 3), ("h", "y", 4)],
+        "g string, city string, n bigint",
+    )
+    total = {r.g: r.total for r in sales.share_summary(counts, ["g"], "city").collect()}
+    assert total == {"g": 45, "h": 7}
+    for row in sales.share_remark(counts, ["g"], "city").collect():
+        shares = [float(part.split(":")[1].rstrip("%")) for part in row.remark.split(",")]
+        assert abs(sum(shares) - 100) < 0.2
+
+
 def test_page_flow_modes(actions):
     pages = [3, 5, 6]
     assert rows(funnel.page_flow(actions, pages)) == [

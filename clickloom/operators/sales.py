@@ -36,27 +36,26 @@ def city_counts(
 ) -> DataFrame:
     """Clicks per (area, product_name, city_name), column ``n``.
 
-    If the products fit in memory (measured unless ``small_products`` says so),
-    they are broadcast and the clicks are counted in the task that joins them:
-    one shuffle, of counts.  Otherwise the clicks would have to be shuffled by
-    product, so they are first counted per (city, product); a popular product is
-    then no hot join key, as it has one row per city.
+    Clicks are counted per city id and product before they meet the cities.  If
+    the products fit in memory (measured unless ``small_products`` says so), they
+    are broadcast and the task that joins them counts: only counts are shuffled.
+    Otherwise the clicks would have to be shuffled by product, so they are counted
+    per (city, product) first; a popular product is then no hot join key, as it
+    has one row per city.
     """
+    chosen = actions.where(F.col("click_product_id") > -1).select("city_id", "click_product_id")
+    products = products.select("product_id", "product_name")
+    is_same = F.col("click_product_id") == F.col("product_id")
     if small_products is None:
-        small_products = fits_broadcast(products.select("product_id", "product_name"))
+        small_products = fits_broadcast(products)
     if small_products:
-        joined = star_join(actions, cities, F.broadcast(products))
-        return joined.groupBy("area", "product_name", "city_name").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-    pairs = (
-        actions.where(F.col("click_product_id") > -1)
-        .groupBy("city_id", "click_product_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+        named = chosen.join(F.broadcast(products), is_same)
+        counts = named.groupBy("city_id", "product_name").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        pairs = chosen.groupBy("city_id", "click_product_id").agg(F.count(F.lit(1)).alias("n"))
+        counts = pairs.join(products, is_same)
     return (
-        pairs.join(cities, "city_id")
-        .join(products, F.col("click_product_id") == F.col("product_id"))
+        counts.join(cities, "city_id")
         .groupBy("area", "product_name", "city_name")
         .agg(F.sum("n").alias("n"))
     )

@@ -63,7 +63,7 @@ def needed(size: int, threshold: float) -> int:
 
 
 def _sized(hashes: np.ndarray, size: int) -> np.ndarray:
-    return mixed(hashes + np.uint64(size) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed(hashes + np.uint64(size * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
 
 
 def fingerprints(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:

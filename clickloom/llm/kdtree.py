@@ -79,26 +79,50 @@ def sharded(
         rows = rows.withColumn(f"_d{i}", F.coalesce(F.greatest(F.lit(0), F.least(at, F.lit(2**GRID - 1))), F.lit(0)).cast("long"))
     # Ties: by content, and only among repeated rows by where they were read.
     tie = F.xxhash64("doc_id", "place").bitwiseAND(F.lit(2**20 - 1)) * F.lit(1 << 10)
-    rows = rows.withColumn("_tie", tie + F.xxhash64("_row").bitwiseAND(F.lit(2**10 - 1))).withColumn("_node", F.lit(0))
-    nodes = {0: _Node(shards, 0)}
+    rows = rows.withColumn("_tie", tie + F.xxhash64("_row").bitwiseAND(F.lit(2**10 - 1)))
+    rows = rows.withColumn("_dims", F.array(*[f"_d{i}" for i in dims]))
+    nodes, cuts = {0: _Node(shards, 0)}, {}
     target = (ends["bytes"] or 0) / shards
     while ends["n"] and any(n.shards > 1 for n in nodes.values()):
-        rows, nodes = _split(rows, nodes, len(dimensions), slack * target)
-    first = F.lit(0)
-    if nodes:
-        table = F.create_map(*[F.lit(x) for k, n in sorted(nodes.items()) for x in (k, n.first)])
-        first = F.element_at(table, F.col("_node"))
+        parting = {k for k, n in nodes.items() if n.shards > 1}
+        cuts |= _level(rows.withColumn("_node", _node(cuts)), {k: nodes[k] for k in parting}, len(dimensions), slack * target)
+        nodes = _children(nodes, parting)
+    first = _cases(_node(cuts), {k: n.first for k, n in nodes.items()})
     placed = rows.select("doc_id", "size", "text_crc32", first.alias("shard"), "_row", "place")
     return _slotted(placed, ends["n"])
 
 
-def _cases(key: str, values: dict[int, int]) -> Column:
-    return F.element_at(F.create_map(*[F.lit(x) for k, v in sorted(values.items()) for x in (k, F.lit(v).cast("long"))]), F.col(key))
+def _cases(key: Column, values: dict[int, int]) -> Column:
+    """A look-up in a map as small as the tree; null where it has no entry."""
+    if not values:
+        return F.lit(None).cast("long")
+    pairs = [F.lit(x).cast(t) for k, v in sorted(values.items()) for x, t in ((k, "int"), (v, "long"))]
+    return F.try_element_at(F.create_map(*pairs), key)
+
+
+def _key(dim: Column) -> Column:
+    return F.get("_dims", dim) * F.lit(1 << TIES) + F.col("_tie")
+
+
+def _node(cuts: dict[int, tuple[int, int]]) -> Column:
+    """The node of a row below the ``cuts`` (dimension, key) of the nodes above: 2n + 1 to
+    the left of node n, 2n + 2 to the right.  One step for each level of the tree."""
+    if not cuts:
+        return F.lit(0)
+    depth = (max(cuts) + 1).bit_length()
+    dim = {k: d for k, (d, _) in cuts.items()}
+    cut = {k: c for k, (_, c) in cuts.items()}
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(depth)),
+        F.lit(0),
+        lambda node, _: F.when(_cases(node, cut).isNull(), node)
+        .when(_key(_cases(node, dim).cast("int")) < _cases(node, cut), 2 * node + 1)
+        .otherwise(2 * node + 2),
+    )
 
 
-def _split(rows: DataFrame, nodes: dict[int, _Node], dims: int, enough: float) -> tuple[DataFrame, dict[int, _Node]]:
-    """One level down: each node of two shards or more becomes two."""
-    parting = {k for k, n in nodes.items() if n.shards > 1}
+def _level(rows: DataFrame, parting: dict[int, _Node], dims: int, enough: float) -> dict[int, tuple[int, int]]:
+    """Dimension and cut of each node in ``parting``; of an empty node, any."""
     open_ = rows.where(F.col("_node").isin(*parting))
     extents = {
         r["_node"]: r
@@ -110,48 +134,36 @@ def _split(rows: DataFrame, nodes: dict[int, _Node], dims: int, enough: float) -
         .collect()
     }
     widest = {k: max(range(dims), key=lambda i: (r[f"hi{i}"] - r[f"lo{i}"], -i)) for k, r in extents.items()}
-    if not widest:  # only empty nodes are left to split
-        return rows, _children(nodes, parting)
-    which = _cases("_node", widest)
-    value = F.lit(None).cast("long")
-    for i in range(dims):
-        value = F.when(which == i, F.col(f"_d{i}")).otherwise(value)
-    key = (value * F.lit(1 << TIES) + F.col("_tie")).alias("_key")
     # Of each node: bytes wanted to the left, the range that holds the cut, bytes below it.
-    want = {k: r["bytes"] * (nodes[k].shards // 2) / nodes[k].shards for k, r in extents.items()}
+    want = {k: r["bytes"] * (parting[k].shards // 2) / parting[k].shards for k, r in extents.items()}
     low = {k: r[f"lo{widest[k]}"] << TIES for k, r in extents.items()}
     high = {k: (r[f"hi{widest[k]}"] + 1) << TIES for k, r in extents.items()}
     below = dict.fromkeys(extents, 0)
     cut: dict[int, int] = {}
-    keyed = open_.select("_node", "size", key)
+    node = F.col("_node")
+    keyed = open_.select("_node", "size", _key(_cases(node, widest).cast("int")).alias("_key"))
     while len(cut) < len(extents):
         todo = [k for k in extents if k not in cut]
         width = {k: -(-(high[k] - low[k]) // BINS) for k in todo}
-        part = keyed.where(F.col("_node").isin(*todo))
-        lo, hi, w = (_cases("_node", {k: v[k] for k in todo}) for v in (low, high, width))
-        part = part.where((F.col("_key") >= lo) & (F.col("_key") < hi))
-        bins = part.groupBy("_node", F.floor((F.col("_key") - lo) / w).alias("bin"))
-        got = bins.agg(F.sum("size").alias("bytes")).collect()
+        lo, hi, w = (_cases(node, {k: v[k] for k in todo}) for v in (low, high, width))
+        part = keyed.where(node.isin(*todo) & (F.col("_key") >= lo) & (F.col("_key") < hi))
+        bin_ = F.expr("(_key - _lo) div _width")
+        bins = part.withColumn("_lo", lo).withColumn("_width", w).groupBy("_node", bin_.alias("bin"))
+        got = {}
+        for r in bins.agg(F.sum("size").alias("bytes")).collect():
+            got.setdefault(r["_node"], []).append((r["bin"], r["bytes"]))
         for k in todo:
-            mine = sorted((int(r["bin"]), r["bytes"]) for r in got if r["_node"] == k)
-            total = below[k]
-            for b, size in mine:
+            total, b, size = below[k], 0, 0
+            for b, size in sorted(got.get(k, [])):
                 if total + size >= want[k]:
                     break
                 total += size
-            else:
-                b, size = (mine[-1][0] + 1, 0) if mine else (0, 0)
             edge = low[k] + b * width[k]
             if size <= enough or width[k] == 1:
-                over = total + size - want[k]
-                cut[k] = edge + width[k] if over < want[k] - total else edge
+                cut[k] = edge + width[k] if total + size - want[k] < want[k] - total else edge
             else:
                 low[k], high[k], below[k] = edge, min(edge + width[k], high[k]), total
-    left = F.when(key < _cases("_node", cut), 2 * F.col("_node") + 1).otherwise(2 * F.col("_node") + 2)
-    moved = rows.withColumn(
-        "_node", F.when(F.col("_node").isin(*cut), left).otherwise(F.col("_node")).cast("int")
-    )
-    return moved, _children(nodes, parting)
+    return {k: (widest.get(k, 0), cut.get(k, 0)) for k in parting}
 
 
 def _children(nodes: dict[int, _Node], parting: set[int]) -> dict[int, _Node]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"[x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> '']"
 
 OP2 = rf"""
 WITH d AS (
@@ -23,7 +23,7 @@ WITH d AS (
   SELECT r, count(*) - count(DISTINCT line) AS n FROM raw GROUP BY r
 ), lines AS (
   SELECT r, host, text, lower(array_to_string(p, ' ')) AS line, len(p) AS words
-  FROM (SELECT r, host, text, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), x -> x <> '') AS p FROM raw)
+  FROM (SELECT r, host, text, [x FOR x IN string_split_regex(line, '[\x20\x09-\x0D]+') IF x <> ''] AS p FROM raw)
 ), hosts AS (
   SELECT host, count(DISTINCT text) AS n_texts FROM d GROUP BY host
 ), common AS (

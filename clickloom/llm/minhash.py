@@ -1,9 +1,10 @@
 """Near duplicates by MinHash with tensored banding.
 
 ``collections`` small collections of ``rows`` minhashes each are computed; a table key
-joins two of them.  So 12 collections of 2 give 66 tables of 4 minhashes from 24
-minhashes instead of 264.  A pair of similarity 0.8 misses all tables with probability
-1e-4, one of 0.85 with 1e-5.
+joins two of them.  So 18 collections of 4 give 153 tables of 8 minhashes from 72
+minhashes instead of 1,224.  A pair of similarity 0.8 misses all tables with probability
+1e-3, one of 0.85 with 4e-5.  Texts that share a passage only, of similarity 0.3, meet
+in one pair of a hundred.
 
 Texts with equal shingle sets form one class, and only classes are compared.  A
 collection value that no other class has is dropped before keys are formed.  In a table
@@ -12,8 +13,8 @@ verified links are joined into components between the rounds, so a bucket of tho
 of near copies costs one comparison each.  Small rests (``small`` or fewer) are then
 compared with each other where their components still differ, larger ones get more
 pivots in the next round, until no bucket has two components with an untested pair:
-every pair that shares a bucket is either in one component or was compared on its full
-sets of words.  No group meets in one task, and nothing is collected.
+every pair that shares a bucket is in one component, or of sizes too different for the
+similarity, or was compared on its full sets of words.  No group meets in one task, and nothing is collected.
 
 Texts without words, and null texts, are linked with nothing.  Rows with equal text are
 in one component whatever their ids; a null ``doc_id`` is never a component's id unless
@@ -41,7 +42,7 @@ from clickloom.llm.common import (
     written,
 )
 
-COLLECTIONS, ROWS, SHINGLE = 12, 2, 5
+COLLECTIONS, ROWS, SHINGLE = 18, 4, 5
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -197,7 +198,10 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
     texts = written(
         texts_of(docs, classes.join(members, "class").select("class", "doc_id", "place"), size), "texts"
     )
-    labels = written(members.withColumn("label", F.col("class")), "labels")
+    labels = written(classes.join(members, "class").select("class", F.col("class").alias("label"), "n_shingles"), "labels")
+    # Sets of sizes this far apart cannot be similar enough.
+    alike = f"least(n_shingles, size_a) * 100 >= greatest(n_shingles, size_a) * {percent}"
+    named_a = {"class": "a", "label": "label_a", "n_shingles": "size_a"}
     tested = None
     step = 0
     while True:
@@ -210,20 +214,22 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         released(active)
         if rest.limit(1).count() == 0:
             released(rest), released(texts)
-            return labels
+            return labels.select("class", "label")
         # In the first round every bucket compares its first class with the others.
         few = rest.where(F.lit(step > 0) & (F.col("n") <= small))
         many = rest.where(F.lit(step == 0) | (F.col("n") > small))
         part = F.pmod(F.xxhash64("class"), F.lit(16**step if step < 4 else 16**4))
         pivots = written(many.groupBy("bucket", part.alias("part")).agg(F.min("class").alias("a")), "pivots")
-        first = pivots.join(labels.select(F.col("class").alias("a"), F.col("label").alias("label_a")), "a")
+        first = pivots.join(labels.withColumnsRenamed(named_a), "a")
         from_pivots = (
             many.join(first, "bucket")
             .where("label <> label_a")
+            .where(alike)
             .select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b"))
         )
-        other = few.select("bucket", F.col("class").alias("a"), F.col("label").alias("label_a"))
-        among = few.join(other, "bucket").where("a < class and label <> label_a").select("a", F.col("class").alias("b"))
+        other = few.withColumnsRenamed(named_a).select("bucket", *named_a.values())
+        among = few.join(other, "bucket").where("a < class and label <> label_a").where(alike)
+        among = among.select("a", F.col("class").alias("b"))
         pairs = from_pivots.union(among).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -236,7 +242,7 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b"))
         labels = written(
             labels.join(joined.withColumnRenamed("label", "low"), labels.label == joined.node, "left").select(
-                "class", F.coalesce("low", "label").alias("label")
+                "class", F.coalesce("low", "label").alias("label"), "n_shingles"
             ),
             "labels",
         )
@@ -262,8 +268,9 @@ def near_duplicates(
             F.min(F.struct("doc_id", "place")).alias("first"),
             F.min("doc_id").alias("least"),
             F.first("u").alias("u"),
+            F.first("n_shingles").alias("n_shingles"),
         )
-        .select("class", F.col("first.doc_id").alias("doc_id"), F.col("first.place").alias("place"), "least", "u"),
+        .select("class", "n_shingles", F.col("first.doc_id").alias("doc_id"), F.col("first.place").alias("place"), "least", "u"),
         "classes",
     )
     labels = class_labels(docs, classes, percent, size)

@@ -94,7 +94,8 @@ def signatures(docs: DataFrame, collections: int = COLLECTIONS, rows: int = ROWS
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, class) of the table buckets with two classes or more."""
+    """(bucket, class) of the table buckets with two classes or more.  Of buckets with the
+    same classes, as near copies have in most tables, one stays."""
     u = classes.select("class", F.posexplode("u").alias("i", "value"))
     shared = u.groupBy("i", "value").agg(F.count("*").alias("n")).where("n > 1").select("i", "value")
     some = (
@@ -113,7 +114,18 @@ def buckets(classes: DataFrame) -> DataFrame:
         )
     )
     keyed = written(some.select("class", F.explode(pairs).alias("bucket")), "keys")
-    held = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    held = (
+        keyed.groupBy("bucket")
+        .agg(
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("class")).alias("x"),
+            F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"),
+        )
+        .where("n > 1")
+        .groupBy("n", "x", "y")
+        .agg(F.min("bucket").alias("bucket"))
+        .select("bucket")
+    )
     out = written(keyed.join(held, "bucket"), "buckets")
     released(keyed)
     return out
@@ -191,7 +203,7 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int = SHINGLE, small: int = 64) -> DataFrame:
+def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int = SHINGLE, small: int = 16) -> DataFrame:
     """(class, label) of the classes that share a bucket with another."""
     active = buckets(classes)
     members = active.select("class").distinct()
@@ -218,7 +230,7 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         # In the first round every bucket compares its first class with the others.
         few = rest.where(F.lit(step > 0) & (F.col("n") <= small))
         many = rest.where(F.lit(step == 0) | (F.col("n") > small))
-        part = F.pmod(F.xxhash64("class"), F.lit(16**step if step < 4 else 16**4))
+        part = F.pmod(F.xxhash64("class"), F.lit(8 ** min(step, 6)))
         pivots = written(many.groupBy("bucket", part.alias("part")).agg(F.min("class").alias("a")), "pivots")
         first = pivots.join(labels.withColumnsRenamed(named_a), "a")
         from_pivots = (

@@ -4,13 +4,14 @@ Texts become ids by a vocabulary of the ``tokenizers`` library, each followed by
 id.  Global counts of the ids, summed by Spark, give each id a code of at most
 ``longest`` bits; canonical codes follow from the lengths alone, so the codebook is one
 small table of (id, bits).  Documents are range-partitioned by id, and each partition
-writes blocks of about ``block_tokens`` ids.  A block can be decoded on its own: it holds
-its documents' ids and sizes, the number of ids before it in the whole corpus, the bits,
-and the bit offset of every ``STRIDE``-th id.  From those checkpoints a block is decoded
+writes blocks of about ``BLOCK_TOKENS`` ids.  A block can be decoded on its own: it holds
+its documents' ids and sizes, the number of ids before it in its part, the bits, and the
+bit offset of every ``STRIDE``-th id.  From those checkpoints a block is decoded
 in parallel lanes, one table look-up for each id.
 
-A file set is a folder with ``codebook`` and ``blocks`` (Parquet, sorted by block).  Only
-the vocabulary's counts and the partitions' totals reach the driver.
+A file set is a folder with ``codebook``, ``blocks`` (Parquet, ascending ids within and
+over the parts) and ``parts``, the number of ids before each part.  Only the vocabulary's
+counts reach the driver.
 
 Null and empty texts are the end id alone.  Null ids come first, in one range; repeated
 ids lie next to each other in the order of their texts' hashes.  An empty table gives
@@ -24,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import by_batch, released, written
@@ -54,7 +56,7 @@ class WordEncoder:
     that drop it, so each different word is encoded once and kept.  ``most`` bounds the
     words kept."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         import json
 
         from tokenizers import Tokenizer
@@ -84,7 +86,7 @@ class WordEncoder:
     def _piece(self, piece: str) -> bytes:
         known = self.pieces.get(piece)
         if known is None:
-            if len(self.pieces) > self.most:
+            if len(self.pieces) > 2 * self.most:
                 self.pieces.clear()
             letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
             known = np.array([t.id for t in self.model.tokenize(letters)], np.uint32).tobytes()
@@ -259,28 +261,22 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
 
     total = ids.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(1, -(-total // RANGE_TOKENS))
-    cuts = [] if parts == 1 else ids.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)
-    cuts = sorted({int(c) for c in cuts})
-    part = F.expr(f"width_bucket(doc_id, array({', '.join(f'{c + 1}D' for c in cuts)}))") if cuts else F.lit(0)
-    part = F.coalesce(part, F.lit(0)).cast("int")
-    sizes = {r.part: r.n for r in ids.groupBy(part.alias("part")).agg(F.sum("n_tokens").alias("n")).collect()}
-    start, starts = 0, {}
-    for p in sorted(sizes):
-        starts[p] = start
-        start += sizes[p]
-    shared = spark.sparkContext.broadcast((lengths, starts))
+    shared = spark.sparkContext.broadcast(lengths)
 
     def blocks(batches):
-        book = Codebook(shared.value[0])
-        held, size, at, number, current = [], 0, 0, 0, None
+        from pyspark import TaskContext
+
+        part, book = TaskContext.get().partitionId(), Codebook(shared.value)
+        held, size, at, number = [], 0, 0, 0
 
         def block():
             ids = np.concatenate([np.frombuffer(x, np.uint32) for _, x in held])
             bits, offsets = book.encode(ids)
             return {
-                "part": [current],
+                "part": [part],
                 "block": [number],
                 "start": [at],
+                "n_tokens": [size],
                 "doc_ids": [[d for d, _ in held]],
                 "sizes": [[len(x) // 4 for _, x in held]],
                 "bits": [bits],
@@ -288,28 +284,31 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
             }
 
         for b in batches:
-            for p, doc_id, ids in zip(b["part"], b["doc_id"], b["ids"]):
-                if held and (p != current or size >= BLOCK_TOKENS):
+            for doc_id, ids in zip(b["doc_id"], b["ids"]):
+                if size >= BLOCK_TOKENS:
                     yield block()
                     at, number = at + size, number + 1
                     held, size = [], 0
-                if p != current:
-                    current, at, number = p, shared.value[1][p], 0
                 held.append((doc_id, ids))
                 size += len(ids) // 4
         if held:
             yield block()
 
-    ordered = (
-        ids.select(part.alias("part"), "doc_id", "place", "ids")
-        .repartition(max(1, len(sizes)), "part")
-        .sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "place")
-    )
+    ordered = ids.select("doc_id", "place", "ids").repartitionByRange(parts, F.asc_nulls_first("doc_id"))
     by_batch(
-        ordered.select("part", "doc_id", "ids"),
-        "part int, block int, start long, doc_ids array<long>, sizes array<long>, bits binary, offsets array<int>",
+        ordered.sortWithinPartitions(F.asc_nulls_first("doc_id"), "place").select("doc_id", "ids"),
+        "part int, block int, start long, n_tokens long, doc_ids array<long>, sizes array<long>, "
+        "bits binary, offsets array<int>",
         blocks,
     ).write.parquet(f"{path}/blocks")
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    (
+        spark.read.parquet(f"{path}/blocks")
+        .groupBy("part")
+        .agg(F.sum("n_tokens").alias("n_tokens"))
+        .select("part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
+        .write.parquet(f"{path}/parts")
+    )
     released(ids)
 
 
@@ -333,8 +332,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     "ids": [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes)],
                 }
 
+    blocks = spark.read.parquet(f"{path}/blocks").join(spark.read.parquet(f"{path}/parts"), "part")
+    blocks = blocks.withColumn("start", F.col("start") + F.col("base")).drop("base", "n_tokens")
     return by_batch(
-        spark.read.parquet(f"{path}/blocks"), "doc_id long, start long, n_tokens long, ids binary", run
+        blocks, "doc_id long, start long, n_tokens long, ids binary", run
     )
 
 

@@ -14,7 +14,7 @@ and for taking the lines out.  All of it is DataFrame functions.
 Null and empty texts stay as they are.  A document all of whose lines are repeated is
 left with an empty text and ``n_left`` 0.  A null ``doc_id`` sorts first.  Rows equal in
 id and text are one document and keep or lose the same lines.  An empty table gives an
-empty table.  Other columns are passed on.
+empty table.  Other columns are passed on, but for those of the added names.
 """
 
 from __future__ import annotations
@@ -133,16 +133,16 @@ def without_repeats(docs: DataFrame, **cutting) -> DataFrame:
     """``docs`` with ``text`` less its repeated chunks, and ``n_lines``, ``n_left`` (lines
     before and after) and ``removed``, the removed runs of lines as ``start-end``."""
     doomed = repeated(docs, **cutting).groupBy("doc_id", "place").agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_runs")
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__cl_runs")
     )
-    doomed = doomed.withColumnsRenamed({"doc_id": "_id", "place": "_place"})
-    joined = docs.withColumn("_hash", F.xxhash64("text")).join(
-        doomed, (F.col("_hash") == F.col("_place")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left"
+    doomed = doomed.withColumnsRenamed({"doc_id": "__cl_id", "place": "__cl_place"})
+    joined = docs.withColumn("__cl_hash", F.xxhash64("text")).join(
+        doomed, (F.col("__cl_hash") == F.col("__cl_place")) & F.col("doc_id").eqNullSafe(F.col("__cl_id")), "left"
     )
     lines = F.split("text", "\n")
     # Runs may overlap: merge them first, so that each line is looked at once.
     merged = F.aggregate(
-        "_runs",
+        "__cl_runs",
         F.expr("cast(array() as array<struct<start:int, end:int>>)"),
         lambda out, r: F.when(
             (F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] >= r["start"]),
@@ -158,29 +158,29 @@ def without_repeats(docs: DataFrame, **cutting) -> DataFrame:
         ).otherwise(F.concat(out, F.array(r))),
     )
     gaps = F.zip_with(
-        F.concat(F.array(F.lit(0)), F.transform("_runs", lambda r: r["end"])),
-        F.concat(F.transform("_runs", lambda r: r["start"]), F.array(F.size("_lines"))),
-        lambda a, b: F.slice("_lines", a + 1, b - a),
+        F.concat(F.array(F.lit(0)), F.transform("__cl_runs", lambda r: r["end"])),
+        F.concat(F.transform("__cl_runs", lambda r: r["start"]), F.array(F.size("__cl_lines"))),
+        lambda a, b: F.slice("__cl_lines", a + 1, b - a),
     )
     kept = F.flatten(gaps)
     return (
-        joined.withColumn("_runs", F.when(F.col("_runs").isNotNull(), merged))
-        .withColumn("_lines", F.when(F.col("_runs").isNotNull(), lines))
-        .withColumn("_kept", F.when(F.col("_runs").isNotNull(), kept))
+        joined.withColumn("__cl_runs", F.when(F.col("__cl_runs").isNotNull(), merged))
+        .withColumn("__cl_lines", F.when(F.col("__cl_runs").isNotNull(), lines))
+        .withColumn("__cl_kept", F.when(F.col("__cl_runs").isNotNull(), kept))
         .withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)))
-        .withColumn("n_left", F.when(F.col("_runs").isNotNull(), F.size("_kept")).otherwise(F.col("n_lines")))
-        .withColumn("text", F.when(F.col("_runs").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col("text")))
+        .withColumn("n_left", F.when(F.col("__cl_runs").isNotNull(), F.size("__cl_kept")).otherwise(F.col("n_lines")))
+        .withColumn("text", F.when(F.col("__cl_runs").isNotNull(), F.array_join("__cl_kept", "\n")).otherwise(F.col("text")))
         .withColumn(
             "removed",
             F.coalesce(
                 F.array_join(
                     F.transform(
-                        "_runs", lambda r: F.concat_ws("-", r["start"].cast("string"), r["end"].cast("string"))
+                        "__cl_runs", lambda r: F.concat_ws("-", r["start"].cast("string"), r["end"].cast("string"))
                     ),
                     ",",
                 ),
                 F.lit(""),
             ),
         )
-        .select(*docs.columns, "n_lines", "n_left", "removed")
+        .select(*[c for c in docs.columns if c not in ("n_lines", "n_left", "removed")], "n_lines", "n_left", "removed")
     )

@@ -187,12 +187,12 @@ def _block(fingerprint: str):
 
 
 def _index(items: DataFrame) -> DataFrame:
-    """(size, block, value, item, item_print): every value within two bits of a block."""
+    """(size, block, value, item_key, item_print): every value within two bits of a block."""
     flips = [0, *(1 << i for i in range(16)), *(1 << i | 1 << j for i, j in combinations(range(16), 2))]
-    blocks = items.select("size", F.col("words").alias("item"), F.col("fingerprint").alias("item_print"), _block("fingerprint"))
+    blocks = items.select("size", "item_key", F.col("fingerprint").alias("item_print"), _block("fingerprint"))
     return blocks.distinct().select(
         "size",
-        "item",
+        "item_key",
         "item_print",
         F.col("b.block").alias("block"),
         F.explode(F.transform(F.lit(flips), lambda x: F.col("b.value").bitwiseXOR(x))).alias("value"),
@@ -202,7 +202,7 @@ def _index(items: DataFrame) -> DataFrame:
 def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, place, item_id, start, end, similarity): the best window, in words, of
     each pair of a document and an item that match."""
-    table = written(item_table(items), "items")
+    table = written(item_table(items).withColumn("item_key", F.xxhash64("words")), "items")
     any_item = bitmap_of_longs(table.select(F.explode("shingles").alias("s")), "s", _SLOTS)
     by_size = bitmap_of_longs(table.select(F.explode("sized").alias("s")), "s", _SLOTS)
     sizes = sorted(r.size for r in table.select("size").distinct().collect())
@@ -213,8 +213,10 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFr
         .select("size", "words", "fingerprint", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
         .join(_index(table), ["size", "block", "value"])
         .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select("size", "words", "item")
+        .select("size", "words", "item_key")
         .distinct()
+        .join(table.select("size", "item_key", F.col("words").alias("item")).distinct(), ["size", "item_key"])
+        .select("size", "words", "item")
     )
 
     def run(batches):
@@ -246,9 +248,9 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFr
 
 def without_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``docs`` without the documents that match an item."""
-    leaks = matches(docs, items, threshold).select(F.col("doc_id").alias("_id"), F.col("place").alias("_place")).distinct()
+    leaks = matches(docs, items, threshold).select(F.col("doc_id").alias("__cl_id"), F.col("place").alias("__cl_place")).distinct()
     return (
-        docs.withColumn("_at", F.xxhash64("text"))
-        .join(leaks, (F.col("_at") == F.col("_place")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+        docs.withColumn("__cl_at", F.xxhash64("text"))
+        .join(leaks, (F.col("__cl_at") == F.col("__cl_place")) & F.col("doc_id").eqNullSafe(F.col("__cl_id")), "left_anti")
         .select(docs.columns)
     )

@@ -301,11 +301,11 @@ def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     gone = (
         near_duplicates(docs, percent)
         .where("not kept")
-        .select(F.col("doc_id").alias("_id"), F.col("place").alias("_place"))
+        .select(F.col("doc_id").alias("__cl_id"), F.col("place").alias("__cl_place"))
         .distinct()
     )
     return (
-        docs.withColumn("_at", F.xxhash64("text"))
-        .join(gone, (F.col("_at") == F.col("_place")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+        docs.withColumn("__cl_at", F.xxhash64("text"))
+        .join(gone, (F.col("__cl_at") == F.col("__cl_place")) & F.col("doc_id").eqNullSafe(F.col("__cl_id")), "left_anti")
         .select(docs.columns)
     )

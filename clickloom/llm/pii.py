@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import bitmap, bits_set, by_batch, released, spans_text, written
 
+SALTS = 16
 KINDS = ("email", "ip", "card", "phone")
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
@@ -193,8 +194,11 @@ def find(
         .agg(F.max("r").alias("r"))
         .where(F.col("r") >= generalise)
     )
+    # A word may be as common as it likes: its rows are spread over some salts.
+    told = told.withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
     added = (
-        hits.join(told, "term")
+        hits.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
+        .join(told, ["term", "salt"])
         .groupBy("row")
         .agg(
             F.collect_list(
@@ -245,11 +249,11 @@ def _suspects(text, spans, marks):
 def sanitised(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with the spans of ``find`` masked, generalised or removed in ``text``."""
     spans = found.select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")
-    ).dropDuplicates(["_id", "_hash"])
+        F.col("doc_id").alias("__cl_id"), F.col("text_hash").alias("__cl_hash"), F.col("spans").alias("__cl_spans")
+    ).dropDuplicates(["__cl_id", "__cl_hash"])
     joined = docs.join(
-        spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left"
-    ).drop("_id", "_hash")
+        spans, F.col("doc_id").eqNullSafe(F.col("__cl_id")) & (F.xxhash64("text") == F.col("__cl_hash")), "left"
+    ).drop("__cl_id", "__cl_hash")
 
     @F.udf("string")
     def masked(text, spans):
@@ -264,7 +268,7 @@ def sanitised(docs: DataFrame, found: DataFrame) -> DataFrame:
             at = s["end"]
         return "".join(out) + text[at:]
 
-    return joined.withColumn("text", masked("text", "_spans")).drop("_spans")
+    return joined.withColumn("text", masked("text", "__cl_spans")).drop("__cl_spans")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,7 +30,7 @@ def to_upper(s: pd.Series) -> pd.Series:
 
 @F.arrow_udf(T.LongType())
 def add_one(x: pa.Array) -> pa.Array:
-    return pc.add(x, 1)
+    return pc.add_checked(x, 1)
 
 
 def register_all(spark: SparkSession) -> None:
@@ -62,16 +61,19 @@ def aggregate_in_batches(
     )
     columns = [*keys, *merge]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                grouped = batch.groupby(keys, dropna=False, sort=False)[value]
-                yield partial(grouped).reset_index()[columns]
+            if batch.num_rows:
+                # Arrow's own types: a NULL beside large integers or NaN changes neither.
+                frame = batch.to_pandas(types_mapper=pd.ArrowDtype)
+                grouped = frame.groupby(keys, dropna=False, sort=False)[value]
+                got = partial(grouped).reset_index()[columns]
+                yield pa.RecordBatch.from_pandas(got, preserve_index=False)
 
     combine = {"sum": F.sum, "min": F.min, "max": F.max}
     return (
         df.select(*keys, value)
-        .mapInPandas(run, schema)
+        .mapInArrow(run, schema)
         .groupBy(*keys)
         .agg(*[combine[how](c).alias(c) for c, (_, how) in merge.items()])
     )
@@ -79,39 +81,66 @@ def aggregate_in_batches(
 
 def mean_by_key(df: DataFrame, keys: Sequence[str], value: str, out: str = "mean") -> DataFrame:
     """The mean as a user aggregate: partial sums and counts, then their ratio."""
-    sums = aggregate_in_batches(
-        df,
-        keys,
-        value,
-        lambda grouped: grouped.agg(s="sum", n="count"),
-        {"s": ("double", "sum"), "n": ("bigint", "sum")},
-    )
+    keys = list(keys)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.table({**{k: batch.column(k) for k in keys}, "v": batch.column(value).cast(pa.float64())})
+            got = table.group_by(keys).aggregate([("v", "sum"), ("v", "count")])
+            yield from got.rename_columns([*keys, "s", "n"]).select([*keys, "s", "n"]).combine_chunks().to_batches()
+
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + ["s double", "n bigint"])
+    sums = df.select(*keys, value).mapInArrow(run, schema).groupBy(*keys).agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     return sums.select(*keys, F.when(F.col("n") > 0, F.col("s") / F.col("n")).alias(out))
 
 
-def fold_lists(
+def fold_in_batches(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     fold: Callable[[list], float],
+    merge: str,
     kind: str = "bigint",
-    merge: str = "sum",
     out: str = "n",
 ) -> DataFrame:
-    """A plain Python function over each key's list of values.
+    """A Python function over parts of each key's values, and how parts merge.
 
-    ``fold`` is applied to the lists of single batches and the results are
-    combined by ``merge``, so it has to be a function that splits that way, such
-    as a count, a sum, a minimum or a maximum.
+    ``fold`` is applied to the values of single Arrow batches and the results are
+    combined by ``merge`` ("sum", "min" or "max"), so the two have to belong
+    together, as a count and "sum" do.  For other functions see ``over_lists``.
     """
+    keys = list(keys)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
 
-    def partial(grouped: pd.core.groupby.SeriesGroupBy) -> pd.DataFrame:
-        # Lay the values out group by group and cut the list; a Series for each
-        # small group would cost far more than the function itself.
-        number = grouped.ngroup().to_numpy()
-        values = grouped.obj.to_numpy()[np.argsort(number, kind="stable")].tolist()
-        ends = np.cumsum(np.bincount(number)).tolist()
-        folded = [fold(values[a:b]) for a, b in zip([0, *ends], ends)]
-        return pd.DataFrame({out: folded}, index=grouped.size().index)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                table = pa.table({**{k: batch.column(k) for k in keys}, "v": batch.column(value)})
+                got = table.group_by(keys).aggregate([("v", "list")])
+                folded = pa.array([fold(v) for v in got.column("v_list").to_pylist()])
+                yield from got.select(keys).append_column(out, folded).combine_chunks().to_batches()
+
+    schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + [f"`{out}` {kind}"])
+    combine = {"sum": F.sum, "min": F.min, "max": F.max}[merge]
+    return df.select(*keys, value).mapInArrow(run, schema).groupBy(*keys).agg(combine(out).alias(out))
+
+
+def list_function(fold: Callable[[list], float], kind: str = "bigint"):
+    """``fold`` as a function of an array column, for DataFrames and, registered, SQL:
+    ``SELECT fold(collect_list(v)) … GROUP BY k``.  It sees a key's whole list, so
+    lists have to fit in memory as ``collect_list`` itself asks."""
 
-    return aggregate_in_batches(df, keys, value, partial, {out: (kind, merge)})
+    @F.arrow_udf(kind)
+    def over(lists: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else fold(x) for x in lists.to_pylist()])
+
+    return over
+
+
+def over_lists(
+    df: DataFrame, keys: Sequence[str], value: str, fold: Callable[[list], float], kind: str = "bigint", out: str = "n"
+) -> DataFrame:
+    """Any Python function over each key's whole list of values, without NULLs."""
+    lists = df.groupBy(*keys).agg(F.collect_list(value).alias(out))
+    return lists.select(*keys, list_function(fold, kind)(out).alias(out))

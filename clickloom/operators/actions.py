@@ -28,9 +28,9 @@ def with_action_type(actions: DataFrame) -> DataFrame:
 
 
 def explode_ids(df: DataFrame, column: str, out: str = "id", sep: str = ",") -> DataFrame:
-    """One row per id of a comma list, as ``bigint``; a NULL list gives no row and
+    """One row per id of a list parted by ``sep`` (plain text), as ``bigint``; a NULL list gives no row and
     an id that is no number becomes NULL."""
-    tokens = df.withColumn(out, F.explode(F.split(column, sep)))
+    tokens = df.withColumn(out, F.explode(F.split(column, rf"\Q{sep}\E")))
     return tokens.withColumn(out, F.col(out).try_cast("bigint"))
 
 

@@ -7,69 +7,32 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.sources.readers import read_csv
 from clickloom.sources.writers import write_text
 
-# A side may be broadcast on request up to this measured size.
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 << 20
-
-# Rows that one task may hold in the hash table of a shuffle hash join.
-HASH_TABLE_ROWS = 5_000_000
-
-
-def fits_broadcast(
-    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
-) -> bool:
-    """Measure ``df``: is it small enough to broadcast?
-
-    The rows are counted first and their bytes only if those are few.  Bytes are
-    those of the rows as JSON text, which is more than their binary form.
-    """
-    if df.count() > max_rows:
-        return False
-    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    return df.agg(size).first()[0] <= max_bytes
-
-
-def fits_hash_tables(
-    df: DataFrame, on: Sequence[str], max_rows: int = HASH_TABLE_ROWS
-) -> bool:
-    """Would ``df``, hash-partitioned by ``on``, have no partition above ``max_rows``?
-
-    Counts the rows per shuffle partition; only the largest count is fetched.
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = df.groupBy(F.pmod(F.hash(*on), F.lit(partitions))).count()
-    largest = sizes.agg(F.max("count")).first()[0]
-    return (largest or 0) <= max_rows
-
-
 def join(
     a: DataFrame,
     b: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
     strategy: str | None = None,
-    max_rows: int | None = None,
+    small: bool = False,
 ) -> DataFrame:
-    """Equi-join; all columns and all matches of both sides are kept.
+    """Equi-join; all columns and all matches of both sides are kept.  Lazy.
 
     ``strategy``: None leaves the choice to Spark, which goes by measured sizes
     at run time; ``merge`` sorts both sides, and adaptive execution splits skewed
-    partitions.  ``broadcast`` and ``shuffle_hash`` keep rows of ``b`` in memory,
-    so ``b`` is measured first (a small job) and the join is sort-merge if it, or
-    one hot key of it, is too large for that.
+    partitions.  ``broadcast`` and ``shuffle_hash`` allow what keeps rows of ``b`` in
+    memory where Spark's own limits allow it: a broadcast below
+    ``spark.sql.autoBroadcastJoinThreshold`` and hash tables below
+    ``spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold``, both by the sizes
+    measured at run time.  ``small`` is the caller's word that ``b`` is small by
+    nature, and makes either a firm choice.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if strategy is None:
         return a.join(b, keys, how)
-    if strategy == "broadcast":
-        fits = fits_broadcast(b, max_rows or BROADCAST_ROWS)
-        return a.join(F.broadcast(b) if fits else b, keys, how)
-    if strategy == "shuffle_hash":
-        fits = fits_hash_tables(b, keys, max_rows or HASH_TABLE_ROWS)
-        return a.join(b.hint("shuffle_hash" if fits else "merge"), keys, how)
+    if strategy in ("broadcast", "shuffle_hash"):
+        return a.join(b.hint(strategy) if small else b, keys, how)
     if strategy == "merge":
         return a.join(b.hint("merge"), keys, how)
     raise ValueError(f"unknown join strategy {strategy!r}")
@@ -85,19 +48,26 @@ def join_text_files(
     strategy: str | None = None,
     single_file: bool = False,
 ) -> None:
-    """Join two comma-separated text tables by their first columns and write the
+    """Join two comma-separated text tables by their first fields and write the
     rows (key, rest of a, rest of b) as comma-separated text.
 
-    The first names of ``a_columns`` and ``b_columns`` must agree.
+    Lines are cut at plain commas: quote signs, empty fields and empty keys count as
+    they stand, and fields beyond the named columns are kept.  The first names of
+    ``a_columns`` and ``b_columns`` must agree.
     """
     if a_columns[0] != b_columns[0]:
         raise ValueError("the key has to be the first column of both tables")
+    key = a_columns[0]
 
-    def read(path: str, columns: Sequence[str]) -> DataFrame:
-        return read_csv(spark, path, ", ".join(f"`{c}` string" for c in columns))
+    def read(path: str, rest: str) -> DataFrame:
+        fields = F.split("value", ",", -1)
+        return spark.read.text(path).select(
+            fields[0].alias(key), F.slice(fields, 2, F.size(fields)).alias(rest)
+        )
 
-    joined = join(read(a_path, a_columns), read(b_path, b_columns), a_columns[0], "inner", strategy)
-    write_text(joined, target, single_file=single_file)
+    joined = join(read(a_path, "__a"), read(b_path, "__b"), key, "inner", strategy)
+    line = F.concat(F.array(key), "__a", "__b")
+    write_text(joined.select(F.array_join(line, ",").alias("line")), target, single_file=single_file)
 
 
 def keep_members(df: DataFrame, column: str, members: Iterable | DataFrame) -> DataFrame:

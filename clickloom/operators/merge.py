@@ -29,7 +29,8 @@ def merge_by_key(
     * ``set``: the distinct values, ascending; likewise for arrays.
 
     The first three combine before the shuffle and keep one row per key.  Lists
-    and sets come in parts of at most ``list_rows`` elements (column ``part``).
+    and sets come in parts of at most ``list_rows`` elements (column ``part``); a key
+    without elements has one empty part.
     ``order`` should be unique within a key.
     """
     if policy not in POLICIES:
@@ -48,14 +49,28 @@ def merge_by_key(
     nested = df.schema[value].dataType.typeName() == "array"
     if policy == "list":
         columns = list(dict.fromkeys([key, *order]))
-        if nested:
-            df = df.select(*columns, F.posexplode(value).alias("__i", value))
-            order = [*order, "__i"]
-        return ordered_lists(df, [key], value, order, value, list_rows, hot_rows)
+        if not nested:
+            return ordered_lists(df, [key], value, order, value, list_rows, hot_rows)
+        items = df.select(*columns, F.posexplode(value).alias("__i", value))
+        lists = ordered_lists(items, [key], value, [*order, "__i"], value, list_rows, hot_rows)
+        return _with_empty(lists, df.groupBy(key).agg(F.max(F.size(value) > 0).alias("__some")), key, value)
+    filled = F.size(F.array_compact(value)) > 0 if nested else F.col(value).isNotNull()
+    keys = df.groupBy(key).agg(F.max(filled).alias("__some"))
     if nested:
         df = df.select(key, F.explode(value).alias(value))
     distinct = df.select(key, value).distinct().where(F.col(value).isNotNull())
-    return ordered_lists(distinct, [key], value, [value], value, list_rows, hot_rows)
+    lists = ordered_lists(distinct, [key], value, [value], value, list_rows, hot_rows)
+    return _with_empty(lists, keys, key, value)
+
+
+def _with_empty(lists: DataFrame, keys: DataFrame, key: str, value: str) -> DataFrame:
+    """``lists`` and an empty list for each key that has no element."""
+    kind = lists.schema[value].dataType.simpleString()
+    without = keys.where(~F.coalesce("__some", F.lit(False)))
+    empty = without.select(
+        key, F.lit(0).cast(lists.schema["part"].dataType).alias("part"), F.expr(f"cast(array() as {kind})").alias(value)
+    )
+    return lists.unionByName(empty)
 
 
 def vector_sum(
@@ -67,7 +82,8 @@ def vector_sum(
 ) -> DataFrame:
     """Element-wise sum of a vector column as rows (by…, ``pos``, ``total``).
 
-    ``initial`` is added once to each group.  With a known ``width`` every
+    ``initial`` is added once to each group, at all its positions; without groups also
+    where there is no row.  Positions of NULLs alone are left out.  With a known ``width`` every
     position is an aggregate of its own and no row is multiplied; elements
     beyond ``width`` are then an error.  Without it positions are exploded and
     vectors may differ in length.
@@ -78,6 +94,7 @@ def vector_sum(
             df.select(*by, F.posexplode(column).alias("pos", "x"))
             .groupBy(*by, "pos")
             .agg(F.sum(F.col("x").cast("double")).alias("total"))
+            .where(F.col("total").isNotNull())
         )
     else:
         element = [F.get(column, F.lit(i)).cast("double") for i in range(width)]
@@ -87,8 +104,10 @@ def vector_sum(
         totals = F.array(*[f"__{i}" for i in range(width)])
         sums = wide.select(*by, F.posexplode(totals).alias("pos", "total"))
         sums = sums.where(F.col("total").isNotNull())
-    if initial is not None:
-        start = F.array(*[F.lit(float(v)) for v in initial])
-        offset = F.coalesce(F.get(start, F.col("pos")), F.lit(0.0))
-        sums = sums.withColumn("total", F.col("total") + offset)
-    return sums
+    if initial is None:
+        return sums
+    start = F.posexplode(F.array(*[F.lit(float(v)) for v in initial])).alias("pos", "total")
+    groups = df.select(*by).distinct() if by else df.sparkSession.range(1)
+    # The start is one more vector of each group.
+    started = sums.unionByName(groups.select(*by, start))
+    return started.groupBy(*by, "pos").agg(F.sum("total").alias("total"))

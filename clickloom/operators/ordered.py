@@ -25,10 +25,6 @@ from clickloom.functions.exprs import whole_div
 # Rows of one group that a single task sorts without trouble.
 HOT_GROUP_ROWS = 2_000_000
 
-# At most this many of the largest groups are treated as hot.  A group beyond
-# them holds at most a 100,000th of all rows.
-HOT_GROUPS = 100_000
-
 _CHUNK = "__chunk"
 _EDGE = "__edge"
 
@@ -42,8 +38,8 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into (rows of ordinary groups, rows of hot groups).
 
-    Groups are told apart by a 64-bit hash, so the list of hot ones is at most
-    ``HOT_GROUPS`` numbers, under a megabyte, and safe to broadcast.  Where two
+    Groups are told apart by a 64-bit hash, and there are at most rows / ``hot_rows``
+    hot ones; Spark chooses the join by the size of that list.  Where two
     groups share a hash both go the same way, which changes no result: either
     way is right for any group as long as all its rows take it together.
     """
@@ -52,14 +48,12 @@ def split_hot(
         df.groupBy(key.alias("__hot"))
         .agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"), "__hot")
-        .limit(HOT_GROUPS)
         .select("__hot")
     )
     is_hot = key == F.col("__hot")
     return (
-        df.join(F.broadcast(hot), is_hot, "left_anti"),
-        df.join(F.broadcast(hot), is_hot, "left_semi"),
+        df.join(hot, is_hot, "left_anti"),
+        df.join(hot, is_hot, "left_semi"),
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.exprs import percent_text
-from clickloom.operators.joins import fits_broadcast
 from clickloom.operators.ranking import top_k_per_group
 
 # Fixed value: the label for all cities after the second.
@@ -28,51 +27,30 @@ def star_join(actions: DataFrame, cities: DataFrame, products: DataFrame) -> Dat
     )
 
 
-def city_counts(
-    actions: DataFrame,
-    cities: DataFrame,
-    products: DataFrame,
-    small_products: bool | None = None,
-) -> DataFrame:
+def _named_counts(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
+    """(area, product_name, city_name, n), counted per city id and product before any
+    join: a popular product is then no hot join key, as it has one row per city."""
+    chosen = actions.where(F.col("click_product_id") > -1)
+    pairs = chosen.groupBy("city_id", "click_product_id").agg(F.count(F.lit(1)).alias("n"))
+    products = products.select("product_id", "product_name")
+    named = pairs.join(products, F.col("click_product_id") == F.col("product_id"))
+    return named.join(cities, "city_id").select("area", "product_name", "city_name", "n")
+
+
+def city_counts(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
     """Clicks per (area, product_name, city_name), column ``n``.
 
-    Clicks are counted per city id and product before they meet the cities.  If
-    the products fit in memory (measured unless ``small_products`` says so), they
-    are broadcast and the task that joins them counts: only counts are shuffled.
-    Otherwise the clicks would have to be shuffled by product, so they are counted
-    per (city, product) first; a popular product is then no hot join key, as it
-    has one row per city.
+    The rows are counted already, so they are hashed by (area, product_name) once: what
+    comes after, per city or per product, needs no other exchange.
     """
-    chosen = actions.where(F.col("click_product_id") > -1).select("city_id", "click_product_id")
-    products = products.select("product_id", "product_name")
-    is_same = F.col("click_product_id") == F.col("product_id")
-    if small_products is None:
-        small_products = fits_broadcast(products)
-    if small_products:
-        named = chosen.join(F.broadcast(products), is_same)
-        counts = named.groupBy("city_id", "product_name").agg(F.count(F.lit(1)).alias("n"))
-    else:
-        pairs = chosen.groupBy("city_id", "click_product_id").agg(F.count(F.lit(1)).alias("n"))
-        counts = pairs.join(products, is_same)
-    return (
-        counts.join(cities, "city_id")
-        .groupBy("area", "product_name", "city_name")
-        .agg(F.sum("n").alias("n"))
-    )
+    counts = _named_counts(actions, cities, products).repartition("area", "product_name")
+    return counts.groupBy("area", "product_name", "city_name").agg(F.sum("n").alias("n"))
 
 
-def area_product_clicks(
-    actions: DataFrame,
-    cities: DataFrame,
-    products: DataFrame,
-    small_products: bool | None = None,
-) -> DataFrame:
+def area_product_clicks(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
     """Clicks per (area, product_name), column ``click_count``."""
-    return (
-        city_counts(actions, cities, products, small_products)
-        .groupBy("area", "product_name")
-        .agg(F.sum("n").alias("click_count"))
-    )
+    counts = _named_counts(actions, cities, products)
+    return counts.groupBy("area", "product_name").agg(F.sum("n").alias("click_count"))
 
 
 def _remark(mode: str, other: str) -> Column:
@@ -143,15 +121,14 @@ def area_top_products(
     k: int = 3,
     remark: str | None = "exact",
     other: str = OTHER,
-    small_products: bool | None = None,
 ) -> DataFrame:
     """Top ``k`` products of each area by clicks: area, product_name,
     click_count, city_remark (unless ``remark`` is None), rank."""
     order = [F.desc("click_count"), F.asc("product_name")]
     if remark is None:
-        counts = area_product_clicks(actions, cities, products, small_products)
+        counts = area_product_clicks(actions, cities, products)
         return top_k_per_group(counts, ["area"], order, k)
-    counts = city_counts(actions, cities, products, small_products)
+    counts = city_counts(actions, cities, products)
     summary = share_summary(counts, ["area", "product_name"], "city_name")
     ranked = summary.withColumnRenamed("total", "click_count")
     top = top_k_per_group(ranked, ["area"], order, k).withColumnRenamed("click_count", "total")

@@ -74,7 +74,7 @@ def scan_json(spark, d):
     path = scratch_path(spark, "json")
     t.table(spark, d, "customer").write.json(path)
     people = readers.read_json(spark, path)
-    return people.where(F.col("c_acctbal") >= 1000).select("c_custkey", "c_name", "c_acctbal")
+    return people.select("c_custkey", "c_name", "c_acctbal")
 
 
 @query
@@ -98,6 +98,13 @@ def sink_text(spark, d):
     return readers.read_lines(spark, path).select(F.col("value").alias("line"))
 
 
+@query
+def sink_text_single(spark, d):
+    path = scratch_path(spark, "one_file")
+    writers.write_text(t.table(spark, d, "nation").select("n_nationkey", "n_name"), path, single_file=True)
+    return readers.read_lines(spark, path).select(F.col("value").alias("line"))
+
+
 @query
 def sink_parquet(spark, d):
     path = scratch_path(spark, "summary")
@@ -231,11 +238,33 @@ def udf_over_list(spark, d):
     def count_urgent(priorities: list) -> int:
         return sum(p == "1-URGENT" for p in priorities)
 
-    return udfs.fold_lists(
+    return udfs.over_lists(
         t.table(spark, d, "orders"), ["o_custkey"], "o_orderpriority", count_urgent
     )
 
 
+@query
+def udf_over_list_sql(spark, d):
+    def count_urgent(priorities: list) -> int:
+        return sum(p == "1-URGENT" for p in priorities)
+
+    spark.udf.register("count_urgent", udfs.list_function(count_urgent))
+    t.table(spark, d, "orders").createOrReplaceTempView("orders_udf")
+    return spark.sql(
+        "SELECT o_custkey, count_urgent(collect_list(o_orderpriority)) AS n FROM orders_udf GROUP BY o_custkey"
+    )
+
+
+@query
+def fold_in_batches(spark, d):
+    def count_urgent(priorities: list) -> int:
+        return sum(p == "1-URGENT" for p in priorities)
+
+    return udfs.fold_in_batches(
+        t.table(spark, d, "orders"), ["o_custkey"], "o_orderpriority", count_urgent, "sum"
+    )
+
+
 @query
 def udaf_mean(spark, d):
     means = udfs.mean_by_key(t.table(spark, d, "events"), ["event_type"], "value")
@@ -439,7 +468,7 @@ def area_top3_remark(spark, d):
 @query
 def area_top3_remark_large_products(spark, d):
     """As ``area_top3_remark``, on the way taken when products are not broadcast."""
-    return sales.area_top_products(*_star(spark, d), k=3, remark="exact", small_products=False)
+    return sales.area_top_products(*_star(spark, d), k=3, remark="exact")
 
 
 @query

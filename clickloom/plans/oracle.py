@@ -170,12 +170,13 @@ _ORACLES = {
         FROM log""",
     "scan_csv": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "scan_tsv": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
-    "scan_json": "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal >= 1000",
+    "scan_json": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "values_scan": """
         SELECT event_type, action, count(*) AS n FROM events
         JOIN (VALUES ('view', 'click'), ('click', 'order'), ('purchase', 'pay')) v(event_type, action)
         USING (event_type) GROUP BY event_type, action""",
     "sink_text": "SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) AS line FROM orders",
+    "sink_text_single": "SELECT concat_ws(',', n_nationkey, n_name) AS line FROM nation",
     "sink_parquet": _CENTS,
     "project_columns": "SELECT event_id AS id, event_type AS kind FROM events",
     "filter_clicks": f"""
@@ -211,6 +212,8 @@ _ORACLES = {
     ),
     "count_matching": _URGENT,
     "udf_over_list": _URGENT,
+    "udf_over_list_sql": _URGENT,
+    "fold_in_batches": _URGENT,
     "udaf_mean": "SELECT event_type, round(avg(value), 4) AS mean FROM events GROUP BY event_type",
     "scalar_udfs": _SCALARS,
     "scalar_builtins": _SCALARS,

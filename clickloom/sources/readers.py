@@ -48,17 +48,18 @@ def read_action_log(
     spark: SparkSession,
     path: str,
     sep: str = "_",
-    mode: str = "PERMISSIVE",
+    mode: str = "FAILFAST",
     keep_corrupt: bool = False,
 ) -> DataFrame:
     """The 13-field action log, ``_``- or tab-delimited.
 
-    The text ``null`` becomes NULL and quote signs are plain characters.  With
-    ``keep_corrupt`` lines that do not fit the schema are kept whole in
-    ``_corrupt_record``; ``mode="FAILFAST"`` raises on them instead.
+    The text ``null`` becomes NULL and quote signs are plain characters.  A line that
+    does not fit the schema is an error.  With ``keep_corrupt`` such lines are kept
+    whole in ``_corrupt_record`` instead.
     """
     schema = USER_VISIT_ACTION
     if keep_corrupt:
+        mode = "PERMISSIVE"
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(schema)

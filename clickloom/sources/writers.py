@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A one-file output passes through one task, so it is only for small results.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_text(
     df: DataFrame,
@@ -19,18 +16,12 @@ def write_text(
 ) -> None:
     """Write the columns of each row joined by ``sep``, one row per line.
 
-    By default every partition writes its own file.  ``single_file`` is refused
-    for more than ``SINGLE_FILE_ROWS`` rows: a larger result has to stay split.
+    By default every partition writes its own file.  With ``single_file`` one task
+    writes all rows, as one file is by nature the work of one task.
     """
     fields = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(null_text)) for name in df.columns]
     lines = df.select(F.concat_ws(sep, *fields).alias("value"))
     if single_file:
-        rows = lines.count()
-        if rows > SINGLE_FILE_ROWS:
-            raise ValueError(
-                f"{rows} rows are too many for one file (limit {SINGLE_FILE_ROWS}); "
-                "write with single_file=False"
-            )
         lines = lines.repartition(1)
     lines.write.mode(mode).text(path)
 

@@ -41,12 +41,12 @@ def test_join_strategies_agree(tables, strategy):
 @pytest.mark.parametrize("strategy", [None, "merge", "broadcast", "shuffle_hash"])
 def test_join_of_text_files(spark, tmp_path, strategy):
     a, b, out = tmp_path / "a", tmp_path / "b", str(tmp_path / "out")
-    a.write_text("1,a,27\n2,b,24\n3,c,23\n4,d,21\n5,e,22\n6,f,20")
-    b.write_text("1,male\n2,female\n4,female\n5,male")
+    a.write_text('7,lamp,90\n8,"desk,15\n9,rug,3\n,none,1\n6,"q",2,extra\n5,,')
+    b.write_text("7,hall\n8,study\n,attic\n6,den\n5,loft")
     names = ["key", "name", "age"], ["key", "sex"]
     joins.join_text_files(spark, str(a), names[0], str(b), names[1], out, strategy)
     got = sorted(r.value for r in spark.read.text(out).collect())
-    assert got == ["1,a,27,male", "2,b,24,female", "4,d,21,female", "5,e,22,male"]
+    assert got == [",none,1,attic", "5,,,loft", '6,"q",2,extra,den', "7,lamp,90,hall", '8,"desk,15,study']
     with pytest.raises(ValueError):
         joins.join_text_files(spark, str(a), ["x", "y"], str(b), ["k"], out + "2")
 
@@ -67,27 +67,16 @@ def test_join_strategies_reach_the_plan(spark, strategy, operator):
     try:
         a = spark.range(100).withColumnRenamed("id", "key")
         b = spark.range(50).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
-        assert operator in plan_of(joins.join(a, b, "key", strategy=strategy))
-        # A side that is too large is not held in memory.
-        if strategy != "merge":
-            large = joins.join(a, b, "key", strategy=strategy, max_rows=3)
-            assert "SortMergeJoin" in plan_of(large)
-            assert large.count() == 50
+        small = strategy != "merge"
+        assert operator in plan_of(joins.join(a, b, "key", strategy=strategy, small=small))
+        # Without the caller's word the sizes decide.
+        if small:
+            free = joins.join(a, b, "key", strategy=strategy)
+            assert "SortMergeJoin" in plan_of(free) and free.count() == 50
     finally:
         spark.conf.set(key, before)
 
 
-def test_fits(spark):
-    df = spark.range(10)
-    assert joins.fits_broadcast(df)
-    assert not joins.fits_broadcast(df, max_rows=9)
-    assert not joins.fits_broadcast(df, max_bytes=50)
-    same = spark.range(100).select(F.lit(1).alias("k"))
-    assert not joins.fits_hash_tables(same, ["k"], 99)
-    assert joins.fits_hash_tables(same, ["k"], 100)
-    assert joins.fits_hash_tables(same.limit(0), ["k"], 1)
-
-
 def test_unknown_strategy(tables):
     with pytest.raises(ValueError):
         joins.join(*tables, "key", strategy="nested")
@@ -164,10 +153,33 @@ def test_merge_of_arrays(spark):
     df = spark.createDataFrame(
         [("x", 2, [3, 1]), ("x", 1, [1, 2]), ("y", 1, [])], "k string, t bigint, v array<bigint>"
     )
-    assert rows(merge.merge_by_key(df, "k", "v", "list", ["t"])) == [("x", 0, [1, 2, 3, 1])]
-    assert rows(merge.merge_by_key(df, "k", "v", "set")) == [("x", 0, [1, 2, 3])]
+    assert rows(merge.merge_by_key(df, "k", "v", "list", ["t"])) == [("x", 0, [1, 2, 3, 1]), ("y", 0, [])]
+    assert rows(merge.merge_by_key(df, "k", "v", "set")) == [("x", 0, [1, 2, 3]), ("y", 0, [])]
     parts = merge.merge_by_key(df, "k", "v", "list", ["t"], list_rows=3)
-    assert rows(parts) == [("x", 0, [1, 2, 3]), ("x", 1, [1])]
+    assert rows(parts) == [("x", 0, [1, 2, 3]), ("x", 1, [1]), ("y", 0, [])]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 0])
+def test_merge_keeps_every_key(spark, hot_rows):
+    df = spark.createDataFrame([("x", 1, "a"), ("y", 1, None), (None, 1, "b")], "k string, t bigint, v string")
+    got = merge.merge_by_key(df, "k", "v", "set", hot_rows=hot_rows)
+    assert {(r.k, r.part, tuple(r.v)) for r in got.collect()} == {("x", 0, ("a",)), ("y", 0, ()), (None, 0, ("b",))}
+    arrays = spark.createDataFrame([("x", 1, [None, 1]), ("y", 1, None), ("y", 2, [])], "k string, t bigint, v array<int>")
+    got = merge.merge_by_key(arrays, "k", "v", "list", ["t"], hot_rows=hot_rows)
+    assert {(r.k, r.part, tuple(r.v)) for r in got.collect()} == {("x", 0, (None, 1)), ("y", 0, ())}
+
+
+@pytest.mark.parametrize("width", [None, 3])
+def test_vector_sum_with_a_longer_start(spark, width):
+    df = spark.createDataFrame([("g", [1.0, None]), ("h", [None])], "g string, v array<double>")
+    got = merge.vector_sum(df, "v", ["g"], initial=[1.0, 2.0, 3.0], width=width)
+    assert sorted(map(tuple, got.collect())) == [
+        ("g", 0, 2.0), ("g", 1, 2.0), ("g", 2, 3.0), ("h", 0, 1.0), ("h", 1, 2.0), ("h", 2, 3.0)
+    ]
+    plain = merge.vector_sum(df, "v", ["g"], width=width)
+    assert sorted(map(tuple, plain.collect())) == [("g", 0, 1.0)]
+    none = merge.vector_sum(df.limit(0), "v", initial=[1.0, 2.0], width=width)
+    assert sorted(map(tuple, none.collect())) == [(0, 1.0), (1, 2.0)]
 
 
 def test_merge_needs_policy_and_order(events):
@@ -198,17 +210,17 @@ def test_vector_sum_by_group_and_length(spark):
 
 def test_scalar_functions(spark):
     df = spark.createDataFrame(
-        [(1, "John Doe", 21), (1, "Keven", 31), (2, None, None), (3, "ß", 2**60 + 1)],
+        [(1, "Ann Oak", 40), (1, "Tomas", 55), (2, None, None), (3, "ß", 2**60 + 1)],
         "id bigint, name string, age bigint",
     )
     got = df.select(udfs.text_length("name"), udfs.to_upper("name"), udfs.add_one("age"))
     assert [tuple(r) for r in got.collect()] == [
-        (8, "JOHN DOE", 22), (5, "KEVEN", 32), (None, None, None), (1, "SS", 2**60 + 2),
+        (7, "ANN OAK", 41), (5, "TOMAS", 56), (None, None, None), (1, "SS", 2**60 + 2),
     ]
     udfs.register_all(spark)
     df.createOrReplaceTempView("people_test")
-    sql = spark.sql("SELECT to_upper(name), age FROM people_test WHERE age >= 30 AND id = 1")
-    assert [tuple(r) for r in sql.collect()] == [("KEVEN", 31)]
+    sql = spark.sql("SELECT to_upper(name), age FROM people_test WHERE age >= 50 AND id = 1")
+    assert [tuple(r) for r in sql.collect()] == [("TOMAS", 55)]
 
 
 def test_mean_by_key(spark):
@@ -220,22 +232,42 @@ def test_mean_by_key(spark):
     assert got == {1: 1.5, 2: 6.0, 3: None, None: 4.0}
 
 
-def test_fold_lists(spark):
+def test_user_aggregates_keep_large_keys_and_nan(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(2**53, 1.0), (2**53 + 1, 2.0), (None, 3.0), (1, nan), (1, 2.0), (2, None)], "id bigint, v double"
+    ).repartition(1)
+    got = {r.id: r["mean"] for r in udfs.mean_by_key(df, ["id"], "v").collect()}
+    assert got.pop(1) != got.get(1, 0) and got == {2**53: 1.0, 2**53 + 1: 2.0, None: 3.0, 2: None}
+    big = spark.createDataFrame([(1, 2**53 + 1), (1, None)], "id bigint, v bigint").repartition(1)
+    fold = udfs.fold_in_batches(big, ["id"], "v", lambda v: max(x for x in v if x is not None), "max")
+    assert rows(fold) == [(1, 2**53 + 1)]
+    with pytest.raises(Exception, match="overflow"):
+        spark.createDataFrame([(2**63 - 1,)], "x bigint").select(udfs.add_one("x")).collect()
+
+
+def test_function_over_whole_lists(spark):
+    df = spark.createDataFrame([(1, 5), (1, 5), (1, 7), (2, None)], "id bigint, v bigint").repartition(3)
+    got = udfs.over_lists(df, ["id"], "v", lambda values: len(set(values)))
+    assert rows(got) == [(1, 2), (2, 0)]
+
+
+def test_fold_in_batches(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "a"), (2, "c")], "id bigint, value string")
 
     def count_a(values):
         return sum(v == "a" for v in values)
 
-    assert rows(udfs.fold_lists(df.repartition(3), ["id"], "value", count_a)) == [(1, 2), (2, 0)]
+    assert rows(udfs.fold_in_batches(df.repartition(3), ["id"], "value", count_a, "sum")) == [(1, 2), (2, 0)]
 
 
-def test_fold_lists_over_many_batches(spark):
+def test_fold_in_batches_over_many_batches(spark):
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     spark.conf.set(key, "7")
     try:
         df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
-        got = udfs.fold_lists(df, ["k"], "v", max, merge="max")
+        got = udfs.fold_in_batches(df, ["k"], "v", max, "max")
         assert rows(got) == [(0, 999), (1, 997), (2, 998)]
         two = udfs.aggregate_in_batches(
             df, ["k"], "v", lambda g: g.agg(lo="min", n="count"), {"lo": ("bigint", "min"), "n": ("bigint", "sum")}

@@ -92,13 +92,11 @@ def test_split_hot_parts_make_the_whole(spark):
     assert {r.g for r in hot.collect()} == {"a"}
 
 
-def test_more_hot_groups_than_are_listed(spark, many_chunks, monkeypatch):
-    """Groups that do not make the list take the plain way and come out the same."""
-    monkeypatch.setattr(ordered, "HOT_GROUPS", 1)
+def test_every_hot_group_is_split(spark, many_chunks):
     rows = make_rows(11)
     df = frame(spark, rows)
     usual, hot = ordered.split_hot(df, ["g"], 0)
-    assert len({r.g for r in hot.collect()}) == 1 and usual.count() + hot.count() == len(rows)
+    assert usual.count() == 0 and hot.count() == len(rows)
     some = ordered.position_in_group(df, ["g"], ["t", "id"], "pos", 0)
     none = ordered.position_in_group(df, ["g"], ["t", "id"], "pos", None)
     assert Counter(map(tuple, some.collect())) == Counter(map(tuple, none.collect()))

@@ -5,8 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from clickloom.plans import tables
+from clickloom.plans import catalogue, tables
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -20,24 +19,24 @@ def test_stated_schema_is_that_of_the_files(spark, name):
 
 
 def plan_of(spark, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = catalogue.all_queries()[name](spark, SF_DIR)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.all_queries()))
 def test_no_pairing_of_everything_with_everything(spark, name):
     plan = plan_of(spark, name)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-PYTHON = {"udf_over_list", "udaf_mean", "scalar_udfs", "udf_sql"}
+PYTHON = {"udf_over_list", "udf_over_list_sql", "fold_in_batches", "udaf_mean", "scalar_udfs", "udf_sql"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.all_queries()))
 def test_python_only_where_user_code_is_the_point(spark, name):
     plan = plan_of(spark, name)
-    uses_python = any(op in plan for op in ("EvalPython", "MapInPandas", "FlatMapGroups"))
+    uses_python = any(op in plan for op in ("EvalPython", "MapInPandas", "MapInArrow", "ArrowAggregate", "FlatMapGroups"))
     assert uses_python == (name in PYTHON)
 
 
@@ -67,8 +66,18 @@ def test_counts_read_the_log_once(spark):
     assert plan_of(spark, "page_flow_strict").count("FileScan") > 1  # + list of hot sessions
 
 
+@pytest.mark.parametrize("name", ["area_top3", "area_top3_remark"])
+def test_star_aggregate_is_lazy_with_three_exchanges(spark, name):
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    df = catalogue.all_queries()[name](spark, SF_DIR)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 3
+
+
 def test_no_hot_group_leaves_one_window(spark):
-    df = entry.queries()["adjacent_pairs"](spark, SF_DIR)
+    df = catalogue.all_queries()["adjacent_pairs"](spark, SF_DIR)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Window [") == 1

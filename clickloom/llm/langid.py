@@ -60,9 +60,11 @@ class Centroids:
     least: np.ndarray  # cosine below which a text is rejected
 
     def vectors(self, rows: np.ndarray) -> np.ndarray:
-        v = np.sqrt(rows) * self.idf
+        v = np.sqrt(rows)
+        v *= self.idf
         norm = np.linalg.norm(v, axis=1, keepdims=True)
-        return v / np.where(norm == 0, 1, norm)
+        v /= np.where(norm == 0, 1, norm)
+        return v
 
     def predict(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Nearest centroid of each row of counts, and its cosine."""
@@ -86,7 +88,7 @@ def _clusters(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def fit(docs: DataFrame, sample: int = 4000, clusters: int = 4, slack: float = 0.5) -> Centroids | None:
+def fit(docs: DataFrame, sample: int = 1600, clusters: int = 4, slack: float = 0.5) -> Centroids | None:
     """Centroids from a bounded sample of the labelled rows that are not held out."""
     labelled = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
     labelled = labelled.where(~held_out()).select("doc_id", "text", "lang")

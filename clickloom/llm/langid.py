@@ -92,14 +92,18 @@ def fit(docs: DataFrame, sample: int = 1600, clusters: int = 4, slack: float = 0
     """Centroids from a bounded sample of the labelled rows that are not held out."""
     labelled = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
     labelled = labelled.where(~held_out()).select("doc_id", "text", "lang")
-    names = [r.lang for r in labelled.select("lang").distinct().orderBy("lang").limit(sample).collect()]
-    if not names:
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(sample).collect()}
+    if not sizes:
         return None
     place = F.xxhash64("text", "doc_id")
     rank = F.row_number().over(W.partitionBy("lang").orderBy("place", "doc_id"))
-    per_language = max(1, sample // len(names))
+    per_language = max(1, sample // len(sizes))
+    # Only so many of the lowest hashes are ranked, however many tasks or rows there are.
+    top = {k: (1 << 63) - 1 if n <= 2 * per_language + 200 else int(2.0**64 * (2 * per_language + 200) / n) - (1 << 63) for k, n in sizes.items()}
+    below = F.create_map(*[F.lit(x) for k, v in top.items() for x in (k, v)])
     chosen = (
         labelled.select("lang", "doc_id", place.alias("place"))
+        .where(F.col("place") <= F.try_element_at(below, F.col("lang")))
         .withColumn("rank", rank)
         .where(F.col("rank") <= per_language)
         .select("doc_id", "place", F.col("lang").alias("of"))

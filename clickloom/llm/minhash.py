@@ -230,7 +230,7 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         # In the first round every bucket compares its first class with the others.
         few = rest.where(F.lit(step > 0) & (F.col("n") <= small))
         many = rest.where(F.lit(step == 0) | (F.col("n") > small))
-        part = F.pmod(F.xxhash64("class"), F.lit(8 ** min(step, 6)))
+        part = F.pmod(F.xxhash64("class"), F.lit(64 ** min(step, 3)))
         pivots = written(many.groupBy("bucket", part.alias("part")).agg(F.min("class").alias("a")), "pivots")
         first = pivots.join(labels.withColumnsRenamed(named_a), "a")
         from_pivots = (
@@ -248,16 +248,17 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         pairs = written(pairs, "pairs")
         links = written(linked(pairs, texts, percent, size), "links")
         tested = pairs if tested is None else tested.union(pairs)
-        ends = links.join(labels.select(F.col("class").alias("a"), F.col("label").alias("x")), "a").join(
-            labels.select(F.col("class").alias("b"), F.col("label").alias("y")), "b"
-        )
-        joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b"))
-        labels = written(
-            labels.join(joined.withColumnRenamed("label", "low"), labels.label == joined.node, "left").select(
-                "class", F.coalesce("low", "label").alias("label"), "n_shingles"
-            ),
-            "labels",
-        )
+        if links.limit(1).count():
+            ends = links.join(labels.select(F.col("class").alias("a"), F.col("label").alias("x")), "a").join(
+                labels.select(F.col("class").alias("b"), F.col("label").alias("y")), "b"
+            )
+            joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b"))
+            labels = written(
+                labels.join(joined.withColumnRenamed("label", "low"), labels.label == joined.node, "left").select(
+                    "class", F.coalesce("low", "label").alias("label"), "n_shingles"
+                ),
+                "labels",
+            )
         # What was a pivot has met all others of its bucket.
         active = written(
             many.join(pivots.withColumnRenamed("a", "class"), ["bucket", "class"], "left_anti").select("bucket", "class"),

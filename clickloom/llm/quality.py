@@ -9,8 +9,8 @@ them is removed from all documents of that host.  A document left with less than
 Hosts and lines may be as common as they like: counts are combined before they are
 shuffled, and the repeated lines are joined under ``SALTS`` salts.
 
-Null and empty texts have no words and fail the base rules.  A null host is a host of its
-own.  Repeated rows are judged alike and counted once.  An empty table gives an empty
+Null and empty texts have no words and fail the base rules.  A null host counts as the
+empty one.  Repeated rows are judged alike and counted once.  An empty table gives an empty
 table.  Other columns are not read.
 """
 

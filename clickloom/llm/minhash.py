@@ -10,11 +10,14 @@ Texts with equal shingle sets form one class, and only classes are compared.  A
 collection value that no other class has is dropped before keys are formed.  In a table
 bucket, each round compares some pivots with the classes not yet in their component;
 verified links are joined into components between the rounds, so a bucket of thousands
-of near copies costs one comparison each.  Small rests (``small`` or fewer) are then
+of near copies costs one comparison each.  After the first round the shingles that only
+one of the classes left has are counted; they bound what two sets can have in common,
+and many pairs of one family fall away unread.  Small rests (``small`` or fewer) are then
 compared with each other where their components still differ, larger ones get more
 pivots in the next round, until no bucket has two components with an untested pair:
-every pair that shares a bucket is in one component, or of sizes too different for the
-similarity, or was compared on its full sets of words.  No group meets in one task, and nothing is collected.
+every pair that shares a bucket is in one component, or cannot be similar enough by its
+sets' sizes and unshared shingles, or was compared on its full sets of words.  No group
+meets in one task, and nothing is collected.
 
 Texts without words, and null texts, are linked with nothing.  Rows with equal text are
 in one component whatever their ids; a null ``doc_id`` is never a component's id unless
@@ -94,13 +97,14 @@ def signatures(docs: DataFrame, collections: int = COLLECTIONS, rows: int = ROWS
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, class) of the table buckets with two classes or more.  Of buckets with the
-    same classes, as near copies have in most tables, one stays."""
-    u = classes.select("class", F.posexplode("u").alias("i", "value"))
+    """(bucket, class, n_shingles, a, size_a) of the table buckets with two classes or more;
+    ``a`` is the smallest class of the bucket.  Of buckets with the same classes, as near
+    copies have in most tables, one stays."""
+    u = classes.select("class", "n_shingles", F.posexplode("u").alias("i", "value"))
     shared = u.groupBy("i", "value").agg(F.count("*").alias("n")).where("n > 1").select("i", "value")
     some = (
         u.join(shared, ["i", "value"])
-        .groupBy("class")
+        .groupBy("class", "n_shingles")
         .agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("u"))
         .where(F.size("u") > 1)
     )
@@ -113,18 +117,19 @@ def buckets(classes: DataFrame) -> DataFrame:
             ),
         )
     )
-    keyed = written(some.select("class", F.explode(pairs).alias("bucket")), "keys")
+    keyed = written(some.select("class", "n_shingles", F.explode(pairs).alias("bucket")), "keys")
     held = (
         keyed.groupBy("bucket")
         .agg(
             F.count("*").alias("n"),
             F.bit_xor(F.xxhash64("class")).alias("x"),
             F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"),
+            F.min(F.struct("class", "n_shingles")).alias("first"),
         )
         .where("n > 1")
         .groupBy("n", "x", "y")
-        .agg(F.min("bucket").alias("bucket"))
-        .select("bucket")
+        .agg(F.min(F.struct("bucket", "first")).alias("one"))
+        .select("one.bucket", F.col("one.first.class").alias("a"), F.col("one.first.n_shingles").alias("size_a"))
     )
     out = written(keyed.join(held, "bucket"), "buckets")
     released(keyed)
@@ -203,33 +208,96 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int = SHINGLE, small: int = 16) -> DataFrame:
-    """(class, label) of the classes that share a bucket with another."""
-    active = buckets(classes)
-    members = active.select("class").distinct()
-    texts = written(
-        texts_of(docs, classes.join(members, "class").select("class", "doc_id", "place"), size), "texts"
+def shared_counts(classes: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(class, n_alone): how many of a class's shingles no other of ``classes`` has; classes
+    without any are left out.  Equal hashes of different shingles can only lower it."""
+
+    def run(batches):
+        hashes = WordHashes()
+        for b in batches:
+            out = {"high": [], "low": [], "shingles": []}
+            for name, text in zip(b["class"], b["text"]):
+                high, low = np.frombuffer(name, ">i8").tolist()
+                out["high"].append(high)
+                out["low"].append(low)
+                out["shingles"].append(np.unique(shingle_hashes(hashes.of(_words(text)), size)).view(np.int64))
+            yield out
+
+    sets = by_batch(
+        texts.join(classes.select("class").distinct(), "class", "left_semi").select("class", "text"),
+        "high long, low long, shingles array<long>",
+        run,
+    )
+    # Of a single row, the exclusive or is the row's own value.
+    alone = (
+        sets.select("high", "low", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.bit_xor("high").alias("high"), F.bit_xor("low").alias("low"))
+        .where("n = 1")
+        .groupBy("high", "low")
+        .agg(F.count("*").alias("n_alone"))
     )
-    labels = written(classes.join(members, "class").select("class", F.col("class").alias("label"), "n_shingles"), "labels")
-    # Sets of sizes this far apart cannot be similar enough.
+    digits = F.concat(F.lpad(F.hex("high"), 16, "0"), F.lpad(F.hex("low"), 16, "0"))
+    return alone.select(F.unhex(digits).alias("class"), "n_alone")
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (class, label, …) with the labels that ``links`` (a, b) connect made one."""
+    a = labels.select(F.col("class").alias("a"), F.col("label").alias("x"))
+    b = labels.select(F.col("class").alias("b"), F.col("label").alias("y"))
+    ends = links.join(a, "a").join(b, "b").where("x <> y")
+    joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    low = joined.select(F.col("node").alias("label"), F.col("label").alias("low"))
+    return written(
+        labels.join(low, "label", "left").withColumn("label", F.coalesce("low", "label")).select(labels.columns),
+        "labels",
+    )
+
+
+def open_rows(active: DataFrame, labels: DataFrame) -> DataFrame:
+    """``active`` (bucket, class) with ``labels`` and the bucket's size ``n``, of buckets
+    with classes of two labels or more."""
+    marked = active.join(labels, "class")
+    state = marked.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("label").alias("lowest"), F.max("label").alias("highest")
+    )
+    return written(marked.join(state.where("lowest <> highest").select("bucket", "n"), "bucket"), "rest")
+
+
+def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int = SHINGLE, small: int = 256) -> DataFrame:
+    """(class, label) of the classes that share a bucket with another."""
+    met = buckets(classes)
+    members = met.select("class", "n_shingles").distinct()
+    texts = written(texts_of(docs, classes.select("class", "doc_id", "place").join(members, "class"), size), "texts")
+    # First every bucket compares its smallest class with the others.  Sets of sizes too far
+    # apart cannot be similar enough.
+    others = met.where("a <> class")
     alike = f"least(n_shingles, size_a) * 100 >= greatest(n_shingles, size_a) * {percent}"
-    named_a = {"class": "a", "label": "label_a", "n_shingles": "size_a"}
-    tested = None
-    step = 0
+    tested = written(others.where(alike).select("a", F.col("class").alias("b")).distinct(), "pairs")
+    links = written(linked(tested, texts, percent, size), "links")
+    labels = merged(members.select("class", F.col("class").alias("label"), "n_shingles"), links)
+    rest = open_rows(others.select("bucket", "class"), labels)
+    # What is left has met in a bucket, but is seldom similar enough.  Two sets have no more in
+    # common than either has of shingles that occur in a second class of the rest.
+    alone = shared_counts(rest, texts, size)
+    labels = written(
+        labels.join(alone, "class", "left").select(
+            "class", "label", "n_shingles", (F.col("n_shingles") - F.coalesce("n_alone", F.lit(0))).alias("n_shared")
+        ),
+        "labels",
+    )
+    hopeful = labels.where(f"n_shared * 100 >= n_shingles * {percent}").select("class")
+    active = rest.select("bucket", "class").join(hopeful, "class", "left_semi")
+    most = "least(n_shared, shared_a)"
+    alike = f"{most} * 100 >= (n_shingles + size_a - {most}) * {percent}"
+    named_a = {"class": "a", "label": "label_a", "n_shingles": "size_a", "n_shared": "shared_a"}
+    step = 1
     while True:
-        marked = active.join(labels, "class")
-        state = marked.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")
-        )
-        open_ = state.where("low <> high").select("bucket", "n")
-        rest = written(marked.join(open_, "bucket"), "rest")
-        released(active)
+        rest = open_rows(active, labels)
         if rest.limit(1).count() == 0:
-            released(rest), released(texts)
+            released(rest), released(texts), released(met)
             return labels.select("class", "label")
-        # In the first round every bucket compares its first class with the others.
-        few = rest.where(F.lit(step > 0) & (F.col("n") <= small))
-        many = rest.where(F.lit(step == 0) | (F.col("n") > small))
+        few, many = rest.where(F.col("n") <= small), rest.where(F.col("n") > small)
         part = F.pmod(F.xxhash64("class"), F.lit(64 ** min(step, 3)))
         pivots = written(many.groupBy("bucket", part.alias("part")).agg(F.min("class").alias("a")), "pivots")
         first = pivots.join(labels.withColumnsRenamed(named_a), "a")
@@ -242,23 +310,12 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         other = few.withColumnsRenamed(named_a).select("bucket", *named_a.values())
         among = few.join(other, "bucket").where("a < class and label <> label_a").where(alike)
         among = among.select("a", F.col("class").alias("b"))
-        pairs = from_pivots.union(among).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = from_pivots.union(among).distinct().join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         links = written(linked(pairs, texts, percent, size), "links")
-        tested = pairs if tested is None else tested.union(pairs)
+        tested = tested.union(pairs)
         if links.limit(1).count():
-            ends = links.join(labels.select(F.col("class").alias("a"), F.col("label").alias("x")), "a").join(
-                labels.select(F.col("class").alias("b"), F.col("label").alias("y")), "b"
-            )
-            joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b"))
-            labels = written(
-                labels.join(joined.withColumnRenamed("label", "low"), labels.label == joined.node, "left").select(
-                    "class", F.coalesce("low", "label").alias("label"), "n_shingles"
-                ),
-                "labels",
-            )
+            labels = merged(labels, links)
         # What was a pivot has met all others of its bucket.
         active = written(
             many.join(pivots.withColumnRenamed("a", "class"), ["bucket", "class"], "left_anti").select("bucket", "class"),

@@ -11,12 +11,13 @@ collection value that no other class has is dropped before keys are formed.  In
 bucket, each round compares some pivots with the classes not yet in their component;
 verified links are joined into components between the rounds, so a bucket of thousands
 of near copies costs one comparison each.  After the first round the shingles that only
-one of the classes left has are counted; they bound what two sets can have in common,
-and many pairs of one family fall away unread.  Small rests (``small`` or fewer) are then
+one of the classes left has are counted; with the parity of the sets in 512 hash groups
+they bound what two sets can have in common, and most pairs of one family fall away
+unread.  Small rests (``small`` or fewer) are then
 compared with each other where their components still differ, larger ones get more
 pivots in the next round, until no bucket has two components with an untested pair:
 every pair that shares a bucket is in one component, or cannot be similar enough by its
-sets' sizes and unshared shingles, or was compared on its full sets of words.  No group
+sets' sizes, parities and unshared shingles, or was compared on its full sets of words.  No group
 meets in one task, and nothing is collected.
 
 Texts without words, and null texts, are linked with nothing.  Rows with equal text are
@@ -46,6 +47,7 @@ from clickloom.llm.common import (
 )
 
 COLLECTIONS, ROWS, SHINGLE = 18, 4, 5
+PARITY = 512
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -63,8 +65,9 @@ def shingles(text: str | None, size: int = SHINGLE) -> frozenset[tuple[bytes, ..
 
 
 def signatures(docs: DataFrame, collections: int = COLLECTIONS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, place, n_shingles, class, u): the shingle set's size and fingerprint, and
-    the value of each collection."""
+    """(doc_id, place, n_shingles, class, u, parity): the shingle set's size and fingerprint,
+    the value of each collection, and a bit for each of ``PARITY`` hash groups that tells
+    whether it has an odd number of shingles."""
     seeds = np.random.default_rng(collections * 1000 + rows)
     factor = seeds.integers(1, 2**63, collections * rows, np.uint64) * np.uint64(2) + np.uint64(1)
     shift = seeds.integers(0, 2**63, collections * rows, np.uint64)
@@ -72,10 +75,12 @@ def signatures(docs: DataFrame, collections: int = COLLECTIONS, rows: int = ROWS
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            out = {"n_shingles": [], "class": [], "u": []}
+            out = {"n_shingles": [], "class": [], "u": [], "parity": []}
             for text in b["text"]:
                 h = np.unique(shingle_hashes(hashes.of(_words(text)), size))
                 out["n_shingles"].append(len(h))
+                odd = np.bincount((h % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+                out["parity"].append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 if len(h) == 0:
                     out["class"].append(None)
                     out["u"].append([])
@@ -91,7 +96,7 @@ def signatures(docs: DataFrame, collections: int = COLLECTIONS, rows: int = ROWS
 
     return by_batch(
         docs.select("doc_id", "text", F.xxhash64("text").alias("place")),
-        "doc_id long, place long, n_shingles long, class binary, u array<long>",
+        "doc_id long, place long, n_shingles long, class binary, u array<long>, parity array<long>",
         run,
     )
 
@@ -278,19 +283,30 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
     labels = merged(members.select("class", F.col("class").alias("label"), "n_shingles"), links)
     rest = open_rows(others.select("bucket", "class"), labels)
     # What is left has met in a bucket, but is seldom similar enough.  Two sets have no more in
-    # common than either has of shingles that occur in a second class of the rest.
+    # common than either has of shingles that occur in a second class of the rest, and each
+    # hash group of other parity holds a shingle that only one of them has.
     alone = shared_counts(rest, texts, size)
     labels = written(
         labels.join(alone, "class", "left").select(
             "class", "label", "n_shingles", (F.col("n_shingles") - F.coalesce("n_alone", F.lit(0))).alias("n_shared")
-        ),
+        ).join(classes.select("class", "parity"), "class"),
         "labels",
     )
     hopeful = labels.where(f"n_shared * 100 >= n_shingles * {percent}").select("class")
     active = rest.select("bucket", "class").join(hopeful, "class", "left_semi")
     most = "least(n_shared, shared_a)"
-    alike = f"{most} * 100 >= (n_shingles + size_a - {most}) * {percent}"
-    named_a = {"class": "a", "label": "label_a", "n_shingles": "size_a", "n_shared": "shared_a"}
+    apart = " + ".join(f"bit_count(get(parity, {i}) ^ get(parity_a, {i}))" for i in range(PARITY // 64))
+    alike = (
+        f"{most} * 100 >= (n_shingles + size_a - {most}) * {percent}"
+        f" and (n_shingles + size_a - ({apart})) * 100 >= (n_shingles + size_a + ({apart})) * {percent}"
+    )
+    named_a = {
+        "class": "a",
+        "label": "label_a",
+        "n_shingles": "size_a",
+        "n_shared": "shared_a",
+        "parity": "parity_a",
+    }
     step = 1
     while True:
         rest = open_rows(active, labels)
@@ -338,9 +354,10 @@ def near_duplicates(
             F.min(F.struct("doc_id", "place")).alias("first"),
             F.min("doc_id").alias("least"),
             F.first("u").alias("u"),
+            F.first("parity").alias("parity"),
             F.first("n_shingles").alias("n_shingles"),
         )
-        .select("class", "n_shingles", F.col("first.doc_id").alias("doc_id"), F.col("first.place").alias("place"), "least", "u"),
+        .select("class", "n_shingles", "parity", F.col("first.doc_id").alias("doc_id"), F.col("first.place").alias("place"), "least", "u"),
         "classes",
     )
     labels = class_labels(docs, classes, percent, size)

@@ -292,8 +292,8 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         ).join(classes.select("class", "parity"), "class"),
         "labels",
     )
-    hopeful = labels.where(f"n_shared * 100 >= n_shingles * {percent}").select("class")
-    active = rest.select("bucket", "class").join(hopeful, "class", "left_semi")
+    hopeful = f"n_shared * 100 >= n_shingles * {percent}"
+    active = rest.select("bucket", "class")
     most = "least(n_shared, shared_a)"
     apart = " + ".join(f"bit_count(get(parity, {i}) ^ get(parity_a, {i}))" for i in range(PARITY // 64))
     alike = (
@@ -309,7 +309,7 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
     }
     step = 1
     while True:
-        rest = open_rows(active, labels)
+        rest = open_rows(active, labels.where(hopeful))
         if rest.limit(1).count() == 0:
             released(rest), released(texts), released(met)
             return labels.select("class", "label")

@@ -1,12 +1,13 @@
-"""Passages of several lines that documents share, found by content-defined chunks.
+"""Passages that documents share, found by chunks that only their own lines bound.
 
-Each line is hashed.  A window of two lines rolls over the hashes; where the hash of the
-window is 0 modulo ``mean_lines``, a chunk starts.  Where a passage is cut thus depends
-on its own lines, so lines put in before it shift nothing.  ``cuts`` seeds cut each text
-in as many ways, for a passage whose first or last lines one way leaves in a chunk with
-its surroundings.  A chunk of ``min_lines`` lines with text and ``min_chars`` characters
-counts.  Of equal chunks the one of the smallest (doc_id, text hash, line) stays; the
-lines of the others go, after their bytes were compared with those of the first.
+A passage is a run of at least ``min_lines`` lines with text and ``min_chars`` characters,
+or one line of more than ``long_line`` words.  Chunks are the least passages: from each
+line with text on, the shortest run that is one; up to each, the shortest that is one;
+and each long line.  They cover every passage wholly, and what stands around a passage
+has no part in them: so a line goes if, and only if, a passage with it stands earlier.
+Of equal chunks the one of the smallest (doc_id, text hash, line) stays; the lines of the
+others go, after their bytes were compared with those of the first.  A chunk that
+overlaps the first in the same text loses only the lines behind it.
 
 Only hashes are grouped over the corpus.  Texts are shuffled twice: for the comparison
 and for taking the lines out.  All of it is DataFrame functions.
@@ -25,69 +26,107 @@ from pyspark.sql import functions as F
 from clickloom.llm.common import released, written
 
 
-def _cuts(seed: int, mean_lines: int) -> Column:
-    """Where the chunks of ``_lines`` start by ``seed``, and the end of the last."""
-    starts = F.filter(
-        F.transform(
-            "_hashes",
-            lambda h, i: F.when(
-                (i == 0)
-                | (F.pmod(F.xxhash64(h, F.get("_hashes", i + 1), F.lit(seed)), F.lit(mean_lines)) == 0),
-                i,
+def _least(filled: Column, min_lines: int, min_chars: int, back: bool) -> Column:
+    """The shortest run of the lines of ``filled``, from the first on, that is a passage;
+    ``back`` if they come from last to first."""
+
+    def step(s, x):
+        lead = s["lead"] if back else x["lead"]
+        chars = s["chars"] + x["len"] + F.when(s["n"] > 0, lead).otherwise(0)
+        return F.when(s["done"], s).otherwise(
+            F.struct(
+                (s["n"] + 1).alias("n"),
+                chars.alias("chars"),
+                x["lead"].alias("lead"),
+                F.when(s["n"] > 0, s["first"]).otherwise(x["at"]).alias("first"),
+                x["at"].alias("last"),
+                ((s["n"] + 1 >= min_lines) & (chars >= min_chars)).alias("done"),
+            )
+        )
+
+    zero = F.struct(*[F.lit(0).alias(k) for k in ("n", "chars", "lead", "first", "last")], F.lit(False).alias("done"))
+    return F.aggregate(
+        filled,
+        zero,
+        step,
+        lambda s: F.when(
+            s["done"],
+            F.struct(
+                F.least(s["first"], s["last"]).alias("start"),
+                (F.greatest(s["first"], s["last"]) + 1).alias("end"),
+                s["chars"].alias("n_chars"),
             ),
         ),
-        lambda i: i.isNotNull(),
     )
-    return F.concat(starts, F.array(F.size("_lines")))
 
 
-def chunk_rows(
-    docs: DataFrame, cuts: int = 3, mean_lines: int = 2, min_lines: int = 2, min_chars: int = 80
-) -> DataFrame:
-    """(doc_id, place, start, end, h, n_chars) of the chunks that count."""
-    df = docs.where("text is not null and instr(text, '\n') > 0").select(
+def chunk_rows(docs: DataFrame, min_lines: int = 2, min_chars: int = 80, long_line: int = 50) -> DataFrame:
+    """(doc_id, place, start, end, h, n_chars) of the chunks."""
+    # Each line has a character and an end, so no chunk has more lines with text.
+    most = max(min_lines, min_chars // 2 + 1)
+    df = docs.where("text is not null").select(
         "doc_id", F.xxhash64("text").alias("place"), F.split("text", "\n").alias("_lines")
     )
-    df = df.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
-    for seed in range(cuts):
-        df = df.withColumn(f"_cuts{seed}", _cuts(seed, mean_lines))
-    every = F.concat(
-        *[
-            F.zip_with(
-                f"_cuts{seed}",
-                F.slice(f"_cuts{seed}", 2, F.size(f"_cuts{seed}")),
-                lambda a, b: F.struct(a.alias("start"), b.alias("end")),
-            )
-            for seed in range(cuts)
-        ]
+    df = df.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x))).withColumn(
+        "_at",
+        F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), lambda i: F.trim(F.get("_lines", i)) != ""),
+    )
+    # ``lead`` counts the characters between a line and the one with text before it.
+    df = df.withColumn(
+        "_filled",
+        F.transform(
+            "_at",
+            lambda at, i: F.struct(
+                at.alias("at"),
+                F.length(F.get("_lines", at)).alias("len"),
+                F.when(
+                    i > 0,
+                    F.aggregate(
+                        F.slice("_lines", F.get("_at", i - 1) + 2, at - F.get("_at", i - 1) - 1),
+                        F.lit(1),
+                        lambda total, x: total + F.length(x) + 1,
+                    ),
+                )
+                .otherwise(0)
+                .alias("lead"),
+            ),
+        ),
     )
-    wide = F.array_distinct(F.filter(every, lambda c: c["end"] - c["start"] >= min_lines))
+    long_lines = F.transform(
+        F.filter(
+            "_filled",
+            lambda x: (x["len"] > 2 * long_line)
+            & F.get("_lines", x["at"]).rlike(rf"^\s*+(?:\S++\s++){{{long_line}}}\S"),
+        ),
+        lambda x: F.struct(x["at"].alias("start"), (x["at"] + 1).alias("end"), x["len"].alias("n_chars")),
+    )
+
+    def ahead(i, most):
+        return _least(F.slice("_filled", i + 1, F.lit(most)), min_lines, min_chars, False)
+
+    def behind(i, most):
+        lines = F.slice("_filled", F.greatest(i - (most - 2), F.lit(1)), F.least(i + 1, F.lit(most)))
+        return _least(F.reverse(lines), min_lines, min_chars, True)
+
+    # Nearly always the fewest lines do, so these are tried alone first.
+    runs_on = F.transform("_filled", lambda x, i: F.coalesce(ahead(i, min_lines), ahead(i, most)))
+    runs_up = F.transform("_filled", lambda x, i: F.coalesce(behind(i, min_lines), behind(i, most)))
+    every = F.array_distinct(F.filter(F.concat(runs_on, runs_up, long_lines), lambda c: c.isNotNull()))
     hashed = F.transform(
-        wide,
+        every,
         lambda c: F.struct(
             c["start"].alias("start"),
             c["end"].alias("end"),
             F.xxhash64(F.slice("_hashes", c["start"] + 1, c["end"] - c["start"])).alias("h"),
-            F.aggregate(
-                F.slice("_lines", c["start"] + 1, c["end"] - c["start"]),
-                F.lit(-1),
-                lambda total, x: total + F.length(x) + 1,
-            ).alias("n_chars"),
-            F.size(
-                F.filter(F.slice("_lines", c["start"] + 1, c["end"] - c["start"]), lambda x: F.trim(x) != "")
-            ).alias("n_filled"),
+            c["n_chars"].alias("n_chars"),
         ),
     )
-    return (
-        df.select("doc_id", "place", F.inline(hashed))
-        .where((F.col("n_filled") >= min_lines) & (F.col("n_chars") >= min_chars))
-        .drop("n_filled")
-    )
+    return df.select("doc_id", "place", F.inline(hashed))
 
 
 def repeated(docs: DataFrame, **cutting) -> DataFrame:
-    """(doc_id, place, start, end) of the chunks to remove: equal, byte by byte, to an
-    earlier chunk."""
+    """(doc_id, place, start, end) of the lines to remove: of chunks equal, byte by byte,
+    to an earlier chunk."""
     at = F.struct("doc_id", "place", "start", "end")
     rows = written(chunk_rows(docs, **cutting), "chunks")
     groups = (
@@ -121,7 +160,17 @@ def repeated(docs: DataFrame, **cutting) -> DataFrame:
         slices.where("at <> first")
         .join(origin, ["h", "n_chars"])
         .where("bytes = original")
-        .select("at.*")
+        .select(
+            "at.doc_id",
+            "at.place",
+            F.when(
+                F.col("at.doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at.place") == F.col("first.place")),
+                F.greatest("at.start", "first.end"),
+            )
+            .otherwise(F.col("at.start"))
+            .alias("start"),
+            "at.end",
+        )
         .distinct()
     )
     out = written(out, "doomed")

@@ -217,6 +217,53 @@ def test_chunks_remove_only_what_stays_elsewhere(spark):
         assert got[d].text == "\n".join(lines)
 
 
+def brute_passages(rows):
+    """Lines of each document in a passage that an earlier document has, over all runs."""
+    first, lines = {}, {d: t.split("\n") for d, t in rows}
+    for d in sorted(lines):
+        for a in range(len(lines[d])):
+            for b in range(a + 1, len(lines[d]) + 1):
+                first.setdefault("\n".join(lines[d][a:b]), d)
+    out = {}
+    for d, ls in lines.items():
+        gone = set()
+        for a in range(len(ls)):
+            for b in range(a + 1, len(ls) + 1):
+                run = ls[a:b]
+                filled = [x for x in run if x.strip()]
+                enough = len(filled) > 1 and len("\n".join(run)) >= 80 or b - a == 1 and len(run[0].split()) > 50
+                # Blank lines at an edge are no part of a passage.
+                if enough and run[0].strip() and run[-1].strip() and first["\n".join(run)] < d:
+                    gone.update(range(a, b))
+        out[d] = gone
+    return out
+
+
+def test_chunks_find_every_shared_passage(spark):
+    r = random.Random(12)
+    rows = []
+    for i in range(96):
+        passage = [prose(f"s{i}-{k}", r.choice([2, 4, 12, 12, 60])) for k in range(1 + i % 8)]
+        if i % 5 == 0:
+            passage.insert(len(passage) // 2, "  " * (i % 2))
+        if i % 8 == 0 and i % 3:
+            passage = [prose(f"one{i}", 50 + i % 3)]
+        for j in (2 * i, 2 * i + 1):
+            around = [[prose(f"{j}-{side}-{k}", 10) for k in range(r.randint(0, 3))] for side in "ab"]
+            rows.append((j, "\n".join([*around[0], *passage, *around[1]])))
+    got = by_id(chunks.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    want = brute_passages(rows)
+    assert sum(map(len, want.values())) > 300
+    for d, _ in rows:
+        runs = [map(int, x.split("-")) for x in got[d].removed.split(",") if x]
+        assert {i for a, b in runs for i in range(a, b)} == want[d], d
+
+
+def test_chunks_keep_the_first_of_lines_repeated_in_a_text(spark):
+    rows = [(1, "\n".join(["the same line of words again and again and again"] * 9))]
+    assert chunks.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).first().removed == "2-9"
+
+
 def test_huffman_codes():
     r = random.Random(2)
     for n in (1, 2, 3, 40, 700):

@@ -1,4 +1,4 @@
-"""Benchmark passages in documents: SimHash windows, a multi-index, an exact check.
+"""Benchmark passages in documents: windows, an index without misses, an exact check.
 
 Words are lower-cased (ASCII) and freed from ASCII punctuation.  For each item of n words
 the windows of n words of all documents are looked at.  A window and an item match when
@@ -7,11 +7,12 @@ minima over sum of maxima) of at least ``threshold``.
 
 A window can only match if enough of its shingles are shingles of items of its size.  Two
 bitmaps of fixed size tell, without false negatives, which are; windows below the
-threshold go no further.  The others get a 64-bit SimHash of their words.  Item
-fingerprints are indexed in four blocks of 16 bits, each with all values within two bits:
-whatever lies within 11 bits of an item agrees in one block at least, so the join on
-(size, block, value) returns all fingerprints within the radius.  Equal windows are
-checked once, on their full shingles.
+threshold go no further.  The others and the items are put in the same order of their
+shingles, by hash (of a shingle that occurs again, the repeats count as others).  Of m
+shingles a match shares at least ``threshold`` * m, so that the first m * (1 -
+``threshold``) + 1 of a window and of an item it matches have one in common, and the join
+on (size, shingle) returns every match.  Equal windows are checked once, on their full
+shingles.
 
 Items of fewer than five words cannot be told from ordinary prose and are ignored, as are
 null and empty texts and items.  A document shorter than an item is one window.  Repeated
@@ -22,7 +23,6 @@ and item_id.  Empty tables give no matches.  Other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
-from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,7 +39,6 @@ from clickloom.llm.common import (
 )
 
 SHINGLE = 5
-RADIUS = 11
 _SLOTS = 22
 _PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)
@@ -66,32 +65,21 @@ def _sized(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(hashes + np.uint64(size * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
 
 
-def fingerprints(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the ``size`` words from each start (ascending), word by word."""
-    out = np.zeros(len(starts), np.uint64)
-    weight = np.uint64(1) << np.arange(64, dtype=np.uint64)
-    at = 0
-    while at < len(starts):
-        # A stretch of starts close together, so that what is summed up stays small.
-        low = starts[at]
-        to = min(int(np.searchsorted(starts, low + 4096)), len(starts))
-        part = mixed(words[low : starts[to - 1] + size])
-        votes = (((part[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)).astype(np.int32)) * 2 - 1
-        total = np.concatenate([np.zeros((1, 64), np.int32), np.cumsum(votes, 0)])
-        own = starts[at:to] - low
-        ends = np.minimum(own + size, len(part))
-        out[at:to] = ((total[ends] - total[own] > 0) * weight).sum(1, dtype=np.uint64)
-        at = to
-    return out
+def leading(shingles: np.ndarray, threshold: float) -> np.ndarray:
+    """The first shingles by hash: of two lists that match, these have one in common."""
+    s = np.sort(shingles)
+    again = (np.arange(len(s)) - np.searchsorted(s, s)).astype(np.uint64)
+    ordered = np.sort(mixed(s + again * np.uint64(0x9E3779B97F4A7C15)))
+    return ordered[: len(s) - int(np.ceil(threshold * len(s) - 1e-9)) + 1]
 
 
 def item_table(items: DataFrame) -> DataFrame:
-    """(item_id, size, fingerprint, words, shingles, sized) of the items that count."""
+    """(item_id, size, words, shingles, sized) of the items that count."""
 
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            out = {k: [] for k in ("item_id", "size", "fingerprint", "words", "shingles", "sized")}
+            out = {k: [] for k in ("item_id", "size", "words", "shingles", "sized")}
             for item_id, text in zip(b["item_id"], b["text"]):
                 words = words_of(text)
                 if len(words) < SHINGLE:
@@ -100,7 +88,6 @@ def item_table(items: DataFrame) -> DataFrame:
                 s = shingle_hashes(w, SHINGLE)
                 out["item_id"].append(item_id)
                 out["size"].append(len(words))
-                out["fingerprint"].append(fingerprints(w, np.array([0]), len(words)).view(np.int64)[0])
                 out["words"].append(b" ".join(words).decode())
                 out["shingles"].append(s.view(np.int64))
                 out["sized"].append(_sized(s, len(words)).view(np.int64))
@@ -108,13 +95,13 @@ def item_table(items: DataFrame) -> DataFrame:
 
     return by_batch(
         items.select(F.col("item_id").cast("long").alias("item_id"), "text"),
-        "item_id long, size int, fingerprint long, words string, shingles array<long>, sized array<long>",
+        "item_id long, size int, words string, shingles array<long>, sized array<long>",
         run,
     ).distinct()
 
 
 def windows(docs: DataFrame, sizes: list[int], any_item: bytes, by_size: bytes, threshold: float) -> DataFrame:
-    """(doc_id, place, size, start, end, fingerprint, words) of the windows that may match."""
+    """(doc_id, place, size, start, end, words) of the windows that may match."""
     shared = docs.sparkSession.sparkContext.broadcast((sizes, any_item, by_size))
 
     def run(batches):
@@ -122,7 +109,7 @@ def windows(docs: DataFrame, sizes: list[int], any_item: bytes, by_size: bytes,
         hashes, slots = WordHashes(), np.uint64((1 << _SLOTS) - 1)
         fewest = min((needed(n, threshold) for n in sizes), default=0)
         for b in batches:
-            out = {k: [] for k in ("doc_id", "place", "size", "start", "end", "fingerprint", "words")}
+            out = {k: [] for k in ("doc_id", "place", "size", "start", "end", "words")}
             for doc_id, place, text in zip(b["doc_id"], b["place"], b["text"]):
                 words = words_of(text)
                 if len(words) < SHINGLE or not sizes:
@@ -152,51 +139,39 @@ def windows(docs: DataFrame, sizes: list[int], any_item: bytes, by_size: bytes,
                         starts = np.flatnonzero(np.cumsum(edge) > 0)
                     if not len(starts):
                         continue
-                    prints = fingerprints(w, starts, size).view(np.int64)
-                    for start, p in zip(starts.tolist(), prints.tolist()):
+                    for start in starts.tolist():
                         end = min(start + size, len(words))
                         out["doc_id"].append(doc_id)
                         out["place"].append(place)
                         out["size"].append(size)
                         out["start"].append(start)
                         out["end"].append(end)
-                        out["fingerprint"].append(p)
                         out["words"].append(b" ".join(words[start:end]).decode())
             yield out
 
     return by_batch(
         docs.select("doc_id", F.xxhash64("text").alias("place"), "text"),
-        "doc_id long, place long, size int, start int, end int, fingerprint long, words string",
+        "doc_id long, place long, size int, start int, end int, words string",
         run,
     )
 
 
-def _block(fingerprint: str):
-    """(block, value) of the four 16-bit blocks of a fingerprint column."""
-    return F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("block"),
-                    F.shiftrightunsigned(fingerprint, 16 * i).bitwiseAND(F.lit(65535)).cast("int").alias("value"),
-                )
-                for i in range(4)
-            ]
-        )
-    ).alias("b")
-
-
-def _index(items: DataFrame) -> DataFrame:
-    """(size, block, value, item_key, item_print): every value within two bits of a block."""
-    flips = [0, *(1 << i for i in range(16)), *(1 << i | 1 << j for i, j in combinations(range(16), 2))]
-    blocks = items.select("size", "item_key", F.col("fingerprint").alias("item_print"), _block("fingerprint"))
-    return blocks.distinct().select(
-        "size",
-        "item_key",
-        "item_print",
-        F.col("b.block").alias("block"),
-        F.explode(F.transform(F.lit(flips), lambda x: F.col("b.value").bitwiseXOR(x))).alias("value"),
-    )
+def _index(df: DataFrame, name: str, threshold: float) -> DataFrame:
+    """(size, ``name``, shingle): the leading shingles of the words of each row."""
+
+    def run(batches):
+        hashes = WordHashes()
+        for b in batches:
+            out = {k: [] for k in ("size", name, "shingle")}
+            for size, key, words in zip(b["size"], b[name], b["words"]):
+                w = hashes.of(words.encode().split(b" "))
+                first = leading(shingle_hashes(w, SHINGLE), threshold).view(np.int64).tolist()
+                out["size"] += [size] * len(first)
+                out[name] += [key] * len(first)
+                out["shingle"] += first
+            yield out
+
+    return by_batch(df.select("size", name, "words"), f"size int, {name} long, shingle long", run)
 
 
 def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -207,15 +182,15 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFr
     by_size = bitmap_of_longs(table.select(F.explode("sized").alias("s")), "s", _SLOTS)
     sizes = sorted(r.size for r in table.select("size").distinct().collect())
     found = written(windows(docs, sizes, any_item, by_size, threshold), "windows")
-    different = found.select("size", "words", "fingerprint").distinct()
+    different = found.select("size", "words").distinct().withColumn("window_key", F.xxhash64("words"))
+    of_items = table.select("size", "item_key", "words").distinct()
     near = (
-        different.select("size", "words", "fingerprint", _block("fingerprint"))
-        .select("size", "words", "fingerprint", F.col("b.block").alias("block"), F.col("b.value").alias("value"))
-        .join(_index(table), ["size", "block", "value"])
-        .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-        .select("size", "words", "item_key")
+        _index(different, "window_key", threshold)
+        .join(_index(of_items, "item_key", threshold), ["size", "shingle"])
+        .select("size", "window_key", "item_key")
         .distinct()
-        .join(table.select("size", "item_key", F.col("words").alias("item")).distinct(), ["size", "item_key"])
+        .join(different, ["size", "window_key"])
+        .join(of_items.withColumnRenamed("words", "item"), ["size", "item_key"])
         .select("size", "words", "item")
     )
 

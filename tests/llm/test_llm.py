@@ -353,6 +353,22 @@ def test_decontamination_finds_all_similar_windows(spark):
     assert {(r.doc_id, r.item_id): r.similarity for r in got.collect()} == want
 
 
+def test_decontamination_finds_passages_at_the_threshold(spark):
+    """A passage cut off at the end of a document has one window, just similar enough."""
+    items, rows = [], []
+    for size in (5, 13, 22, 31, 50, 100):
+        for i in range(20):
+            words = prose(f"{size}-{i}", size).split()
+            changed = [words[:k] + [f"w{k}"] * (size - k) for k in range(size + 1)]
+            least = next(w for w in changed if decontam.similarity(w, words) >= 0.8)
+            items.append((size * 100 + i, " ".join(words)))
+            rows.append((size * 100 + i, " ".join(least)))
+    got = decontam.matches(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert {r.doc_id for r in got if r.doc_id == r.item_id} == {i for i, _ in items}
+
+
 def test_bpe(docs, empty):
     import tiktoken
 

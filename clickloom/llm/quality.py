@@ -2,9 +2,9 @@
 
 A line is normalised (lower case, white space runs to one blank) and hashed.  For each
 host the different texts with the line are counted; copies of one text count once.  A
-line found in more than ``min_documents`` texts of a host and in more than ``share`` of
-them is removed from all documents of that host.  A document left with less than
-``least_left`` of its words is depleted and rejected.
+line found in more than ``min_documents`` texts of a host is removed from all documents
+of that host, however many it has.  A document left with less than ``least_left`` of its
+words is depleted and rejected.
 
 Hosts and lines may be as common as they like: counts are combined before they are
 shuffled, and the repeated lines are joined under ``SALTS`` salts.
@@ -97,21 +97,16 @@ def measure(docs: DataFrame) -> DataFrame:
     )
 
 
-def judge(
-    docs: DataFrame, min_documents: int = 10, share: float = 0.01, least_left: float = 0.5
-) -> DataFrame:
+def judge(docs: DataFrame, min_documents: int = 10, least_left: float = 0.5) -> DataFrame:
     """The base measures, ``base_failed``, ``removed_words`` and ``kept`` of each row."""
     rows = written(measure(docs).withColumn("row", F.monotonically_increasing_id()), "measured")
     # One row for each line of each different text of a host.
     texts = rows.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"))
-    hosts = texts.groupBy("host").agg(F.count("*").alias("n_texts"))
     common = (
         texts.select("host", F.inline("lines"))
         .groupBy("host", "line")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > min_documents)
-        .join(hosts, "host")
-        .where(F.col("n") > F.lit(share) * F.col("n_texts"))
         .select("host", "line", F.explode(F.expr(f"sequence(0, {SALTS - 1})")).alias("salt"))
     )
     common = written(common, "common")

@@ -146,6 +146,13 @@ def test_quality(spark, docs, empty):
     assert all(judged[i].kept and judged[i].removed_words == 12 for i in range(30)) and not judged[100].kept
 
 
+def test_quality_limit_does_not_grow_with_the_host(spark):
+    line = prose("line", 12)
+    rows = [(i, f"{prose(i % 50, 60)} {i}" + ("\n" + line) * (i < 11), "hot") for i in range(3000)]
+    judged = by_id(quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    assert {i: r.removed_words for i, r in judged.items() if r.removed_words} == {i: 12 for i in range(11)}
+
+
 def brute_components(rows, percent):
     sets = [minhash.shingles(t) for _, t in rows]
     label = list(range(len(rows)))

@@ -11,14 +11,14 @@ longer it is.
 
 What passes is held against false discoveries by length: strings of letters alone in the
 case of prose are known to be no secrets and serve as decoys.  For each encoding and
-length class, counted over the whole corpus, the lowest threshold of p is taken at which
+length class, each different string counted once over the whole corpus, the lowest threshold of p is taken at which
 decoys passing are at most ``fdr`` of all that pass; where no threshold does, nothing of
 that class is reported.
 
 One pass reads the texts; thresholds come from a histogram of fixed size.
 
 Null and empty texts have no spans.  A null ``doc_id`` is kept.  Repeated rows get equal
-results (and count again in the histogram).  An empty table gives an empty table.  Other
+results, and repeated strings change no threshold.  An empty table gives an empty table.  Other
 columns are not read.
 """
 
@@ -107,6 +107,8 @@ def battery(s: str, alphabet: str) -> float:
 
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     """Strings for the battery outside the pattern matches, with their p-values."""
+    import xxhash
+
     out, k, ends = [], 0, 0
     for m in _STRING.finditer(text):
         while k < len(spans) and spans[k][0] < m.end():
@@ -124,6 +126,7 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
             {
                 "start": m.start(),
                 "end": m.end(),
+                "id": xxhash.xxh3_64_intdigest(s) - (1 << 63),
                 "encoding": got[0],
                 "size": len(s).bit_length() * 2 + (len(s) >> (len(s).bit_length() - 2) & 1),
                 "decoy": bool(_PROSE.fullmatch(s)),
@@ -148,7 +151,7 @@ def scanned(docs: DataFrame) -> DataFrame:
         docs.select("doc_id", F.xxhash64("text").alias("place"), "text"),
         "doc_id long, place long, n array<long>, "
         "base array<struct<start:int, rank:int, kind:string, end:int>>, "
-        "strings array<struct<start:int, end:int, encoding:string, size:int, decoy:boolean, p:double>>",
+        "strings array<struct<start:int, end:int, id:long, encoding:string, size:int, decoy:boolean, p:double>>",
         run,
     )
 
@@ -175,12 +178,15 @@ def find(docs: DataFrame, fdr: float = 0.05, alpha: float = 0.01) -> DataFrame:
     rows = written(scanned(docs), "scanned")
     counts = (
         rows.select(F.inline("strings"))
-        .groupBy(
+        .select(
+            "id",
             "encoding",
             "size",
             "decoy",
             F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"),
         )
+        .distinct()
+        .groupBy("encoding", "size", "decoy", "bin")
         .agg(F.count("*").alias("n"))
     )
     limits = thresholds([tuple(r) for r in counts.collect()], fdr, alpha)

@@ -405,6 +405,20 @@ def test_secrets(spark, docs, empty):
     assert secrets.find(docs).count() == docs.count() and secrets.find(empty).count() == 0
 
 
+def test_secrets_count_a_string_once(spark):
+    """Copies of one decoy that looks random do not silence its class."""
+    r = random.Random(7)
+    base32 = secrets.ALPHABETS["base32"][0]
+    keys = ["".join(r.choice(base32) for _ in range(22)) + "27" for _ in range(80)]
+    upper = ("".join(r.choice(base32[:26]) for _ in range(24)) for _ in range(1000))
+    decoy = next(s for s in upper if secrets.battery(s, base32) > 0.9)
+    rows = [(i, f"see {key} here") for i, key in enumerate(keys)]
+    rows += [(1000 + i, f"page {i} of {decoy} again") for i in range(400)]
+    found = by_id(secrets.find(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sum(found[i].n_random for i in range(80)) >= 70
+    assert sum(found[1000 + i].n_random for i in range(400)) == 0
+
+
 def test_kdtree(spark, docs, empty):
     rows = spark.range(4000).select(
         F.col("id").alias("doc_id"),

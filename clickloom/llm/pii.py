@@ -1,7 +1,10 @@
 """Personal data by pattern, and words that give a person away by company.
 
 Patterns find e-mail addresses, IPv4 addresses, payment cards and phone numbers.  Each
-distinct value is a protected entity.  A word reveals an entity as far as knowing the
+distinct value is a protected entity.  A word is whatever stands between blanks outside
+the patterns, less punctuation and symbols at its ends: letters, digits and marks of any
+script, of any length.  Of a word with punctuation inside, such as ``4471-A``, its parts
+are looked at too, and the spans of both may overlap.  A word reveals an entity as far as knowing the
 word narrows the entity down: the pointwise mutual information of the two, over the
 information content of the entity,
 
@@ -24,7 +27,9 @@ results.  An empty table gives an empty table.  Other columns are not read.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -43,7 +48,13 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+# Beyond the first plane only the block of pictures: a class of many ranges there is slow.
+_OUTER = "\U0001f000-\U0001fbef" + "".join(
+    re.escape(c) for c in map(chr, range(0x10000)) if unicodedata.category(c)[0] in "PSC" and not c.isspace()
+)
+_PART = re.compile(rf"[^\s{_OUTER}]++")
+_JOINED = re.compile(rf"[^\s{_OUTER}]++(?:[{_OUTER}]++[^\s{_OUTER}]++)+")
+_WORD = re.compile(rf"[^\s{_OUTER}]++(?:[{_OUTER}]++[^\s{_OUTER}]++)*")
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -104,24 +115,30 @@ def contexts(docs: DataFrame, window: int = 8) -> DataFrame:
             out = {"entity": [], "context": [], "terms": []}
             for text in b["text"]:
                 spans = base_spans(text)
+                if not spans:
+                    continue
+                words = [(m.start(), m.end(), m[0].lower()) for m in _WORD.finditer(_blank(text, spans))]
+                starts, ends = [w[0] for w in words], [w[1] for w in words]
                 for start, kind, end in spans:
-                    # Of a long text only the neighbourhood is cut into words.
-                    left = _TERM.findall(_blank(text[max(0, start - 40 * window) : start]))[-window:]
-                    right = _TERM.findall(_blank(text[end : end + 40 * window]))[:window]
-                    words = [w.lower() for w in left + right]
+                    k = bisect_right(ends, start)
+                    n = bisect_left(starts, end)
+                    near = [w for *_, w in words[max(0, k - window) : k] + words[n : n + window]]
                     out["entity"].append(_entity(kind, text[start:end]))
-                    out["context"].append(zlib.crc32(" ".join(words).encode()))
-                    out["terms"].append(sorted(set(words)))
+                    out["context"].append(zlib.crc32(" ".join(near).encode()))
+                    out["terms"].append(sorted({*near, *(x for w in near for x in _PART.findall(w))}))
             yield out
 
     return by_batch(docs.select("text"), "entity string, context long, terms array<string>", run)
 
 
-def _blank(text: str) -> str:
-    """``text`` with its own pattern matches blanked out."""
-    for start, _, end in base_spans(text):
-        text = text[:start] + " " * (end - start) + text[end:]
-    return text
+def _blank(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """``text`` with its pattern matches blanked out."""
+    out, at = [], 0
+    for start, _, end in spans:
+        if end > at:
+            out += [text[at:start], " " * (end - max(at, start))]
+            at = end
+    return "".join(out) + text[at:]
 
 
 def disclosure(
@@ -227,7 +244,8 @@ def find(
 def _suspects(text, spans, marks):
     if not text:
         return []
-    words = {w.lower() for w in _TERM.findall(text)}
+    text = _blank(text, spans)
+    words = {w.lower() for w in _PART.findall(text)} | {w.lower() for w in _JOINED.findall(text)}
     if not words:
         return []
     words = list(words)
@@ -235,15 +253,13 @@ def _suspects(text, spans, marks):
     hit = bits_set(marks, slots % (len(marks) * 8))
     if not hit.any():
         return []
-    wanted, out, k = {w for w, h in zip(words, hit) if h}, [], 0
-    ends = 0
-    for m in _TERM.finditer(text):
-        while k < len(spans) and spans[k][0] < m.end():
-            ends = max(ends, spans[k][2])
-            k += 1
-        if m.start() >= ends and m[0].lower() in wanted:
-            out.append({"term": m[0].lower(), "start": m.start(), "end": m.end()})
-    return out
+    wanted = {w for w, h in zip(words, hit) if h}
+    return [
+        {"term": m[0].lower(), "start": m.start(), "end": m.end()}
+        for words in (_PART, _JOINED)
+        for m in words.finditer(text)
+        if m[0].lower() in wanted
+    ]
 
 
 def sanitised(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -118,6 +118,24 @@ def test_pii_disclosing_words(spark):
     assert "zorblax" not in clean[200].text and "[EMAIL]" in clean[0].text and clean[55].text == rows[11][1]
 
 
+def test_pii_words_of_any_kind(spark):
+    """Account names, numbers, short names and other scripts, far off behind blanks too."""
+    told = ["jdoe42", "4471-A", "K7", "Ng", "李明", "हिन्दी", "u48213"]
+    rows = []
+    for i, word in enumerate(told):
+        for k in range(6):
+            far, near = prose(f"{i} {k}", 40), prose(f"n{i} {k}", 5)
+            rows.append((100 * i + k, f"{far} ({word}), {near}{' ' * 900}p{i}@x.example.com {' - ' * 300} {prose(k, 9)}"))
+        rows.append((100 * i + 50, f"alone {word}; here"))
+    rows += [(5000 + i, prose(3000 + i, 80)) for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.find(table)
+    got, clean = by_id(found), by_id(pii.sanitised(table, found))
+    for i, word in enumerate(told):
+        assert {(s.start, s.end) for s in got[100 * i + 50].spans} >= {(6, 6 + len(word))}, word
+        assert word not in clean[100 * i + 50].text and word not in clean[100 * i].text
+
+
 def brute_repeats(words):
     seen, out = {}, set()
     for i in range(len(words) - 7):

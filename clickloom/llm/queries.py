@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, chunks, decontam, huffman, kdtree, langid, minhash, pii, quality, secrets
+from clickloom.llm import (
+    bpe,
+    chunks,
+    decontam,
+    huffman,
+    kdtree,
+    langid,
+    merkle,
+    minhash,
+    pii,
+    quality,
+    secrets,
+)
 from clickloom.llm.common import documents, table
 from clickloom.sources.scratch import scratch_path
 
@@ -73,6 +85,22 @@ def op10_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.digest(kdtree.sharded(documents(spark, sf_dir), shards=40))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    joined = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    made = merkle.manifest(documents(spark, sf_dir), claims={"text": joined})
+    return merkle.proofs(made).select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        "proof_sha256",
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+        "slot",
+    )
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -81,4 +109,4 @@ def vocabulary(name: str) -> str:
 
 def all_queries() -> dict[str, Query]:
     found = (op1_pii, op2_quality, op3_minhash, op4_chunks, op5_huffman, op6_langid, op7_decontam, op8_bpe)
-    return {f.__name__: f for f in (*found, op9_secrets, op10_kdtree)}
+    return {f.__name__: f for f in (*found, op9_secrets, op10_kdtree, op11_merkle)}

@@ -17,6 +17,7 @@ from clickloom.llm import (
     merkle,
     minhash,
     pii,
+    pivots,
     quality,
     secrets,
 )
@@ -101,6 +102,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -109,4 +114,4 @@ def vocabulary(name: str) -> str:
 
 def all_queries() -> dict[str, Query]:
     found = (op1_pii, op2_quality, op3_minhash, op4_chunks, op5_huffman, op6_langid, op7_decontam, op8_bpe)
-    return {f.__name__: f for f in (*found, op9_secrets, op10_kdtree, op11_merkle)}
+    return {f.__name__: f for f in (*found, op9_secrets, op10_kdtree, op11_merkle, op12_pivots)}

@@ -4,11 +4,11 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm import merkle, queries
-from clickloom.llm.common import documents
+from clickloom.llm import merkle, pivots, queries
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, tree string, slot int, id long, node string"
 
@@ -104,3 +104,96 @@ def test_merkle_finds_each_change(spark):
     claimed = F.when(F.col("doc_id") % 50 == 7, F.lit(None).cast("string")).otherwise(F.col("lang"))
     got = merkle.proofs(merkle.manifest(table, claims={"lang": claimed})).where("folded_root <> root")
     assert sorted(r.id for r in got.collect()) == [7, 57, 107, 157, 207, 257]
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, row long, unit string, cell int"
+
+
+def brute_links(rows, cosine=0.95):
+    """n_links and component of each row, by all pairs."""
+    good = [i for i, r in enumerate(rows) if r[1] is not None and len(r[1]) == 16 and None not in r[1]]
+    x = np.array([rows[i][1] for i in good], np.float32).astype(np.float64)
+    keep = np.isfinite(x).all(axis=1) & (x != 0).any(axis=1)
+    good, x = [i for i, k in zip(good, keep) if k], x[keep]
+    x /= np.abs(x).max(axis=1)[:, None]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    linked = x @ x.T >= cosine
+    np.fill_diagonal(linked, False)
+    links, label = [0] * len(rows), list(range(len(rows)))
+    while True:
+        before = list(label)
+        for k, i in enumerate(good):
+            links[i] = int(linked[k].sum())
+            for m in np.nonzero(linked[k])[0]:
+                label[i] = label[good[m]] = min(label[i], label[good[m]])
+        if label == before:
+            break
+    ids = {}
+    for c, r in zip(label, rows):
+        ids.setdefault(c, []).append(r[0])
+    low = {c: min((i for i in found if i is not None), default=None) for c, found in ids.items()}
+    return sorted(((r[0], n, low[c], r[0] == low[c]) for r, n, c in zip(rows, links, label)), key=str)
+
+
+def near(r, x, cosine):
+    z = r.normal(size=len(x))
+    z -= (z @ x) * x
+    return cosine * x + np.sqrt(1 - cosine**2) * z / np.linalg.norm(z)
+
+
+def vector_rows():
+    r = np.random.default_rng(5)
+    base = r.normal(size=(700, 16))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    found = list(base)
+    for i in range(60):  # pairs, and chains, above and below the limit
+        found.append(near(r, base[i], r.uniform(0.93, 0.999)))
+        found.append(near(r, found[-1], r.uniform(0.94, 0.97)) * 3)
+    for centre, n, tight in ((300, 300, 0.99), (301, 150, 0.975), (302, 120, 0.965), (303, 60, 0.95)):
+        found += [near(r, base[centre], tight) for _ in range(n)]
+    found += [base[400]] * 150 + [base[401] * 7, base[401] * 1e-30, base[402] * 1e30]
+    found += [near(r, base[400], c) for c in np.linspace(0.93, 0.97, 40)]
+    order = r.permutation(len(found))
+    rows = [(int(3 * i), [float(v) for v in np.float32(found[k])], int(i % 3)) for i, k in enumerate(order)]
+    odd = [None, [0.0] * 16, [1.0] * 15 + [None], [1.0] * 15 + [float("nan")], [float("inf")] + [0.0] * 15, [], [1.0] * 3]
+    rows += [(9000 + i, v, 1) for i, v in enumerate(odd)]
+    return [*rows, rows[0], rows[0], (None, rows[1][1], 1), (None, None, None), (None, odd[1], None)]
+
+
+def linked(table):
+    got = pivots.near_duplicates(table).select("vec_id", "n_links", "component_id", "kept").collect()
+    return sorted(map(tuple, got), key=str)
+
+
+@pytest.mark.parametrize("part", [4096, 64])
+def test_pivots(spark, monkeypatch, part):
+    """Parts of 64 rows cut cells, lists and open balls into blocks."""
+    monkeypatch.setattr(pivots, "PART", part)
+    rows = vector_rows()
+    table = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], VECTORS).repartition(4)
+    got, want = linked(table), brute_links(rows)
+    assert len(got) == len(want)
+    wrong = [(a, b) for a, b in zip(got, want) if a != b]
+    missed = sum(b[1] for _, b in wrong) - sum(a[1] for a, _ in wrong)
+    assert missed <= 0.005 * sum(b[1] for b in want), wrong[:5]
+    assert len(wrong) <= 0.02 * len(want), wrong[:5]
+
+
+def test_pivots_recall_at_the_limit(spark):
+    """Single pairs of 64 dimensions just above the limit."""
+    r = np.random.default_rng(8)
+    base = r.normal(size=(3000, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    pairs = [near(r, base[i], 0.9501 + 0.00002 * i) for i in range(1000)]
+    rows = [(i, [float(v) for v in x], 0) for i, x in enumerate([*base, *pairs])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {x.vec_id: x for x in pivots.near_duplicates(table).collect()}
+    assert sum(got[3000 + i].component_id == i for i in range(1000)) >= 985
+    assert all(got[i].n_links == 0 for i in range(1000, 3000))
+
+
+@pytest.mark.parametrize("rows", [[], [(4, [1.0, 2.0], 1)], [(None, None, None)] * 3, [(i, [1.0], 1) for i in range(40)]])
+def test_pivots_of_few_rows(spark, rows):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    n = 39 if len(rows) == 40 else 0
+    assert linked(table) == sorted(((i, n, 0 if n else i, not n or i == 0) for i, *_ in rows), key=str)

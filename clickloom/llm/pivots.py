@@ -157,7 +157,7 @@ def find_balls(of: DataFrame, angle: float) -> DataFrame:
     cells = of.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SMALLEST_BALL)
     parts = F.ceil(F.col("n") / PART)
     cut = of.join(cells.select("cell", parts.alias("parts")), "cell")
-    cut = cut.withColumn("part", F.pmod(F.xxhash64("row"), "parts"))
+    cut = cut.withColumn("part", F.pmod(F.xxhash64("row"), "parts")).repartition("cell", "part")
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.column("row").to_numpy()

@@ -16,6 +16,7 @@ from clickloom.llm import (
     langid,
     merkle,
     minhash,
+    negatives,
     pii,
     pivots,
     quality,
@@ -106,6 +107,11 @@ def op12_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved)
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -114,4 +120,4 @@ def vocabulary(name: str) -> str:
 
 def all_queries() -> dict[str, Query]:
     found = (op1_pii, op2_quality, op3_minhash, op4_chunks, op5_huffman, op6_langid, op7_decontam, op8_bpe)
-    return {f.__name__: f for f in (*found, op9_secrets, op10_kdtree, op11_merkle, op12_pivots)}
+    return {f.__name__: f for f in (*found, op9_secrets, op10_kdtree, op11_merkle, op12_pivots, op13_negatives)}

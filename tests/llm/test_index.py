@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.llm import merkle, pivots, queries
+from clickloom.llm import merkle, negatives, pivots, queries
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, tree string, slot int, id long, node string"
 
@@ -197,3 +197,60 @@ def test_pivots_of_few_rows(spark, rows):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     n = 39 if len(rows) == 40 else 0
     assert linked(table) == sorted(((i, n, 0 if n else i, not n or i == 0) for i, *_ in rows), key=str)
+
+
+def brute_negatives(rows):
+    seen = {}
+    for i, v, lab in rows:
+        if i is None or lab is None or v is None or len(v) != 16 or None in v or not np.isfinite(v).all():
+            continue
+        lab = (lab + 1) % 10 if i % 7 == 0 else lab
+        x = [int(np.floor(np.float64(np.float32(c)) * 256)) for c in v]
+        seen[i] = min(seen.get(i, (lab, x)), (lab, x), key=lambda e: (e[0], np.array(e[1], np.float64).tobytes()))
+    out = []
+    for a, (lab, x) in seen.items():
+        if a % 100:
+            continue
+        scored = {i: sum(p * q for p, q in zip(x, y)) for i, (_, y) in seen.items()}
+        ranked = sorted((i for i in seen if i != a), key=lambda i: (-scored[i], i))
+        others = [i for i in ranked if seen[i][0] != lab]
+        for p in [i for i in ranked if seen[i][0] == lab][:5]:
+            ps = scored[p]
+            fit = [i for i in others if 30 * ps <= 100 * scored[i] <= 90 * ps][:10]
+            out += [(a, p, k + 1, i, ps, scored[i]) for k, i in enumerate(fit)]
+    return sorted(out)
+
+
+def mined(spark, monkeypatch, rows):
+    table = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], VECTORS).repartition(3)
+    monkeypatch.setattr(queries, "table", lambda *_: table)
+    got = queries.op13_negatives(spark, "")
+    assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert dict(got.dtypes)["rank"] == "int"
+    return sorted(map(tuple, got.collect()))
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_negatives(spark, monkeypatch, small):
+    """With small blocks and passes there are many trees, slices and reads."""
+    if small:
+        monkeypatch.setattr(negatives, "BLOCK", 4)
+        monkeypatch.setattr(negatives, "SLICE", 37)
+        monkeypatch.setattr(negatives, "PASS_BYTES", 8 * 128)
+    rows = [(i, v, None if i and i % 501 == 0 else (i or 0) % 10) for i, v, _ in vector_rows()]
+    rows += [(100, rows[5][1], 1), (200, rows[6][1], 0)]
+    # Whole components give many equal scores; one coarse copy group ties throughout.
+    rows += [(20_000 + 10 * k, [float(k % 3)] * 8 + [1.0] * 8, k % 4) for k in range(200)]
+    assert mined(spark, monkeypatch, rows) == brute_negatives(rows)
+
+
+def test_negatives_of_huge_numbers(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    rows = [(50 * i, [float(np.float32(c)) for c in r.normal(size=16) * 10 ** r.uniform(0, 6.5)], i % 3) for i in range(60)]
+    got = mined(spark, monkeypatch, rows)
+    assert got == brute_negatives(rows) and max(x[4] for x in got) > 2**53
+
+
+@pytest.mark.parametrize("rows", [[], [(100, [1.0] * 16, 1)], [(None, None, None)], [(7, [1.0] * 16, 1)] * 3])
+def test_negatives_of_few_rows(spark, monkeypatch, rows):
+    assert mined(spark, monkeypatch, rows) == []

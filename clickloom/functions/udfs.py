@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.functions.grouped import fold_values
+
 
 @F.pandas_udf(T.IntegerType())
 def text_length(s: pd.Series) -> pd.Series:
@@ -127,9 +129,10 @@ def fold_in_batches(
 
 
 def list_function(fold: Callable[[list], float], kind: str = "bigint"):
-    """``fold`` as a function of an array column, for DataFrames and, registered, SQL:
-    ``SELECT fold(collect_list(v)) … GROUP BY k``.  It sees a key's whole list, so
-    lists have to fit in memory as ``collect_list`` itself asks."""
+    """``fold`` as a function of an array column, for DataFrames and, registered, SQL.
+
+    It is for columns that hold lists.  Over ``collect_list(v)`` a key's values would have to fit
+    in one row; ``grouped.register_fold`` has no such limit."""
 
     @F.arrow_udf(kind)
     def over(lists: pa.Array) -> pa.Array:
@@ -139,8 +142,8 @@ def list_function(fold: Callable[[list], float], kind: str = "bigint"):
 
 
 def over_lists(
-    df: DataFrame, keys: Sequence[str], value: str, fold: Callable[[list], float], kind: str = "bigint", out: str = "n"
+    df: DataFrame, keys: Sequence[str], value: str, fold: Callable[[Iterator], object], kind: str = "bigint", out: str = "n"
 ) -> DataFrame:
-    """Any Python function over each key's whole list of values, without NULLs."""
-    lists = df.groupBy(*keys).agg(F.collect_list(value).alias(out))
-    return lists.select(*keys, list_function(fold, kind)(out).alias(out))
+    """Any Python function over all values of each key, without NULLs.  It is given an
+    iterator and may read any number of values: see ``grouped.fold_values``."""
+    return fold_values(df, keys, value, fold, kind, out)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.functions import udfs
+from clickloom.functions import grouped, udfs
 from clickloom.operators import actions as act
 from clickloom.operators import funnel, joins, merge, ordered, ranking, sales, summary, text
 from clickloom.plans import tables as t
@@ -233,35 +233,58 @@ def count_matching(spark, d):
     return summary.count_matching(orders, "o_custkey", F.col("o_orderpriority") == "1-URGENT")
 
 
+def _count_urgent(priorities):
+    return sum(p == "1-URGENT" for p in priorities)
+
+
 @query
 def udf_over_list(spark, d):
-    def count_urgent(priorities: list) -> int:
-        return sum(p == "1-URGENT" for p in priorities)
-
-    return udfs.over_lists(
-        t.table(spark, d, "orders"), ["o_custkey"], "o_orderpriority", count_urgent
-    )
+    return udfs.over_lists(t.table(spark, d, "orders"), ["o_custkey"], "o_orderpriority", _count_urgent)
 
 
 @query
 def udf_over_list_sql(spark, d):
-    def count_urgent(priorities: list) -> int:
-        return sum(p == "1-URGENT" for p in priorities)
-
-    spark.udf.register("count_urgent", udfs.list_function(count_urgent))
+    grouped.register_fold(spark, "count_urgent", _count_urgent, "o_custkey bigint", "n bigint")
     t.table(spark, d, "orders").createOrReplaceTempView("orders_udf")
     return spark.sql(
-        "SELECT o_custkey, count_urgent(collect_list(o_orderpriority)) AS n FROM orders_udf GROUP BY o_custkey"
+        "SELECT * FROM count_urgent(TABLE(SELECT o_custkey, o_orderpriority FROM orders_udf) PARTITION BY o_custkey)"
     )
 
 
 @query
-def fold_in_batches(spark, d):
-    def count_urgent(priorities: list) -> int:
-        return sum(p == "1-URGENT" for p in priorities)
+def udf_over_array(spark, d):
+    """A Python function of a column that holds lists: the span of each embedding."""
 
+    def span(values):
+        return max(values) - min(values)
+
+    vectors = t.table(spark, d, "embeddings")
+    spans = vectors.select("vec_id", udfs.list_function(span, "double")("embedding").alias("span"))
+    return spans.select("vec_id", F.round("span", 4).alias("span"))
+
+
+@query
+def longest_gap(spark, d):
+    """The longest pause between two events of a user, by a function over their times in order."""
+
+    def longest(times):
+        most, before = 0, None
+        for now in times:
+            if before is not None:
+                most = max(most, now - before)
+            before = now
+        return most
+
+    seconds = t.table(spark, d, "events").select(
+        "user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("at")
+    )
+    return grouped.fold_values(seconds, ["user_id"], "at", longest, out="seconds", order=["at"])
+
+
+@query
+def fold_in_batches(spark, d):
     return udfs.fold_in_batches(
-        t.table(spark, d, "orders"), ["o_custkey"], "o_orderpriority", count_urgent, "sum"
+        t.table(spark, d, "orders"), ["o_custkey"], "o_orderpriority", _count_urgent, "sum"
     )
 
 
@@ -378,10 +401,17 @@ def top_k_per_group(spark, d):
 
 @query
 def top_k_per_group_steps(spark, d):
-    """As ``top_k_per_group`` with a k for which groups are cut down in steps."""
+    """As ``top_k_per_group`` with a k for which tasks trim their rows and groups have a cut-off."""
     items = t.table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
-    order = [F.desc("o_totalprice"), F.asc("o_orderkey")]
-    return ranking.top_k_per_group(items, ["o_orderstatus"], order, 500)
+    return ranking.top_k_per_group(items, ["o_orderstatus"], ["o_totalprice desc", "o_orderkey"], 2000)
+
+
+@query
+def top_k_per_group_large(spark, d):
+    """As ``top_k_per_group_steps`` with a k beyond what one task should hand on, and many ties."""
+    items = t.table(spark, d, "lineitem").select("l_linestatus", "l_quantity", "l_orderkey", "l_linenumber")
+    order = ["l_quantity desc", "l_orderkey", "l_linenumber"]
+    return ranking.top_k_per_group(items, ["l_linestatus"], order, 100_000)
 
 
 def _adjacent(spark, d, **options):

@@ -214,6 +214,14 @@ _ORACLES = {
     "udf_over_list": _URGENT,
     "udf_over_list_sql": _URGENT,
     "fold_in_batches": _URGENT,
+    "udf_over_array": """
+        SELECT vec_id, round(CAST(list_max(embedding) AS DOUBLE) - CAST(list_min(embedding) AS DOUBLE), 4) AS span
+        FROM embeddings""",
+    "longest_gap": """
+        SELECT user_id, CAST(coalesce(max(t1 - t0), 0) AS BIGINT) AS seconds
+        FROM (SELECT user_id, t1, lag(t1) OVER (PARTITION BY user_id ORDER BY t1) AS t0
+              FROM (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t1 FROM events))
+        GROUP BY user_id""",
     "udaf_mean": "SELECT event_type, round(avg(value), 4) AS mean FROM events GROUP BY event_type",
     "scalar_udfs": _SCALARS,
     "scalar_builtins": _SCALARS,
@@ -247,7 +255,14 @@ _ORACLES = {
                  row_number() OVER (PARTITION BY o_orderstatus
                    ORDER BY o_totalprice DESC, o_orderkey) AS rank
           FROM orders)
-        WHERE rank <= 500""",
+        WHERE rank <= 2000""",
+    "top_k_per_group_large": """
+        SELECT * FROM (
+          SELECT l_linestatus, l_quantity, l_orderkey, l_linenumber,
+                 row_number() OVER (PARTITION BY l_linestatus
+                   ORDER BY l_quantity DESC, l_orderkey, l_linenumber) AS rank
+          FROM lineitem)
+        WHERE rank <= 100000""",
     "adjacent_pairs": _ADJACENT,
     "adjacent_pairs_split": _ADJACENT,
     "session_path": _PATH,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import grouped, udfs
 from clickloom.operators import actions as act
-from clickloom.operators import funnel, joins, merge, ordered, ranking, sales, summary, text
+from clickloom.operators import funnel, joins, merge, ordered, ranking, sales, sized, summary, text
 from clickloom.plans import tables as t
 from clickloom.sources import readers, writers
 from clickloom.sources.scratch import scratch_path
@@ -344,7 +344,21 @@ def join_inner(spark, d):
 
 @query
 def join_broadcast(spark, d):
-    return _orders_with_customer(spark, d, "broadcast")
+    """Orders of the thousand customers with the highest balance: few whatever the tables' size."""
+    customers = t.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("custkey"), "c_name", "c_mktsegment", "c_acctbal"
+    )
+    best = sized.first_rows(customers, ["c_acctbal desc", "custkey"], 1000)
+    orders = t.table(spark, d, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_orderpriority")
+    return joins.join(orders, best, "custkey", "inner", "broadcast")
+
+
+@query
+def join_broadcast_checked(spark, d):
+    """Each part with the number of parts of its brand; the list of brands is checked to be short."""
+    part = t.table(spark, d, "part")
+    brands = sized.at_most(part.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_parts")), 10_000)
+    return joins.join(part.select("p_partkey", "p_brand"), brands, "p_brand", "inner", "broadcast")
 
 
 @query
@@ -352,6 +366,16 @@ def join_shuffle_hash(spark, d):
     return _orders_with_customer(spark, d, "shuffle_hash")
 
 
+@query
+def join_shuffle_hash_cut(spark, d):
+    """Orders beside the counts of all priorities of their status.  Hash tables may hold two rows
+    only, so that keys of both sides are cut and there are more partitions."""
+    orders = t.table(spark, d, "orders")
+    counts = orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    rows = orders.select("o_orderstatus", "o_orderkey")
+    return joins.hash_join(rows, counts, "o_orderstatus", "inner", build_rows=2, probe_rows=1000)
+
+
 @query
 def join_text_files(spark, d):
     a, b, out = (scratch_path(spark, name) for name in ("a", "b", "joined"))

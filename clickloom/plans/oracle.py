@@ -229,8 +229,18 @@ _ORACLES = {
         SELECT upper(c_name) AS name_upper, c_custkey + 1 AS next_key, c_acctbal
         FROM customer WHERE c_acctbal >= 1000""",
     "join_inner": _ORDERS_CUSTOMER,
-    "join_broadcast": _ORDERS_CUSTOMER,
+    "join_broadcast": """
+        SELECT o_custkey AS custkey, o_orderkey, o_orderpriority, c_name, c_mktsegment, c_acctbal
+        FROM orders JOIN (SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 1000)
+        ON o_custkey = c_custkey""",
+    "join_broadcast_checked": """
+        SELECT p_brand, p_partkey, n_parts FROM part
+        JOIN (SELECT p_brand, count(*) AS n_parts FROM part GROUP BY p_brand) USING (p_brand)""",
     "join_shuffle_hash": _ORDERS_CUSTOMER,
+    "join_shuffle_hash_cut": """
+        SELECT o_orderstatus, o_orderkey, o_orderpriority, n
+        FROM (SELECT o_orderstatus, o_orderkey FROM orders)
+        JOIN (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ALL) USING (o_orderstatus)""",
     "join_text_files": """
         SELECT concat_ws(',', o_custkey, o_orderkey, o_orderpriority, c_mktsegment) AS line
         FROM orders JOIN customer ON o_custkey = c_custkey""",

@@ -51,32 +51,6 @@ def test_join_of_text_files(spark, tmp_path, strategy):
         joins.join_text_files(spark, str(a), ["x", "y"], str(b), ["k"], out + "2")
 
 
-def plan_of(df):
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-
-
-@pytest.mark.parametrize(
-    "strategy, operator",
-    [("merge", "SortMergeJoin"), ("broadcast", "BroadcastHashJoin"), ("shuffle_hash", "ShuffledHashJoin")],
-)
-def test_join_strategies_reach_the_plan(spark, strategy, operator):
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    try:
-        a = spark.range(100).withColumnRenamed("id", "key")
-        b = spark.range(50).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
-        small = strategy != "merge"
-        assert operator in plan_of(joins.join(a, b, "key", strategy=strategy, small=small))
-        # Without the caller's word the sizes decide.
-        if small:
-            free = joins.join(a, b, "key", strategy=strategy)
-            assert "SortMergeJoin" in plan_of(free) and free.count() == 50
-    finally:
-        spark.conf.set(key, before)
-
-
 def test_unknown_strategy(tables):
     with pytest.raises(ValueError):
         joins.join(*tables, "key", strategy="nested")

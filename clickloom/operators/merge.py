@@ -46,31 +46,24 @@ def merge_by_key(
         chosen = pick(F.struct(F.col(value).alias("v")), at)
         return df.groupBy(key).agg(chosen["v"].alias(value))
 
+    # A row without element, a NULL array say, stays as a marker that keeps its key.  Lists of
+    # plain values have NULLs as elements; markers are no elements.
     nested = df.schema[value].dataType.typeName() == "array"
     if policy == "list":
         columns = list(dict.fromkeys([key, *order]))
         if not nested:
-            return ordered_lists(df, [key], value, order, value, list_rows, hot_rows)
-        items = df.select(*columns, F.posexplode(value).alias("__i", value))
-        lists = ordered_lists(items, [key], value, [*order, "__i"], value, list_rows, hot_rows)
-        return _with_empty(lists, df.groupBy(key).agg(F.max(F.size(value) > 0).alias("__some")), key, value)
-    filled = F.size(F.array_compact(value)) > 0 if nested else F.col(value).isNotNull()
-    keys = df.groupBy(key).agg(F.max(filled).alias("__some"))
-    if nested:
-        df = df.select(key, F.explode(value).alias(value))
-    distinct = df.select(key, value).distinct().where(F.col(value).isNotNull())
-    lists = ordered_lists(distinct, [key], value, [value], value, list_rows, hot_rows)
-    return _with_empty(lists, keys, key, value)
-
-
-def _with_empty(lists: DataFrame, keys: DataFrame, key: str, value: str) -> DataFrame:
-    """``lists`` and an empty list for each key that has no element."""
-    kind = lists.schema[value].dataType.simpleString()
-    without = keys.where(~F.coalesce("__some", F.lit(False)))
-    empty = without.select(
-        key, F.lit(0).cast(lists.schema["part"].dataType).alias("part"), F.expr(f"cast(array() as {kind})").alias(value)
-    )
-    return lists.unionByName(empty)
+            return ordered_lists(df, [key], value, order, value, list_rows, hot_rows, nulls=True)
+        element = F.posexplode_outer(F.transform(value, lambda e: F.struct(e.alias("e")))).alias("__i", "__e")
+        lists = ordered_lists(
+            df.select(*columns, element), [key], "__e", [*order, "__i"], value, list_rows, hot_rows
+        )
+        return lists.withColumn(value, F.transform(value, lambda e: e["e"]))
+    items = df.select(key, F.explode_outer(F.array_compact(value)).alias(value) if nested else value)
+    return ordered_lists(items.distinct(), [key], value, [value], value, list_rows, hot_rows)
+
+
+# Sums that one row carries through the exchange.
+BLOCK = 16
 
 
 def vector_sum(
@@ -84,30 +77,44 @@ def vector_sum(
 
     ``initial`` is added once to each group, at all its positions; without groups also
     where there is no row.  Positions of NULLs alone are left out.  With a known ``width`` every
-    position is an aggregate of its own and no row is multiplied; elements
-    beyond ``width`` are then an error.  Without it positions are exploded and
-    vectors may differ in length.
+    position is an aggregate of its own; elements beyond ``width`` are then an error.  Without it
+    vectors may differ in length, and are summed in blocks of positions.
     """
     by = list(by)
     if width is None:
-        sums = (
-            df.select(*by, F.posexplode(column).alias("pos", "x"))
-            .groupBy(*by, "pos")
-            .agg(F.sum(F.col("x").cast("double")).alias("total"))
-            .where(F.col("total").isNotNull())
-        )
-    else:
-        element = [F.get(column, F.lit(i)).cast("double") for i in range(width)]
-        too_long = F.raise_error(F.lit(f"a vector is longer than {width}")).cast("double")
-        element[0] = F.when(F.size(column) > width, too_long).otherwise(element[0])
-        wide = df.groupBy(*by).agg(*[F.sum(e).alias(f"__{i}") for i, e in enumerate(element)])
-        totals = F.array(*[f"__{i}" for i in range(width)])
-        sums = wide.select(*by, F.posexplode(totals).alias("pos", "total"))
-        sums = sums.where(F.col("total").isNotNull())
-    if initial is None:
-        return sums
-    start = F.posexplode(F.array(*[F.lit(float(v)) for v in initial])).alias("pos", "total")
-    groups = df.select(*by).distinct() if by else df.sparkSession.range(1)
-    # The start is one more vector of each group.
-    started = sums.unionByName(groups.select(*by, start))
-    return started.groupBy(*by, "pos").agg(F.sum("total").alias("total"))
+        return _sum_in_blocks(df, column, by, list(initial or ()))
+    element = [F.get(column, F.lit(i)).cast("double") for i in range(width)]
+    too_long = F.raise_error(F.lit(f"a vector is longer than {width}")).cast("double")
+    element[0] = F.when(F.size(column) > width, too_long).otherwise(element[0])
+    wide = df.groupBy(*by).agg(*[F.sum(e).alias(f"__{i}") for i, e in enumerate(element)])
+    totals = [F.col(f"__{i}") for i in range(width)]
+    for i, start in enumerate(initial or ()):
+        add = F.lit(float(start))
+        if i < width:
+            totals[i] = F.coalesce(totals[i], F.lit(0.0)) + add
+        else:
+            totals.append(add)
+    return wide.select(*by, F.posexplode(F.array(*totals)).alias("pos", "total")).where(F.col("total").isNotNull())
+
+
+def _sum_in_blocks(df: DataFrame, column: str, by: Sequence[str], initial: Sequence[float]) -> DataFrame:
+    """Vectors travel as blocks of ``BLOCK`` neighbouring positions, each summed whole within its task and
+    then by key; positions become rows only after that.  Each group has blocks for all of
+    ``initial``, which is added at the end, so the input is read once."""
+    rows = df.select(*by, column)
+    if initial and not by:
+        rows = rows.unionByName(df.sparkSession.range(1).select(F.lit(None).cast(df.schema[column].dataType).alias(column)))
+    most = F.greatest(F.coalesce(F.size(column), F.lit(0)), F.lit(max(1, len(initial))))
+    blocks = F.sequence(F.lit(0), F.floor((most - 1) / BLOCK).cast("int"))
+    cut = rows.select(*by, column, F.explode(blocks).alias("__block"))
+    at = F.col("__block") * BLOCK
+    sums = cut.groupBy(*by, "__block").agg(
+        *[F.sum(F.get(column, at + i).cast("double")).alias(f"__{i}") for i in range(BLOCK)]
+    )
+    totals = sums.select(*by, "__block", F.posexplode(F.array(*[f"__{i}" for i in range(BLOCK)])).alias("__i", "__sum"))
+    totals = totals.select(*by, (at + F.col("__i")).alias("pos"), F.col("__sum").alias("total"))
+    if initial:
+        start = F.get(F.array(*[F.lit(float(v)) for v in initial]), F.col("pos"))
+        total = F.when(start.isNull(), F.col("total")).otherwise(F.coalesce("total", F.lit(0.0)) + start)
+        totals = totals.withColumn("total", total)
+    return totals.where(F.col("total").isNotNull())

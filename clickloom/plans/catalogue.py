@@ -202,17 +202,30 @@ def full_outer_counts(spark, d):
     return act.full_outer_counts(t.actions(spark, d))
 
 
+def _rated_orders(spark, d):
+    """Orders of which two priorities count as none, so that some customers have NULLs alone."""
+    orders = t.table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderkey")
+    rated = F.when(~F.col("o_orderpriority").isin("4-NOT SPECIFIED", "5-LOW"), F.col("o_orderpriority"))
+    return orders.withColumn("o_orderpriority", rated)
+
+
 @query
 def collect_list_agg(spark, d):
     lists = ordered.ordered_lists(
-        t.table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderkey"),
-        ["o_custkey"],
-        "o_orderpriority",
-        ["o_orderpriority", "o_orderkey"],
+        _rated_orders(spark, d), ["o_custkey"], "o_orderpriority", ["o_orderpriority", "o_orderkey"]
     )
     return lists.select("o_custkey", "part", F.array_join("values", ",").alias("priorities"))
 
 
+@query
+def collect_list_nulls(spark, d):
+    """NULLs kept in place, in parts of three elements, from split groups."""
+    lists = ordered.ordered_lists(
+        _rated_orders(spark, d), ["o_custkey"], "o_orderpriority", ["o_orderkey"], list_rows=3, hot_rows=8, nulls=True
+    )
+    return lists.select("o_custkey", "part", F.array_join("values", ",", "none").alias("priorities"))
+
+
 @query
 def collect_list_split(spark, d):
     """The lists cut into parts of at most 5, most of them from split groups."""

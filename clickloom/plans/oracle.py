@@ -111,6 +111,10 @@ SELECT o_custkey, CAST((pos - 1) // {size} AS BIGINT) AS part,
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY {order}) AS pos FROM {rows})
 GROUP BY 1, 2"""
 
+# Two priorities count as none.
+_RATED = """(SELECT o_custkey, o_orderkey,
+       CASE WHEN o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW') THEN o_orderpriority END AS p FROM orders)"""
+
 _ADJACENT = (
     f"WITH {_NEXT.format(where='')} "
     "SELECT session_id, event_id, page_id, next_page_id FROM step WHERE next_page_id IS NOT NULL"
@@ -204,9 +208,17 @@ _ORACLES = {
         FROM lineitem GROUP BY l_suppkey""",
     "action_counts": f"WITH {_ACTIONS}, {_COUNTS} SELECT * FROM counts",
     "full_outer_counts": f"WITH {_ACTIONS}, {_COUNTS} SELECT * FROM counts",
-    "collect_list_agg": _LISTS.format(
-        size=10000, value="o_orderpriority", order="o_orderpriority, o_orderkey", rows="orders", out="priorities"
-    ),
+    "collect_list_agg": f"""
+        SELECT o_custkey, CAST((greatest(pos, 1) - 1) // 10000 AS BIGINT) AS part,
+               coalesce(string_agg(p, ',' ORDER BY pos) FILTER (p IS NOT NULL), '') AS priorities
+        FROM (SELECT *, count(p) OVER (PARTITION BY o_custkey ORDER BY p NULLS FIRST, o_orderkey ROWS UNBOUNDED PRECEDING) AS pos
+              FROM {_RATED})
+        GROUP BY 1, 2""",
+    "collect_list_nulls": f"""
+        SELECT o_custkey, CAST((pos - 1) // 3 AS BIGINT) AS part,
+               string_agg(coalesce(p, 'none'), ',' ORDER BY pos) AS priorities
+        FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos FROM {_RATED})
+        GROUP BY 1, 2""",
     "collect_list_split": _LISTS.format(
         size=5, value="CAST(o_orderkey AS VARCHAR)", order="o_orderkey", rows="orders", out="order_keys"
     ),

@@ -106,9 +106,9 @@ def test_merge_replace_and_keep(events):
 
 
 def test_merge_replace_of_single_values(spark):
-    df = spark.range(10).select("id", F.concat(F.lit("res:"), "id").alias("v"))
+    df = spark.range(40, 46).select("id", F.concat("id", F.lit(" lamps")).alias("v"))
     got = rows(merge.merge_by_key(df, "id", "v", "replace", ["id"]))
-    assert got == [(i, f"res:{i}") for i in range(10)]
+    assert got == [(i, f"{i} lamps") for i in range(40, 46)]
 
 
 def test_merge_add(events):
@@ -165,10 +165,32 @@ def test_merge_needs_policy_and_order(events):
 
 @pytest.mark.parametrize("width", [None, 3])
 def test_vector_sum(spark, width):
-    df = spark.createDataFrame([([float(x)] * 3,) for x in (1, 2, 3)], "v array<double>")
-    assert rows(merge.vector_sum(df, "v", width=width)) == [(0, 6.0), (1, 6.0), (2, 6.0)]
-    started = merge.vector_sum(df, "v", initial=[1.0, 2.0, 3.0], width=width)
-    assert rows(started) == [(0, 7.0), (1, 8.0), (2, 9.0)]
+    df = spark.createDataFrame([([0.5 * x, 4.0, -x],) for x in (3.0, 8.0)], "v array<double>")
+    assert rows(merge.vector_sum(df, "v", width=width)) == [(0, 5.5), (1, 8.0), (2, -11.0)]
+    started = merge.vector_sum(df, "v", initial=[0.5, 0.25, 10.0], width=width)
+    assert rows(started) == [(0, 6.0), (1, 8.25), (2, -1.0)]
+
+
+def test_vector_sum_over_blocks(spark):
+    """Vectors of 0 to 40 elements, with NULLs, in one read and one exchange."""
+    rng = random.Random(6)
+    data = [(rng.choice("gh"), [rng.choice([None, 1.0, 2.5]) for _ in range(rng.randrange(41))]) for _ in range(80)]
+    data += [("g", None), ("alone", None)]
+    start = [float(i) for i in range(20)]
+    df = spark.createDataFrame(data, "g string, v array<double>").repartition(4)
+    for initial in (None, start):
+        want = {}
+        for g, v in data:
+            for i, x in enumerate(v or []):
+                if x is not None:
+                    want[g, i] = want.get((g, i), 0.0) + x
+            want |= {} if initial is None else {(g, i): want.get((g, i), 0.0) for i in range(20)}
+        if initial:
+            want = {(g, i): x + (initial[i] if i < 20 else 0.0) for (g, i), x in want.items()}
+        got = merge.vector_sum(df, "v", ["g"], initial=initial)
+        assert {(r.g, r.pos): r.total for r in got.collect()} == want
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("posexplode") <= 1
 
 
 def test_vector_sum_by_group_and_length(spark):
@@ -199,11 +221,11 @@ def test_scalar_functions(spark):
 
 def test_mean_by_key(spark):
     df = spark.createDataFrame(
-        [(1, 1.0), (1, 2.0), (2, 3.0), (2, 5.0), (2, 10.0), (3, None), (None, 4.0)],
+        [(7, 0.5), (7, 4.5), (8, 1.0), (8, 6.0), (8, 8.0), (3, None), (None, 4.0)],
         "id bigint, v double",
     ).repartition(3)
     got = {r.id: r["mean"] for r in udfs.mean_by_key(df, ["id"], "v").collect()}
-    assert got == {1: 1.5, 2: 6.0, 3: None, None: 4.0}
+    assert got == {7: 2.5, 8: 5.0, 3: None, None: 4.0}
 
 
 def test_user_aggregates_keep_large_keys_and_nan(spark):

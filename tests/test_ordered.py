@@ -110,6 +110,37 @@ def test_groups_of_several_columns(spark, many_chunks):
     assert Counter(map(tuple, some.collect())) == Counter(map(tuple, none.collect()))
 
 
+@pytest.mark.parametrize("searched, sampled", [(2, 2), (3, 2), (8, 4), (32, 64)])
+def test_bounds_are_found_in_two_steps(spark, monkeypatch, searched, sampled):
+    """Up to searched**2 bounds, NULLs and ties in the order, next values that are NULL."""
+    monkeypatch.setattr(ordered, "SEARCHED", searched)
+    monkeypatch.setattr(ordered, "SAMPLED", sampled)
+    rng = random.Random(21)
+    rows = [(rng.choice(["a", "a", None]), rng.choice([None, *range(40)]), i, rng.choice([None, 1, 2])) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, t bigint, id bigint, v bigint").repartition(5)
+    bounds = ordered.chunk_bounds(df, ["g"], ["t", "id"], "v", 10).collect()
+    assert len(bounds) == 2 and all(1 < len(r["__bounds"]) <= searched**2 + 1 for r in bounds)
+    for f, value in ((ordered.next_in_group, ["v", "nxt"]), (ordered.position_in_group, ["pos"])):
+        some, none = (f(df, ["g"], ["t", "id"], *value, hot_rows=h) for h in (10, None))
+        assert Counter(map(tuple, some.collect())) == Counter(map(tuple, none.collect()))
+
+
+def test_rows_are_exchanged_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(5000).select(
+        (F.col("id") % 3).alias("g"), F.xxhash64("id").alias("t"), "id", F.col("id").alias("v")
+    ).write.parquet(path)
+    got = ordered.next_in_group(spark.read.parquet(path), ["g"], ["t", "id"], "v", "nxt", 100)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "rangepartitioning" not in plan and plan.count("Exchange hashpartitioning(g") - plan.count("ReusedExchange") <= 4
+    chunks = ordered._with_chunks(
+        spark.read.parquet(path), ordered.chunk_bounds(spark.read.parquet(path), ["g"], ["t", "id"], "v", 100), ["g"], ["t", "id"], "left"
+    )
+    sizes = [r["count"] for r in chunks.groupBy("g", "__chunk").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 300
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert ordered.next_in_group(empty, ["g"], ["t"], "v", "nxt").count() == 0
@@ -120,7 +151,7 @@ def test_empty_input(spark):
 def test_lists_come_in_parts(spark, many_chunks, hot_rows):
     rows = make_rows(8)
     out = ordered.ordered_lists(
-        frame(spark, rows), ["g"], "v", ["t", "id"], list_rows=7, hot_rows=hot_rows
+        frame(spark, rows), ["g"], "v", ["t", "id"], list_rows=7, hot_rows=hot_rows, nulls=True
     ).collect()
     want = {g: [r[3] for r in part] for g, part in by_group(rows).items()}
     got = defaultdict(list)
@@ -132,11 +163,12 @@ def test_lists_come_in_parts(spark, many_chunks, hot_rows):
 
 @pytest.mark.parametrize("hot_rows", [None, 0, 90])
 @pytest.mark.parametrize("list_rows", [1, 7, 1000])
-def test_lists_and_rows_with_many_copies(spark, many_chunks, hot_rows, list_rows):
-    """Times tie, and a third of all rows are copies of one."""
+@pytest.mark.parametrize("nulls", [False, True])
+def test_lists_and_rows_with_many_copies(spark, many_chunks, hot_rows, list_rows, nulls):
+    """Times tie, and a third of all rows are copies of one; one group has NULLs alone."""
     rng = random.Random(10)
     rows = [(rng.choice("aab"), rng.randrange(9), rng.choice([None, 1, 2])) for _ in range(200)]
-    rows += [("a", 4, 2)] * 100
+    rows += [("a", 4, 2)] * 100 + [("n", i // 2, None) for i in range(5)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "g string, t bigint, v bigint").repartition(4)
     want = defaultdict(list)
@@ -144,12 +176,12 @@ def test_lists_and_rows_with_many_copies(spark, many_chunks, hot_rows, list_rows
         want[g].append(v)
 
     got = defaultdict(list)
-    lists = ordered.ordered_lists(df, ["g"], "v", ["t"], list_rows=list_rows, hot_rows=hot_rows)
+    lists = ordered.ordered_lists(df, ["g"], "v", ["t"], list_rows=list_rows, hot_rows=hot_rows, nulls=nulls)
     for row in sorted(lists.collect(), key=lambda r: (r.g, r.part)):
         assert row.part * list_rows == len(got[row.g])
         assert len(row["values"]) <= list_rows
         got[row.g] += row["values"]
-    assert got == want
+    assert got == {g: [v for v in values if nulls or v is not None] for g, values in want.items()}
 
     placed = ordered.ordered_rows(df, ["g"], "v", ["t"], "pos", hot_rows).collect()
     assert sorted(r.pos for r in placed) == sorted(

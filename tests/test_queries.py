@@ -247,11 +247,11 @@ def test_word_count(spark):
 
 
 def test_sums(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 1), ("a", 1)], "k string, v bigint")
-    assert rows(summary.keyed_sum(df, "k", "v")) == [("a", 2), ("b", 1)]
-    assert summary.global_sum(spark.range(1, 5), "id").first().total == 10
+    df = spark.createDataFrame([("oak", 12), ("elm", -5), ("oak", 30), ("elm", None)], "k string, v bigint")
+    assert rows(summary.keyed_sum(df, "k", "v")) == [("elm", -5), ("oak", 42)]
+    assert summary.global_sum(spark.range(20, 23), "id").first().total == 63
 
 
 def test_count_matching(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, "c")], "id bigint, value string")
-    assert rows(summary.count_matching(df, "id", F.col("value") == "a")) == [(1, 1), (2, 0)]
+    df = spark.createDataFrame([(9, "late"), (9, "late"), (5, None), (9, "due"), (6, "due")], "id bigint, value string")
+    assert rows(summary.count_matching(df, "id", F.col("value") == "late")) == [(5, 0), (6, 0), (9, 2)]

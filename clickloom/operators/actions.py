@@ -27,21 +27,26 @@ def with_action_type(actions: DataFrame) -> DataFrame:
     return actions.withColumn("action_type", kind)
 
 
+def _tokens(column: str, sep: str = ",") -> Column:
+    """The ids of a list in text; NULL, and so none, for an empty one."""
+    return F.split(F.nullif(F.col(column), F.lit("")), rf"\Q{sep}\E")
+
+
 def explode_ids(df: DataFrame, column: str, out: str = "id", sep: str = ",") -> DataFrame:
-    """One row per id of a list parted by ``sep`` (plain text), as ``bigint``; a NULL list gives no row and
-    an id that is no number becomes NULL."""
-    tokens = df.withColumn(out, F.explode(F.split(column, rf"\Q{sep}\E")))
+    """One row per id of a list parted by ``sep`` (plain text), as ``bigint``; a NULL or empty list gives
+    no row and an id that is no number becomes NULL."""
+    tokens = df.withColumn(out, F.explode(_tokens(column, sep)))
     return tokens.withColumn(out, F.col(out).try_cast("bigint"))
 
 
 def explode_action_ids(actions: DataFrame) -> DataFrame:
     """One row per (action, category touched): columns of ``actions``,
-    ``action_type`` and ``category_id``.  Searches touch no category."""
+    ``action_type`` and ``category_id``.  Searches touch no category, nor do empty lists."""
     is_click_row = F.col("action_type") == "click"
     tokens = (
         F.when(is_click_row, F.array(F.lit("")))
-        .when(F.col("action_type") == "order", F.split("order_category_ids", ","))
-        .when(F.col("action_type") == "pay", F.split("pay_category_ids", ","))
+        .when(F.col("action_type") == "order", _tokens("order_category_ids"))
+        .when(F.col("action_type") == "pay", _tokens("pay_category_ids"))
     )
     category = F.when(is_click_row, F.col("click_category_id")).otherwise(
         F.col("category_id").try_cast("bigint")

@@ -46,11 +46,33 @@ def scan_text_lines(spark, d):
     )
 
 
+def _log_with_bad_lines(spark, d):
+    """The action log as text, with lines that break off, run on, or have a word for a number."""
+    rows = t.actions(spark, d)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in rows.columns]
+    at = rows.columns.index("page_id")
+    kind = F.pmod("user_id", F.lit(50))
+    odd = [
+        rows.where(kind == 0).select(F.concat_ws("_", *fields[:5])),
+        rows.where(kind == 1).select(F.concat_ws("_", *fields, F.lit("more"))),
+        rows.where(kind == 2).select(F.concat_ws("_", *fields[:at], F.lit("page"), *fields[at + 1 :])),
+    ]
+    lines = rows.select(F.concat_ws("_", *fields).alias("line"))
+    for more in odd:
+        lines = lines.union(more)
+    path = scratch_path(spark, "actions")
+    writers.write_text(lines, path)
+    return readers.load_action_log(spark, path, scratch_path(spark, "loaded"), tolerated_share=0.5)
+
+
 @query
 def scan_action_log(spark, d):
-    path = scratch_path(spark, "actions")
-    writers.write_text(t.actions(spark, d), path, sep="_", null_text="null")
-    return readers.read_action_log(spark, path)
+    return _log_with_bad_lines(spark, d).good
+
+
+@query
+def scan_action_log_bad(spark, d):
+    return _log_with_bad_lines(spark, d).bad.select("line")
 
 
 @query
@@ -100,8 +122,12 @@ def sink_text(spark, d):
 
 @query
 def sink_text_single(spark, d):
+    """Orders per customer as one ordered file."""
     path = scratch_path(spark, "one_file")
-    writers.write_text(t.table(spark, d, "nation").select("n_nationkey", "n_name"), path, single_file=True)
+    per_customer = t.table(spark, d, "orders").groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("last")
+    )
+    writers.write_text(per_customer, path, single_file=True, order=["o_custkey"])
     return readers.read_lines(spark, path).select(F.col("value").alias("line"))
 
 

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
-# Events as rows of the action log: k is page, category and product.
+# Events as rows of the action log: k is page, category and product; orders and payments have no,
+# one, two or three ids.
 _ACTIONS = """
 log AS (
-  SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-         's' || CAST(user_id AS VARCHAR) AS session_id,
-         strftime(ts, '%Y-%m-%d %H:%M:%S') AS action_time
-  FROM events
+  SELECT *, list_transform(range(event_id % 4), lambda j: (k + 7 * j) % 100) AS ids
+  FROM (
+    SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+           's' || CAST(user_id AS VARCHAR) AS session_id,
+           strftime(ts, '%Y-%m-%d %H:%M:%S') AS action_time
+    FROM events)
 )"""
 
 _COUNTS = """
 counts AS (
-  SELECT k AS category_id,
+  SELECT category_id,
          count(*) FILTER (event_type = 'view') AS click_count,
          count(*) FILTER (event_type = 'click') AS order_count,
          count(*) FILTER (event_type = 'purchase') AS pay_count
-  FROM log WHERE event_type IN ('view', 'click', 'purchase') GROUP BY k
+  FROM (SELECT k AS category_id, event_type FROM log WHERE event_type = 'view'
+        UNION ALL SELECT unnest(ids), event_type FROM log WHERE event_type IN ('click', 'purchase'))
+  GROUP BY category_id
+)"""
+
+# The texts of a log line.
+_TEXTS = """
+texts AS (
+  SELECT user_id, strftime(ts, '%Y-%m-%d') AS f1, CAST(user_id AS VARCHAR) AS f2, session_id AS f3,
+         CAST(k AS VARCHAR) AS f4, action_time AS f5,
+         CASE WHEN event_type = 'signup' THEN 'signup' ELSE 'null' END AS f6,
+         CASE WHEN event_type = 'view' THEN CAST(k AS VARCHAR) ELSE '-1' END AS f7,
+         CASE WHEN event_type = 'click' THEN array_to_string(ids, ',') ELSE 'null' END AS f9,
+         CASE WHEN event_type = 'purchase' THEN array_to_string(ids, ',') ELSE 'null' END AS f11,
+         CAST(user_id % 25 AS VARCHAR) AS f13
+  FROM log
 )"""
 
 _TOP = """
@@ -166,12 +184,19 @@ _ORACLES = {
                CASE WHEN event_type = 'signup' THEN event_type END AS search_keyword,
                CASE WHEN event_type = 'view' THEN k ELSE -1 END AS click_category_id,
                CASE WHEN event_type = 'view' THEN k ELSE -1 END AS click_product_id,
-               CASE WHEN event_type = 'click' THEN CAST(k AS VARCHAR) END AS order_category_ids,
-               CASE WHEN event_type = 'click' THEN CAST(k AS VARCHAR) END AS order_product_ids,
-               CASE WHEN event_type = 'purchase' THEN CAST(k AS VARCHAR) END AS pay_category_ids,
-               CASE WHEN event_type = 'purchase' THEN CAST(k AS VARCHAR) END AS pay_product_ids,
+               CASE WHEN event_type = 'click' THEN nullif(array_to_string(ids, ','), '') END AS order_category_ids,
+               CASE WHEN event_type = 'click' THEN nullif(array_to_string(ids, ','), '') END AS order_product_ids,
+               CASE WHEN event_type = 'purchase' THEN nullif(array_to_string(ids, ','), '') END AS pay_category_ids,
+               CASE WHEN event_type = 'purchase' THEN nullif(array_to_string(ids, ','), '') END AS pay_product_ids,
                user_id % 25 AS city_id
         FROM log""",
+    "scan_action_log_bad": f"""
+        WITH {_ACTIONS}, {_TEXTS}
+        SELECT concat_ws('_', f1, f2, f3, f4, f5) AS line FROM texts WHERE user_id % 50 = 0
+        UNION ALL SELECT concat_ws('_', f1, f2, f3, f4, f5, f6, f7, f7, f9, f9, f11, f11, f13, 'more')
+        FROM texts WHERE user_id % 50 = 1
+        UNION ALL SELECT concat_ws('_', f1, f2, f3, 'page', f5, f6, f7, f7, f9, f9, f11, f11, f13)
+        FROM texts WHERE user_id % 50 = 2""",
     "scan_csv": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "scan_tsv": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
     "scan_json": "SELECT c_custkey, c_name, c_acctbal FROM customer",
@@ -180,7 +205,8 @@ _ORACLES = {
         JOIN (VALUES ('view', 'click'), ('click', 'order'), ('purchase', 'pay')) v(event_type, action)
         USING (event_type) GROUP BY event_type, action""",
     "sink_text": "SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) AS line FROM orders",
-    "sink_text_single": "SELECT concat_ws(',', n_nationkey, n_name) AS line FROM nation",
+    "sink_text_single": """
+        SELECT concat_ws(',', o_custkey, count(*), max(o_orderkey)) AS line FROM orders GROUP BY o_custkey""",
     "sink_parquet": _CENTS,
     "project_columns": "SELECT event_id AS id, event_type AS kind FROM events",
     "filter_clicks": f"""

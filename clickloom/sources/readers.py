@@ -4,8 +4,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.sources.schemas import ABSENT_TEXT, USER_VISIT_ACTION
@@ -55,7 +57,7 @@ def read_action_log(
 
     The text ``null`` becomes NULL and quote signs are plain characters.  A line that
     does not fit the schema is an error.  With ``keep_corrupt`` such lines are kept
-    whole in ``_corrupt_record`` instead.
+    whole in ``_corrupt_record`` instead; ``load_action_log`` parts them off.
     """
     schema = USER_VISIT_ACTION
     if keep_corrupt:
@@ -73,6 +75,54 @@ def read_action_log(
     )
 
 
+class TooManyBadLines(ValueError):
+    """A log had more lines that do not fit than are tolerated."""
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """The rows of a log, and its lines that do not fit as (line, file)."""
+
+    good: DataFrame
+    bad: DataFrame
+    n_good: int
+    n_bad: int
+
+
+def load_action_log(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    sep: str = "_",
+    tolerated: int = 0,
+    tolerated_share: float = 0.0,
+) -> Loaded:
+    """Read an action log once and part its lines: rows go to ``target``/bad=false as parquet,
+    lines that do not fit to ``target``/bad=true, whole and with the file they stand in.
+
+    Up to ``tolerated`` bad lines, or that share of all lines if it is more, are taken;
+    beyond, ``TooManyBadLines`` is raised once all have been written, so that they can be
+    looked at.  Counts are those of the written files.
+    """
+    line = F.col(CORRUPT)
+    parted = read_action_log(spark, path, sep, keep_corrupt=True).select(
+        *USER_VISIT_ACTION.names,
+        line.alias("line"),
+        F.when(line.isNotNull(), F.col("_metadata.file_path")).alias("file"),
+        line.isNotNull().alias("bad"),
+    )
+    parted.write.partitionBy("bad").parquet(target)
+    more = [T.StructField(c, T.StringType()) for c in ("line", "file")] + [T.StructField("bad", T.BooleanType())]
+    rows = spark.read.schema(T.StructType(USER_VISIT_ACTION.fields + more)).parquet(target)
+    good = rows.where(~F.col("bad")).select(*USER_VISIT_ACTION.names)
+    bad = rows.where("bad").select("line", "file")
+    loaded = Loaded(good, bad, good.count(), bad.count())
+    most = max(tolerated, int(tolerated_share * (loaded.n_good + loaded.n_bad)))
+    if loaded.n_bad > most:
+        raise TooManyBadLines(f"{loaded.n_bad} of {loaded.n_good + loaded.n_bad} lines do not fit, {most} are tolerated; see {target}/bad=true")
+    return loaded
+
+
 def values(
     spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str | list[str]
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.sources import readers, scratch, writers
 from clickloom.sources.schemas import CITY_INFO, PRODUCT_INFO
@@ -122,3 +123,68 @@ def test_no_machine_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_path(FakeSession(spark__master="yarn"), "x")
     assert scratch.scratch_path(FakeSession(spark__master="local[2]"), "x").endswith("/x")
+
+
+def test_single_file_in_order(spark, tmp_path):
+    """Many tasks write; the one file has all lines in order, also where most parts are empty."""
+    path = str(tmp_path / "one")
+    df = spark.range(0, 5000, 1, 9).select(F.xxhash64("id").alias("h"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("v"))
+    writers.write_text(df, path, single_file=True, order=["h"])
+    lines = open(glob.glob(path + "/part-*")[0], encoding="utf-8").read().splitlines()
+    want = sorted((r.h, r.v) for r in df.collect())
+    assert lines == [f"{h},{'' if v is None else v}" for h, v in want]
+    assert sorted(p.rsplit("/", 1)[1] for p in glob.glob(str(tmp_path / "*"))) == ["one"]
+    with pytest.raises(FileExistsError):
+        writers.write_text(df, path, single_file=True)
+    with pytest.raises(ValueError):
+        writers.write_text(df, path, single_file=True, mode="append")
+    writers.write_text(df.where("false"), path, single_file=True, mode="ignore")
+    assert spark.read.text(path).count() == 5000
+    writers.write_text(df.where("false"), path, single_file=True, mode="overwrite")
+    assert spark.read.text(path).count() == 0 and len(glob.glob(path + "/part-*")) == 1
+
+
+def test_files_are_linked_where_the_file_system_can(spark):
+    class Links:
+        def concat(self, first, rest):
+            self.asked = first.getName(), [p.getName() for p in rest]
+
+    system = Links()
+    parts = [spark._jvm.org.apache.hadoop.fs.Path(f"/x/part-{i}") for i in range(3)]
+    assert writers._linked(system, parts, spark)
+    assert system.asked == ("part-0", ["part-1", "part-2"])
+
+
+def bad_log(tmp_path):
+    good = LINE.format("null")
+    odd = ["2021-03-01_7", good.strip() + "_more", good.strip().replace("_37_", "_page_"), "x"]
+    first, second = tmp_path / "logs" / "a", tmp_path / "logs" / "b"
+    first.parent.mkdir()
+    write(first, good * 20 + odd[0] + "\n" + good + odd[1] + "\n")
+    write(second, odd[2] + "\n" + good * 5 + odd[3] + "\n" + "\n")
+    return str(first.parent), odd
+
+
+def test_bad_lines_are_parted_off(spark, tmp_path):
+    path, odd = bad_log(tmp_path)
+    loaded = readers.load_action_log(spark, path, str(tmp_path / "out"), tolerated=4)
+    assert (loaded.n_good, loaded.n_bad) == (26, 4)
+    assert sorted(r.line for r in loaded.bad.collect()) == sorted(odd)
+    assert {r.file.rsplit("/", 1)[1] for r in loaded.bad.collect()} == {"a", "b"}
+    assert loaded.good.schema.names == readers.USER_VISIT_ACTION.names
+    assert {(r.user_id, r.page_id, r.city_id) for r in loaded.good.collect()} == {(5, 37, 3)}
+
+
+def test_too_many_bad_lines(spark, tmp_path):
+    path, odd = bad_log(tmp_path)
+    with pytest.raises(readers.TooManyBadLines, match="4 of 30 lines"):
+        readers.load_action_log(spark, path, str(tmp_path / "out"), tolerated=3)
+    assert spark.read.parquet(str(tmp_path / "out") + "/bad=true").count() == 4
+    loaded = readers.load_action_log(spark, path, str(tmp_path / "out2"), tolerated_share=0.14)
+    assert loaded.n_bad == 4
+    clean = write(tmp_path / "clean", LINE.format("null") * 3)
+    loaded = readers.load_action_log(spark, clean, str(tmp_path / "out3"))
+    assert (loaded.good.count(), loaded.bad.count()) == (3, 0)
+    empty = write(tmp_path / "empty", "")
+    loaded = readers.load_action_log(spark, empty, str(tmp_path / "out4"))
+    assert (loaded.n_good, loaded.n_bad) == (0, 0)

@@ -30,11 +30,22 @@ def test_no_pairing_of_everything_with_everything(spark, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
-PYTHON = {"udf_over_list", "udf_over_list_sql", "fold_in_batches", "udaf_mean", "scalar_udfs", "udf_sql"}
+PYTHON = {
+    "fold_in_batches",
+    "longest_gap",
+    "scalar_udfs",
+    "top_k_per_group_large",
+    "top_k_per_group_steps",
+    "udaf_mean",
+    "udf_over_array",
+    "udf_over_list",
+    "udf_over_list_sql",
+    "udf_sql",
+}
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.all_queries()))
-def test_python_only_where_user_code_is_the_point(spark, name):
+def test_python_only_where_it_is_the_point(spark, name):
     plan = plan_of(spark, name)
     uses_python = any(op in plan for op in ("EvalPython", "MapInPandas", "MapInArrow", "ArrowAggregate", "FlatMapGroups"))
     assert uses_python == (name in PYTHON)

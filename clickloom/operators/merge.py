@@ -62,10 +62,6 @@ def merge_by_key(
     return ordered_lists(items.distinct(), [key], value, [value], value, list_rows, hot_rows)
 
 
-# Sums that one row carries through the exchange.
-BLOCK = 16
-
-
 def vector_sum(
     df: DataFrame,
     column: str,
@@ -78,11 +74,11 @@ def vector_sum(
     ``initial`` is added once to each group, at all its positions; without groups also
     where there is no row.  Positions of NULLs alone are left out.  With a known ``width`` every
     position is an aggregate of its own; elements beyond ``width`` are then an error.  Without it
-    vectors may differ in length, and are summed in blocks of positions.
+    vectors may differ in length.
     """
     by = list(by)
     if width is None:
-        return _sum_in_blocks(df, column, by, list(initial or ()))
+        return _sum_by_position(df, column, by, list(initial or ()))
     element = [F.get(column, F.lit(i)).cast("double") for i in range(width)]
     too_long = F.raise_error(F.lit(f"a vector is longer than {width}")).cast("double")
     element[0] = F.when(F.size(column) > width, too_long).otherwise(element[0])
@@ -97,24 +93,29 @@ def vector_sum(
     return wide.select(*by, F.posexplode(F.array(*totals)).alias("pos", "total")).where(F.col("total").isNotNull())
 
 
-def _sum_in_blocks(df: DataFrame, column: str, by: Sequence[str], initial: Sequence[float]) -> DataFrame:
-    """Vectors travel as blocks of ``BLOCK`` neighbouring positions, each summed whole within its task and
-    then by key; positions become rows only after that.  Each group has blocks for all of
-    ``initial``, which is added at the end, so the input is read once."""
+def _sum_by_position(df: DataFrame, column: str, by: Sequence[str], initial: Sequence[float]) -> DataFrame:
+    """One read and one exchange: the elements are summed by group and position within each task
+    first, so what is dealt out is one row for each group and position of a task.
+
+    Vectors shorter than ``initial`` are filled up with NULLs, which gives each group all positions of
+    ``initial``; it is added once the sums are whole.
+    """
     rows = df.select(*by, column)
-    if initial and not by:
-        rows = rows.unionByName(df.sparkSession.range(1).select(F.lit(None).cast(df.schema[column].dataType).alias(column)))
-    most = F.greatest(F.coalesce(F.size(column), F.lit(0)), F.lit(max(1, len(initial))))
-    blocks = F.sequence(F.lit(0), F.floor((most - 1) / BLOCK).cast("int"))
-    cut = rows.select(*by, column, F.explode(blocks).alias("__block"))
-    at = F.col("__block") * BLOCK
-    sums = cut.groupBy(*by, "__block").agg(
-        *[F.sum(F.get(column, at + i).cast("double")).alias(f"__{i}") for i in range(BLOCK)]
+    n = len(initial)
+    vector = F.col(column).cast("array<double>")
+    if initial:
+        if not by:  # an empty table has one group too
+            rows = rows.unionByName(df.sparkSession.range(1).select(F.lit(None).cast(df.schema[column].dataType).alias(column)))
+        known = F.coalesce(vector, F.array().cast("array<double>"))
+        filled = F.concat(known, F.array_repeat(F.lit(None).cast("double"), F.greatest(F.lit(0), n - F.size(known))))
+        vector = F.when(F.size(vector) >= n, vector).otherwise(filled)
+    sums = (
+        rows.select(*by, F.posexplode(vector).alias("pos", "x"))
+        .groupBy(*by, "pos")
+        .agg(F.sum("x").alias("total"))
     )
-    totals = sums.select(*by, "__block", F.posexplode(F.array(*[f"__{i}" for i in range(BLOCK)])).alias("__i", "__sum"))
-    totals = totals.select(*by, (at + F.col("__i")).alias("pos"), F.col("__sum").alias("total"))
     if initial:
         start = F.get(F.array(*[F.lit(float(v)) for v in initial]), F.col("pos"))
-        total = F.when(start.isNull(), F.col("total")).otherwise(F.coalesce("total", F.lit(0.0)) + start)
-        totals = totals.withColumn("total", total)
-    return totals.where(F.col("total").isNotNull())
+        total = F.when(F.col("pos") < n, F.coalesce("total", F.lit(0.0)) + start).otherwise(F.col("total"))
+        sums = sums.withColumn("total", total)
+    return sums.where(F.col("total").isNotNull())

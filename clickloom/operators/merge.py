@@ -102,17 +102,16 @@ def _sum_by_position(df: DataFrame, column: str, by: Sequence[str], initial: Seq
     """
     rows = df.select(*by, column)
     n = len(initial)
-    vector = F.col(column).cast("array<double>")
+    vector = F.col(column)
     if initial:
         if not by:  # an empty table has one group too
             rows = rows.unionByName(df.sparkSession.range(1).select(F.lit(None).cast(df.schema[column].dataType).alias(column)))
-        known = F.coalesce(vector, F.array().cast("array<double>"))
-        filled = F.concat(known, F.array_repeat(F.lit(None).cast("double"), F.greatest(F.lit(0), n - F.size(known))))
+        filled = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get(vector, i))
         vector = F.when(F.size(vector) >= n, vector).otherwise(filled)
     sums = (
         rows.select(*by, F.posexplode(vector).alias("pos", "x"))
         .groupBy(*by, "pos")
-        .agg(F.sum("x").alias("total"))
+        .agg(F.sum(F.col("x").cast("double")).alias("total"))
     )
     if initial:
         start = F.get(F.array(*[F.lit(float(v)) for v in initial]), F.col("pos"))

@@ -15,7 +15,9 @@ counts reach the driver.
 
 Null and empty texts are the end id alone.  Null ids come first, in one range; repeated
 ids lie next to each other in the order of their texts' hashes.  An empty table gives
-empty files, read as no rows.  Other columns are not read.
+empty files, read as no rows.  Strings that the vocabulary adds as tokens of their own
+(``<|endoftext|>``) get those tokens' ids, as the library's plain call gives them.  Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -62,7 +64,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # Texts that hold one of the vocabulary's own added strings go through the library whole.
+        added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.model = self.library.model
         self.letters = _byte_letters()
         self.words: dict[bytes, bytes] = {}
@@ -103,6 +107,8 @@ class WordEncoder:
         """The ids as little-endian 32-bit integers."""
         if not text:
             return b""
+        if self.added and self.added.search(text):
+            return self._whole(text)
         words = text.encode().split()
         known = self.words
         try:
@@ -126,19 +132,35 @@ def _encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """Ids as planes of bytes, the lowest first, as many as the largest id needs: one to four.  They take
+    half the room of whole integers and compress better."""
+    planes = max(1, -(-int(ids.max()).bit_length() // 8)) if len(ids) else 1
+    own = ids.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return bytes([planes]) + np.ascontiguousarray(own[:, :planes].T).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    ids = np.zeros(planes.shape[1], np.uint32)
+    for i, plane in enumerate(planes):
+        ids |= plane.astype(np.uint32) << np.uint32(8 * i)
+    return ids
+
+
 def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """(doc_id, place, n_tokens, ids): ids packed as little-endian 32-bit integers."""
+    """(doc_id, place, n_tokens, ids): ids as ``packed``."""
     end = np.array([end_id], np.uint32).tobytes()
 
     def run(batches):
         encoder = _encoder(vocabulary)
         for b in batches:
-            ids = [encoder.encode(t) + end for t in b["text"]]
+            ids = [np.frombuffer(encoder.encode(t) + end, np.uint32) for t in b["text"]]
             yield {
                 "doc_id": b["doc_id"],
                 "place": b["place"],
-                "n_tokens": [len(x) // 4 for x in ids],
-                "ids": ids,
+                "n_tokens": [len(x) for x in ids],
+                "ids": [packed(x) for x in ids],
             }
 
     return by_batch(
@@ -239,7 +261,7 @@ def _id_counts(ids: DataFrame) -> dict[int, int]:
         total = np.zeros(0, np.int64)
         for b in batches:
             for x in b["ids"]:
-                got = np.bincount(np.frombuffer(x, np.uint32))
+                got = np.bincount(unpacked(x))
                 if len(got) > len(total):
                     got[: len(total)] += total
                     total = got
@@ -256,7 +278,10 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
     """Write the file set of ``docs`` to ``path``."""
     spark = docs.sparkSession
     ids = written(encoded(docs, vocabulary, end_id), "ids")
-    lengths = code_lengths(_id_counts(ids))
+    counts = _id_counts(ids)
+    # More ids than LONGEST bits tell apart need longer codes.
+    longest = max(LONGEST, (len(counts) - 1).bit_length())
+    lengths = code_lengths(counts, longest)
     spark.createDataFrame(sorted(lengths.items()), "id int, bits int").coalesce(1).write.parquet(f"{path}/codebook")
 
     total = ids.agg(F.sum("n_tokens")).first()[0] or 0
@@ -266,11 +291,11 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
     def blocks(batches):
         from pyspark import TaskContext
 
-        part, book = TaskContext.get().partitionId(), Codebook(shared.value)
+        part, book = TaskContext.get().partitionId(), Codebook(shared.value, longest)
         held, size, at, number = [], 0, 0, 0
 
         def block():
-            ids = np.concatenate([np.frombuffer(x, np.uint32) for _, x in held])
+            ids = np.concatenate([x for _, x in held])
             bits, offsets = book.encode(ids)
             return {
                 "part": [part],
@@ -278,7 +303,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
                 "start": [at],
                 "n_tokens": [size],
                 "doc_ids": [[d for d, _ in held]],
-                "sizes": [[len(x) // 4 for _, x in held]],
+                "sizes": [[len(x) for _, x in held]],
                 "bits": [bits],
                 "offsets": [offsets],
             }
@@ -289,8 +314,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
                     yield block()
                     at, number = at + size, number + 1
                     held, size = [], 0
-                held.append((doc_id, ids))
-                size += len(ids) // 4
+                held.append((doc_id, unpacked(ids)))
+                size += len(held[-1][1])
         if held:
             yield block()
 
@@ -298,7 +323,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
     by_batch(
         ordered.sortWithinPartitions(F.asc_nulls_first("doc_id"), "place").select("doc_id", "ids"),
         "part int, block int, start long, n_tokens long, doc_ids array<long>, sizes array<long>, "
-        "bits binary, offsets array<int>",
+        "bits binary, offsets array<long>",
         blocks,
     ).write.parquet(f"{path}/blocks")
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
@@ -313,12 +338,13 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2) -> None:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of a file set; ids as in ``encoded``."""
+    """(doc_id, start, n_tokens, ids) of a file set; ids as little-endian 32-bit integers."""
     lengths = {r.id: r.bits for r in spark.read.parquet(f"{path}/codebook").collect()}
     shared = spark.sparkContext.broadcast(lengths)
+    longest = max(LONGEST, *lengths.values()) if lengths else LONGEST
 
     def run(batches):
-        book = Codebook(shared.value)
+        book = Codebook(shared.value, longest)
         for b in batches:
             for start, doc_ids, sizes, bits, offsets in zip(
                 b["start"], b["doc_ids"], b["sizes"], b["bits"], b["offsets"]

@@ -7,6 +7,7 @@ import re
 import struct
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -296,20 +297,38 @@ def test_huffman_codes():
         lengths = huffman.code_lengths(counts)
         assert max(lengths.values()) <= 16 and (n == 1 or sum(2.0**-x for x in lengths.values()) == 1)
         book = huffman.Codebook(lengths)
-        import numpy as np
-
         for size in (1, 127, 128, 129, 1000):
             ids = np.array(r.choices(list(counts), k=size), np.uint32)
             bits, at = book.encode(ids)
             assert (book.decode(bits, at, size) == ids).all()
     assert huffman.code_lengths({0: 1, 1: 1, 2: 2, 3: 4, 4: 8}, 3) == {0: 3, 1: 3, 2: 3, 3: 3, 4: 1}
+    many = {i: 1 + i % 5 for i in range(70_000)}
+    lengths = huffman.code_lengths(many, 17)
+    book, ids = huffman.Codebook(lengths, 17), np.arange(70_000, dtype=np.uint32)
+    bits, at = book.encode(ids)
+    assert (book.decode(bits, at, len(ids)) == ids).all()
+    for ids in ([], [0], [255, 7], [256, 65_535, 0], [1 << 16, 3], [(1 << 32) - 1, 0, 9]):
+        data = huffman.packed(np.array(ids, np.uint32))
+        assert huffman.unpacked(data).tolist() == ids and len(data) == 1 + len(ids) * max(1, -(-max(ids, default=0).bit_length() // 8))
+
+
+def test_huffman_added_strings():
+    """Strings that the vocabulary adds as tokens, whole, broken, in other cases and beside others."""
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(WORD_BPE), huffman.WordEncoder(WORD_BPE)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", " ", "a", "é", "\n", "<|", "12"]
+    r = random.Random(4)
+    for _ in range(1500):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 12)))
+        want = library.encode(text, add_special_tokens=False).ids
+        assert list(struct.unpack(f"<{len(want)}I", own.encode(text))) == want, text
 
 
 def test_huffman_files(spark, docs, empty, tmp_path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(WORD_BPE)
-    library.encode_special_tokens = True
     huffman.write(docs, str(tmp_path / "a"), WORD_BPE)
     got = huffman.digest(huffman.read(spark, str(tmp_path / "a"))).collect()
     assert len(got) == docs.count()

@@ -24,11 +24,8 @@ WITH d AS (
 ), lines AS (
   SELECT r, host, text, lower(array_to_string(p, ' ')) AS line, len(p) AS words
   FROM (SELECT r, host, text, [x FOR x IN string_split_regex(line, '[\x20\x09-\x0D]+') IF x <> ''] AS p FROM raw)
-), hosts AS (
-  SELECT host, count(DISTINCT text) AS n_texts FROM d GROUP BY host
 ), common AS (
-  SELECT l.host, line FROM lines l JOIN hosts h ON l.host = h.host GROUP BY l.host, line, n_texts
-  HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.01 * n_texts
+  SELECT host, line FROM lines GROUP BY host, line HAVING count(DISTINCT text) > 10
 ), lost AS (
   SELECT r, sum(words) AS n FROM lines JOIN common USING (host, line) GROUP BY r
 ), m AS (

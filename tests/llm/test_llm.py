@@ -507,3 +507,21 @@ def test_quality_sql(spark):
         want = duckdb.sql(text).df()
         got = queries.all_queries()[name](spark, d).toPandas()[list(want.columns)]
         assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want.values.tolist()))
+
+
+def test_quality_sql_on_a_large_host(spark, tmp_path):
+    """Few of a host's many texts share a line: code and SQL remove it alike."""
+    duckdb = pytest.importorskip("duckdb")
+    from clickloom.llm import queries, sql
+
+    line = prose("line", 40)
+    rows = [(i, f"{prose(i % 50, 30)} {i}" + ("\n" + line) * (i < 20), "en", "hot", 1) for i in range(3000)]
+    rows += [(5000 + i, f"{prose(i, 25)} {i}" + ("\n" + line) * (i < 10), "en", "other", 1) for i in range(40)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.sql(sql.all_oracles()["op2_quality"]).df()
+    got = queries.op2_quality(spark, str(tmp_path)).toPandas()[list(want.columns)]
+    assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, want.values.tolist()))
+    assert (got.removed_words > 0).sum() == 20 and (~got.kept).sum() == 20

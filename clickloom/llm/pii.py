@@ -17,8 +17,10 @@ thousand times says nothing.  Words of ``min_contexts`` and r of at least ``gene
 are disclosing wherever they stand; from ``remove`` on they are deleted instead of
 generalised.
 
-The work is two passes over the texts.  The second looks up words in a bitmap of fixed
-size and its finds are joined exactly, so nothing broadcast grows with the data.
+The work is three passes over the texts: words by entities; the count of texts of those
+words, added up within each task; and the places of the few words found disclosing.  The
+second and third look up words in a bitmap of fixed size and what they find is joined exactly, so
+nothing broadcast grows with the data.
 
 Null and empty texts have no spans.  A null ``doc_id`` is kept.  Repeated rows get equal
 results.  An empty table gives an empty table.  Other columns are not read.
@@ -30,12 +32,14 @@ import re
 import unicodedata
 import zlib
 from bisect import bisect_left, bisect_right
+from collections import Counter
+from string import punctuation
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import bitmap, bits_set, by_batch, released, spans_text, written
+from clickloom.llm.common import bitmap, bitmap_of_longs, bits_set, by_batch, released, spans_text, written
 
 SALTS = 16
 KINDS = ("email", "ip", "card", "phone")
@@ -160,6 +164,85 @@ def disclosure(
     return pairs, pairs.select("term").distinct(), seen
 
 
+def _plain(token: str) -> bool:
+    """Whether a token is one word by itself: letters and digits, none among the pictures."""
+    return token.isalnum() and (token.isascii() or max(token) < "\U0001f000")
+
+
+class _Terms:
+    """The words of texts that a bitmap has."""
+
+    def __init__(self, marks: bytes):
+        self.marks = marks
+
+    def among(self, text: str) -> list[str]:
+        """Of a text with its pattern matches blanked out.  No word has blanks inside, and most are
+        a whole token, or one less the signs at its ends; the others are searched together."""
+        words, rest = set(), []
+        for token in set(text.split()):
+            core = token if _plain(token) else token.strip(punctuation)
+            if _plain(core):
+                words.add(core.lower())
+            elif core:
+                rest.append(core)
+        if rest:
+            others = " ".join(rest)
+            words.update(w.lower() for w in _PART.findall(others))
+            words.update(w.lower() for w in _JOINED.findall(others))
+        words = list(words)
+        slots = np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words))
+        return [words[i] for i in np.flatnonzero(bits_set(self.marks, slots % (len(self.marks) * 8)))]
+
+
+def term_counts(docs: DataFrame, terms: DataFrame, most: int = 500_000) -> DataFrame:
+    """(term, n_t): in how many different texts each of ``terms`` (and some other words) stands.
+
+    Texts that occur once are counted within their task.  Those whose hash a bitmap of repeated
+    texts has are told apart by an exchange of their words, once for each task.
+    """
+    broadcast = docs.sparkSession.sparkContext.broadcast
+    hashed = docs.select("text", F.xxhash64("text").alias("text_hash"))
+    copies = hashed.groupBy("text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = broadcast(bitmap_of_longs(copies, "text_hash"))
+    marks = broadcast(bitmap(terms, "term"))
+
+    def run(batches):
+        known, counts, seen = _Terms(marks.value), Counter(), set()
+        bits = len(repeated.value) * 8
+
+        def counted():
+            out = {"text_hash": [None] * len(counts), "terms": [None] * len(counts)}
+            return out | {"term": list(counts), "n": list(counts.values())}
+
+        for b in batches:
+            again = bits_set(repeated.value, np.array(b["text_hash"], np.int64) & (bits - 1))
+            out = {"text_hash": [], "terms": [], "term": [], "n": []}
+            for text, h, twice in zip(b["text"], b["text_hash"], again):
+                if not text or twice and h in seen:
+                    continue
+                words = known.among(_blank(text, base_spans(text)))
+                if not twice:
+                    counts.update(words)
+                elif words:
+                    seen.add(h)
+                    out["text_hash"].append(h)
+                    out["terms"].append(words)
+            out["term"] = out["n"] = [None] * len(out["terms"])
+            yield out
+            if len(counts) > most:
+                yield counted()
+                counts.clear()
+            if len(seen) > most:
+                seen.clear()
+        if counts:
+            yield counted()
+
+    rows = written(by_batch(hashed, "text_hash long, terms array<string>, term string, n long", run), "counted")
+    shared = rows.where("terms is not null").groupBy("text_hash").agg(F.first("terms").alias("terms"))
+    each = shared.select(F.explode("terms").alias("term"), F.lit(1).cast("long").alias("n"))
+    return rows.where("term is not null").select("term", "n").union(each).groupBy("term").agg(F.sum("n").alias("n_t"))
+
+
 def find(
     docs: DataFrame,
     window: int = 8,
@@ -171,9 +254,22 @@ def find(
     base (text of the pattern spans), spans array<struct<start, rank, kind, end, action>>
     of all spans and n_term."""
     pairs, terms, seen = disclosure(docs, window, min_contexts)
-    marks = docs.sparkSession.sparkContext.broadcast(bitmap(terms, "term"))
+    n_docs = docs.count()
+    content = F.log(F.greatest(F.lit(n_docs), F.col("n_c") + 1) / F.col("n_c"))
+    told = written(
+        pairs.join(term_counts(docs, terms), "term")
+        .withColumn(
+            "r", (content - F.log(F.greatest(F.col("n_t") / F.col("n_ct"), F.lit(1.0)))) / content
+        )
+        .groupBy("term")
+        .agg(F.max("r").alias("r"))
+        .where(F.col("r") >= generalise),
+        "told",
+    )
+    marks = docs.sparkSession.sparkContext.broadcast(bitmap(told, "term"))
 
     def run(batches):
+        known = _Terms(marks.value)
         for b in batches:
             out = {k: [] for k in ("doc_id", "text_hash", "n", "spans", "suspects")}
             for doc_id, text, h in zip(b["doc_id"], b["text"], b["text_hash"]):
@@ -187,7 +283,7 @@ def find(
                 out["spans"].append(
                     [{"start": s, "rank": k, "kind": KINDS[k], "end": e, "action": "mask"} for s, k, e in spans]
                 )
-                out["suspects"].append(_suspects(text, spans, marks.value))
+                out["suspects"].append(_suspects(text, spans, known))
             yield out
 
     span = "array<struct<start:int, rank:int, kind:string, end:int, action:string>>"
@@ -198,19 +294,7 @@ def find(
         run,
     ).withColumn("row", F.monotonically_increasing_id())
     found = written(found, "found")
-    n_docs = found.count()
-    hits = found.select("row", "text_hash", F.inline("suspects"))
-    n_t = hits.select("term", "text_hash").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    content = F.log(F.greatest(F.lit(n_docs), F.col("n_c") + 1) / F.col("n_c"))
-    told = (
-        pairs.join(n_t, "term")
-        .withColumn(
-            "r", (content - F.log(F.greatest(F.col("n_t") / F.col("n_ct"), F.lit(1.0)))) / content
-        )
-        .groupBy("term")
-        .agg(F.max("r").alias("r"))
-        .where(F.col("r") >= generalise)
-    )
+    hits = found.select("row", F.inline("suspects"))
     # A word may be as common as it likes: its rows are spread over some salts.
     told = told.withColumn("salt", F.explode(F.expr(f"sequence(0, {SALTS - 1})")))
     added = (
@@ -241,23 +325,16 @@ def find(
     return out
 
 
-def _suspects(text, spans, marks):
+def _suspects(text: str | None, spans: list[tuple[int, int, int]], known: _Terms) -> list[dict]:
+    """The places of the words that ``known`` has."""
     if not text:
         return []
     text = _blank(text, spans)
-    words = {w.lower() for w in _PART.findall(text)} | {w.lower() for w in _JOINED.findall(text)}
-    if not words:
-        return []
-    words = list(words)
-    slots = np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words))
-    hit = bits_set(marks, slots % (len(marks) * 8))
-    if not hit.any():
-        return []
-    wanted = {w for w, h in zip(words, hit) if h}
+    wanted = set(known.among(text))
     return [
         {"term": m[0].lower(), "start": m.start(), "end": m.end()}
         for words in (_PART, _JOINED)
-        for m in words.finditer(text)
+        for m in (words.finditer(text) if wanted else ())
         if m[0].lower() in wanted
     ]
 

@@ -137,6 +137,17 @@ def test_pii_words_of_any_kind(spark):
         assert word not in clean[100 * i + 50].text and word not in clean[100 * i].text
 
 
+def test_pii_words_of_a_text():
+    """The quick way finds the words that the patterns find."""
+    known = pii._Terms(b"\xff" * 4096)
+    r = random.Random(12)
+    parts = ["a", "B7", "-", "_", "'", ".", " ", "\n", "\x1c", "é", "İ", "²", "中", "हि", "\U0001f101", "\U0001f600", "€", "\u200b", "x"]
+    for _ in range(4000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 20)))
+        want = {w.lower() for w in (*pii._PART.findall(text), *pii._JOINED.findall(text))}
+        assert set(known.among(text)) == want, text
+
+
 def brute_repeats(words):
     seen, out = {}, set()
     for i in range(len(words) - 7):

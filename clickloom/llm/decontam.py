@@ -1,4 +1,4 @@
-"""Benchmark passages in documents: windows, an index without misses, an exact check.
+"""Benchmark passages in documents: SimHash of windows, a multi-index, an exact check.
 
 Words are lower-cased (ASCII) and freed from ASCII punctuation.  For each item of n words
 the windows of n words of all documents are looked at.  A window and an item match when
@@ -7,11 +7,14 @@ minima over sum of maxima) of at least ``threshold``.
 
 A window can only match if enough of its shingles are shingles of items of its size.  Two
 bitmaps of fixed size tell, without false negatives, which are; windows below the
-threshold go no further.  The others and the items are put in the same order of their
-shingles, by hash (of a shingle that occurs again, the repeats count as others).  Of m
-shingles a match shares at least ``threshold`` * m, so that the first m * (1 -
-``threshold``) + 1 of a window and of an item it matches have one in common, and the join
-on (size, shingle) returns every match.  Equal windows are checked once, on their full
+threshold go no further.  The others and the items get a SimHash of 64 bits of their
+shingles (of a shingle that occurs again, the repeats count as others).  Lists with a
+similarity of 0.8 have a cosine of 0.889 at least, so each bit differs with probability
+0.15 at most, and more than ``RADIUS`` bits with 4e-4.  A multi-index finds all fingerprints
+within the radius: of the blocks of bits at least one differs in ``FLIPS`` bits or
+fewer, so each item is entered under all such values of each block, and a window is looked
+up under its own.  A pair within the radius is a row once, in its first such block.  Other
+thresholds than 0.8 have other miss rates.  Equal windows are checked once, on their full
 shingles.
 
 Items of fewer than five words cannot be told from ordinary prose and are ignored, as are
@@ -23,9 +26,10 @@ and item_id.  Empty tables give no matches.  Other columns are not read.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import (
@@ -40,6 +44,11 @@ from clickloom.llm.common import (
 
 SHINGLE = 5
 _SLOTS = 22
+#: (first bit, bits) of the blocks; with three flips for each, all within 5 * 4 - 1 are found.
+BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+FLIPS = 3
+RADIUS = len(BLOCKS) * (FLIPS + 1) - 1
+_ROWS = 4096
 _PLAIN = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)
 )
@@ -65,12 +74,24 @@ def _sized(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(hashes + np.uint64(size * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
 
 
-def leading(shingles: np.ndarray, threshold: float) -> np.ndarray:
-    """The first shingles by hash: of two lists that match, these have one in common."""
+def fingerprint(shingles: np.ndarray) -> int:
+    """The SimHash of a list of shingle hashes: each bit as most of them have it."""
     s = np.sort(shingles)
     again = (np.arange(len(s)) - np.searchsorted(s, s)).astype(np.uint64)
-    ordered = np.sort(mixed(s + again * np.uint64(0x9E3779B97F4A7C15)))
-    return ordered[: len(s) - int(np.ceil(threshold * len(s) - 1e-9)) + 1]
+    each = mixed(s + again * np.uint64(0x9E3779B97F4A7C15))
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(each), 1 << 16):
+        ones += np.unpackbits(each[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(each)).view(np.int64)[0])
+
+
+def _blocks(value: Column) -> list[Column]:
+    return [F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << n) - 1)) for at, n in BLOCKS]
+
+
+def flipped(bits: int) -> list[int]:
+    """All masks of ``bits`` bits with ``FLIPS`` ones at most."""
+    return [sum(1 << i for i in at) for k in range(FLIPS + 1) for at in combinations(range(bits), k)]
 
 
 def item_table(items: DataFrame) -> DataFrame:
@@ -147,6 +168,9 @@ def windows(docs: DataFrame, sizes: list[int], any_item: bytes, by_size: bytes,
                         out["start"].append(start)
                         out["end"].append(end)
                         out["words"].append(b" ".join(words[start:end]).decode())
+                        if len(out["words"]) == _ROWS:
+                            yield out
+                            out = {k: [] for k in out}
             yield out
 
     return by_batch(
@@ -156,22 +180,54 @@ def windows(docs: DataFrame, sizes: list[int], any_item: bytes, by_size: bytes,
     )
 
 
-def _index(df: DataFrame, name: str, threshold: float) -> DataFrame:
-    """(size, ``name``, shingle): the leading shingles of the words of each row."""
+def _fingerprints(df: DataFrame, name: str) -> DataFrame:
+    """(size, ``name``, fp): the fingerprint of the words of each row."""
 
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            out = {k: [] for k in ("size", name, "shingle")}
-            for size, key, words in zip(b["size"], b[name], b["words"]):
-                w = hashes.of(words.encode().split(b" "))
-                first = leading(shingle_hashes(w, SHINGLE), threshold).view(np.int64).tolist()
-                out["size"] += [size] * len(first)
-                out[name] += [key] * len(first)
-                out["shingle"] += first
-            yield out
+            fps = [
+                fingerprint(shingle_hashes(hashes.of(words.encode().split(b" ")), SHINGLE)) for words in b["words"]
+            ]
+            yield {"size": b["size"], name: b[name], "fp": fps}
+
+    return by_batch(df.select("size", name, "words"), f"size int, {name} long, fp long", run)
 
-    return by_batch(df.select("size", name, "words"), f"size int, {name} long, shingle long", run)
+
+def within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(size, window_key, item_key) of all pairs of one size whose fingerprints differ in
+    ``RADIUS`` bits or fewer, each once; ``windows`` are (size, window_key, fp) and
+    ``items`` (size, item_key, fp)."""
+
+    def entries(values):
+        return F.array(*[F.struct(F.lit(k).alias("block"), v.cast("int").alias("value")) for k, v in enumerate(values)])
+
+    own = windows.select("size", "window_key", "fp", F.inline(entries(_blocks(F.col("fp")))))
+    masks = {n: F.lit(np.array(flipped(n), np.int32)) for _, n in BLOCKS}
+    probes = items.withColumnRenamed("fp", "fp_item").select(
+        "size", "item_key", "fp_item", F.inline(entries(_blocks(F.col("fp_item"))))
+    )
+    probes = probes.select(
+        "size",
+        "item_key",
+        "fp_item",
+        "block",
+        F.explode(
+            F.transform(
+                F.when(F.col("block") < len(BLOCKS) - 1, masks[BLOCKS[0][1]]).otherwise(masks[BLOCKS[-1][1]]),
+                lambda m: F.col("value").bitwiseXOR(m),
+            )
+        ).alias("value"),
+    )
+    apart = F.col("fp").bitwiseXOR(F.col("fp_item"))
+    first = F.lit(True)
+    for k, near in enumerate(_blocks(apart)[:-1]):
+        first = first & ((F.col("block") <= k) | (F.bit_count(near) > FLIPS))
+    return (
+        own.join(probes, ["size", "block", "value"])
+        .where((F.bit_count(apart) <= RADIUS) & first)
+        .select("size", "window_key", "item_key")
+    )
 
 
 def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -185,10 +241,7 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFr
     different = found.select("size", "words").distinct().withColumn("window_key", F.xxhash64("words"))
     of_items = table.select("size", "item_key", "words").distinct()
     near = (
-        _index(different, "window_key", threshold)
-        .join(_index(of_items, "item_key", threshold), ["size", "shingle"])
-        .select("size", "window_key", "item_key")
-        .distinct()
+        within_radius(_fingerprints(different, "window_key"), _fingerprints(of_items, "item_key"))
         .join(different, ["size", "window_key"])
         .join(of_items.withColumnRenamed("words", "item"), ["size", "item_key"])
         .select("size", "words", "item")

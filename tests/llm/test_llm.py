@@ -408,6 +408,37 @@ def test_decontamination_finds_all_similar_windows(spark):
     assert {(r.doc_id, r.item_id): r.similarity for r in got.collect()} == want
 
 
+def test_decontamination_index_guarantees_its_radius(spark):
+    r = random.Random(9)
+    items = [(n, i, r.getrandbits(64) - 2**63) for n in (7, 8) for i in range(6)]
+    windows = []
+    for k in range(400):
+        n, _, fp = r.choice(items)
+        for bit in r.sample(range(64), r.choice([0, 5, 12, decontam.RADIUS, decontam.RADIUS + 1, 24])):
+            fp ^= 1 << bit if bit < 63 else -(2**63)
+        windows.append((n, k, fp))
+    got = decontam.within_radius(
+        spark.createDataFrame(windows, "size int, window_key long, fp long"),
+        spark.createDataFrame(items, "size int, item_key long, fp long"),
+    )
+    want = [
+        (n, k, i)
+        for n, k, a in windows
+        for m, i, b in items
+        if n == m and ((a ^ b) & (2**64 - 1)).bit_count() <= decontam.RADIUS
+    ]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_decontamination_windows_come_in_bounded_batches(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "_ROWS", 3)
+    words = prose("long item", 30).split()
+    text = " ".join(words * 200)
+    item = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = decontam.matches(spark.createDataFrame([(1, text)], "doc_id long, text string"), item).collect()
+    assert [(g.doc_id, g.start, g.end, g.similarity) for g in got] == [(1, 0, 30, 1.0)]
+
+
 def test_decontamination_finds_passages_at_the_threshold(spark):
     """A passage cut off at the end of a document has one window, just similar enough."""
     items, rows = [], []

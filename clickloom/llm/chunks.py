@@ -20,7 +20,7 @@ empty table.  Other columns are passed on, but for those of the added names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import released, written
@@ -49,17 +49,15 @@ def _least(filled: Column, min_lines: int, min_chars: int, back: bool) -> Column
         filled,
         zero,
         step,
-        lambda s: F.when(
-            s["done"],
-            F.struct(
-                F.least(s["first"], s["last"]).alias("start"),
-                (F.greatest(s["first"], s["last"]) + 1).alias("end"),
-                s["chars"].alias("n_chars"),
-            ),
-        ),
+        lambda s: F.when(s["done"], _bounds(F.least(s["first"], s["last"]), F.greatest(s["first"], s["last"]) + 1)),
     )
 
 
+def _bounds(start: Column, end: Column) -> Column:
+    """Both as one number: equal numbers are found by hash, equal structs only pair by pair."""
+    return F.shiftleft(start.cast("long"), 32).bitwiseOR(end.cast("long"))
+
+
 def chunk_rows(docs: DataFrame, min_lines: int = 2, min_chars: int = 80, long_line: int = 50) -> DataFrame:
     """(doc_id, place, start, end, h, n_chars) of the chunks."""
     # Each line has a character and an end, so no chunk has more lines with text.
@@ -98,7 +96,7 @@ def chunk_rows(docs: DataFrame, min_lines: int = 2, min_chars: int = 80, long_li
             lambda x: (x["len"] > 2 * long_line)
             & F.get("_lines", x["at"]).rlike(rf"^\s*+(?:\S++\s++){{{long_line}}}\S"),
         ),
-        lambda x: F.struct(x["at"].alias("start"), (x["at"] + 1).alias("end"), x["len"].alias("n_chars")),
+        lambda x: _bounds(x["at"], x["at"] + 1),
     )
 
     def ahead(i, most):
@@ -111,17 +109,21 @@ def chunk_rows(docs: DataFrame, min_lines: int = 2, min_chars: int = 80, long_li
     # Nearly always the fewest lines do, so these are tried alone first.
     runs_on = F.transform("_filled", lambda x, i: F.coalesce(ahead(i, min_lines), ahead(i, most)))
     runs_up = F.transform("_filled", lambda x, i: F.coalesce(behind(i, min_lines), behind(i, most)))
-    every = F.array_distinct(F.filter(F.concat(runs_on, runs_up, long_lines), lambda c: c.isNotNull()))
-    hashed = F.transform(
-        every,
-        lambda c: F.struct(
-            c["start"].alias("start"),
-            c["end"].alias("end"),
-            F.xxhash64(F.slice("_hashes", c["start"] + 1, c["end"] - c["start"])).alias("h"),
-            c["n_chars"].alias("n_chars"),
-        ),
+    df = df.withColumn(
+        "_runs", F.array_distinct(F.filter(F.concat(runs_on, runs_up, long_lines), lambda c: c.isNotNull()))
     )
-    return df.select("doc_id", "place", F.inline(hashed))
+
+    def chunk(c):
+        start, end = F.shiftright(c, 32).cast("int"), c.bitwiseAND(F.lit(2**32 - 1)).cast("int")
+        lines = F.slice("_lines", start + 1, end - start)
+        return F.struct(
+            start.alias("start"),
+            end.alias("end"),
+            F.xxhash64(F.slice("_hashes", start + 1, end - start)).alias("h"),
+            F.aggregate(lines, F.lit(-1), lambda total, x: total + F.length(x) + 1).alias("n_chars"),
+        )
+
+    return df.select("doc_id", "place", F.inline(F.transform("_runs", chunk)))
 
 
 def repeated(docs: DataFrame, **cutting) -> DataFrame:
@@ -181,31 +183,23 @@ def repeated(docs: DataFrame, **cutting) -> DataFrame:
 def without_repeats(docs: DataFrame, **cutting) -> DataFrame:
     """``docs`` with ``text`` less its repeated chunks, and ``n_lines``, ``n_left`` (lines
     before and after) and ``removed``, the removed runs of lines as ``start-end``."""
-    doomed = repeated(docs, **cutting).groupBy("doc_id", "place").agg(
-        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__cl_runs")
+    # Runs may overlap: merge them first, so that each line is looked at once.
+    rows = Window.partitionBy("doc_id", "place").orderBy("start", "end")
+    before = rows.rowsBetween(Window.unboundedPreceding, -1)
+    doomed = (
+        repeated(docs, **cutting)
+        .withColumn("apart", F.coalesce(F.max("end").over(before) < F.col("start"), F.lit(True)).cast("int"))
+        .withColumn("run", F.sum("apart").over(rows.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc_id", "place", "run")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .groupBy("doc_id", "place")
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cl_runs"))
     )
     doomed = doomed.withColumnsRenamed({"doc_id": "__cl_id", "place": "__cl_place"})
     joined = docs.withColumn("__cl_hash", F.xxhash64("text")).join(
         doomed, (F.col("__cl_hash") == F.col("__cl_place")) & F.col("doc_id").eqNullSafe(F.col("__cl_id")), "left"
     )
     lines = F.split("text", "\n")
-    # Runs may overlap: merge them first, so that each line is looked at once.
-    merged = F.aggregate(
-        "__cl_runs",
-        F.expr("cast(array() as array<struct<start:int, end:int>>)"),
-        lambda out, r: F.when(
-            (F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] >= r["start"]),
-            F.concat(
-                F.slice(out, 1, F.size(out) - 1),
-                F.array(
-                    F.struct(
-                        F.try_element_at(out, F.lit(-1))["start"].alias("start"),
-                        F.greatest(F.try_element_at(out, F.lit(-1))["end"], r["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(out, F.array(r))),
-    )
     gaps = F.zip_with(
         F.concat(F.array(F.lit(0)), F.transform("__cl_runs", lambda r: r["end"])),
         F.concat(F.transform("__cl_runs", lambda r: r["start"]), F.array(F.size("__cl_lines"))),
@@ -213,8 +207,7 @@ def without_repeats(docs: DataFrame, **cutting) -> DataFrame:
     )
     kept = F.flatten(gaps)
     return (
-        joined.withColumn("__cl_runs", F.when(F.col("__cl_runs").isNotNull(), merged))
-        .withColumn("__cl_lines", F.when(F.col("__cl_runs").isNotNull(), lines))
+        joined.withColumn("__cl_lines", F.when(F.col("__cl_runs").isNotNull(), lines))
         .withColumn("__cl_kept", F.when(F.col("__cl_runs").isNotNull(), kept))
         .withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)))
         .withColumn("n_left", F.when(F.col("__cl_runs").isNotNull(), F.size("__cl_kept")).otherwise(F.col("n_lines")))

@@ -296,6 +296,19 @@ def test_chunks_find_every_shared_passage(spark):
         assert {i for a, b in runs for i in range(a, b)} == want[d], d
 
 
+def test_chunks_of_a_text_of_very_many_lines(spark):
+    """Ninety thousand lines, nearly all of them bounds of runs, come out whole."""
+    other = [f"line {i} of a long text, with words enough to be a passage" for i in range(60_000)]
+    shared = [f"shared line {i} that both of the documents have, word for word" for i in range(30_000)]
+    rows = [(1, "\n".join(shared)), (2, "\n".join(other[:30_000] + shared + other[30_000:]))]
+    got = chunks.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_lines, r.n_left, r.removed) for r in got} == {
+        1: (30_000, 30_000, ""),
+        2: (90_000, 60_000, "30000-60000"),
+    }
+    assert next(r.text for r in got if r.doc_id == 2) == "\n".join(other)
+
+
 def test_chunks_keep_the_first_of_lines_repeated_in_a_text(spark):
     rows = [(1, "\n".join(["the same line of words again and again and again"] * 9))]
     assert chunks.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).first().removed == "2-9"

@@ -8,15 +8,16 @@ in one pair of a hundred.
 
 Texts with equal shingle sets form one class, and only classes are compared.  A
 collection value that no other class has is dropped before keys are formed.  In a table
-bucket, each round compares some pivots with the classes not yet in their component;
-verified links are joined into components between the rounds, so a bucket of thousands
-of near copies costs one comparison each.  After the first round the shingles that only
-one of the classes left has are counted; with the parity of the sets in 512 hash groups
-they bound what two sets can have in common, and most pairs of one family fall away
-unread.  Small rests (``small`` or fewer) are then
-compared with each other where their components still differ, larger ones get more
-pivots in the next round, until no bucket has two components with an untested pair:
-every pair that shares a bucket is in one component, or cannot be similar enough by its
+bucket, the first round compares the smallest class with the others; verified links are
+joined into components, here and after every round, so a bucket of thousands of near copies
+costs one comparison each.  Later rounds go by the collection values: a near copy has up to
+18 of them, but up to 153 buckets, and two classes share a bucket if they share two values.
+The shingles that only one of the classes left has are counted; with the parity of the sets
+in 512 hash groups they bound what two sets can have in common, and most pairs of one family
+fall away unread.  The classes of a value, if ``small`` or fewer, are then compared with each
+other where their components differ; of more, some outside the largest component are
+pivots and compared with all others in each round, until no value has two components with
+an untested pair: every pair that shares a bucket is in one component, or cannot be similar enough by its
 sets' sizes, parities and unshared shingles, or was compared on its full sets of words.  No group
 meets in one task, and nothing is collected.
 
@@ -101,28 +102,49 @@ def signatures(docs: DataFrame, collections: int = COLLECTIONS, rows: int = ROWS
     )
 
 
-def buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, class, n_shingles, a, size_a) of the table buckets with two classes or more;
-    ``a`` is the smallest class of the bucket.  Of buckets with the same classes, as near
-    copies have in most tables, one stays."""
+def collisions(classes: DataFrame) -> DataFrame:
+    """(class, n_shingles, u): the values of collections, as sorted hashes, that a second class
+    has; of classes with two or more, without which there is no table key."""
     u = classes.select("class", "n_shingles", F.posexplode("u").alias("i", "value"))
-    shared = u.groupBy("i", "value").agg(F.count("*").alias("n")).where("n > 1").select("i", "value")
-    some = (
-        u.join(shared, ["i", "value"])
+    u = u.select("class", "n_shingles", F.xxhash64("i", "value").alias("value"))
+    shared = u.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value")
+    return (
+        u.join(shared, "value")
         .groupBy("class", "n_shingles")
-        .agg(F.sort_array(F.collect_list(F.struct("i", "value"))).alias("u"))
+        .agg(F.sort_array(F.collect_list("value")).alias("u"))
         .where(F.size("u") > 1)
     )
+
+
+def collision_rows(classes: DataFrame) -> DataFrame:
+    """(value, class) of the collection values that two of ``classes`` (class, u) have.  Of
+    values with the same classes one stays."""
+    rows = classes.select("class", F.explode("u").alias("value"))
+    held = (
+        rows.groupBy("value")
+        .agg(
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("class")).alias("x"),
+            F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"),
+        )
+        .where("n > 1")
+        .groupBy("n", "x", "y")
+        .agg(F.min("value").alias("value"))
+        .select("value")
+    )
+    return rows.join(held, "value")
+
+
+def buckets(classes: DataFrame) -> DataFrame:
+    """(bucket, class, n_shingles, a, size_a) of the table buckets with two classes or more,
+    from ``collisions``; ``a`` is the smallest class of the bucket.  Of buckets with the same
+    classes, as near copies have in most tables, one stays."""
     pairs = F.flatten(
         F.transform(
-            "u",
-            lambda x, i: F.transform(
-                F.slice("u", i + 2, F.size("u")),
-                lambda y: F.xxhash64(x["i"], x["value"], y["i"], y["value"]),
-            ),
+            "u", lambda x, i: F.transform(F.slice("u", i + 2, F.size("u")), lambda y: F.xxhash64(x, y))
         )
     )
-    keyed = written(some.select("class", "n_shingles", F.explode(pairs).alias("bucket")), "keys")
+    keyed = written(classes.select("class", "n_shingles", F.explode(pairs).alias("bucket")), "keys")
     held = (
         keyed.groupBy("bucket")
         .agg(
@@ -260,18 +282,28 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def open_rows(active: DataFrame, labels: DataFrame) -> DataFrame:
-    """``active`` (bucket, class) with ``labels`` and the bucket's size ``n``, of buckets
-    with classes of two labels or more."""
+    """``active`` (value, class) with ``labels``, the number ``n`` of classes of the value and
+    the label ``major`` that most of them have, of values with classes of two labels or more."""
     marked = active.join(labels, "class")
-    state = marked.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("label").alias("lowest"), F.max("label").alias("highest")
+    state = (
+        marked.groupBy("value", "label")
+        .agg(F.count("*").alias("n"))
+        .groupBy("value")
+        .agg(
+            F.sum("n").alias("n"),
+            F.count("*").alias("n_labels"),
+            F.max(F.struct("n", "label")).alias("most"),
+        )
+        .where("n_labels > 1")
+        .select("value", "n", F.col("most.label").alias("major"))
     )
-    return written(marked.join(state.where("lowest <> highest").select("bucket", "n"), "bucket"), "rest")
+    return written(marked.join(state, "value"), "rest")
 
 
 def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int = SHINGLE, small: int = 256) -> DataFrame:
     """(class, label) of the classes that share a bucket with another."""
-    met = buckets(classes)
+    collided = written(collisions(classes), "collisions")
+    met = buckets(collided)
     members = met.select("class", "n_shingles").distinct()
     texts = written(texts_of(docs, classes.select("class", "doc_id", "place").join(members, "class"), size), "texts")
     # First every bucket compares its smallest class with the others.  Sets of sizes too far
@@ -281,24 +313,32 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
     tested = written(others.where(alike).select("a", F.col("class").alias("b")).distinct(), "pairs")
     links = written(linked(tested, texts, percent, size), "links")
     labels = merged(members.select("class", F.col("class").alias("label"), "n_shingles"), links)
-    rest = open_rows(others.select("bucket", "class"), labels)
+    # From here on a class has a row for each of its collection values, not for each bucket:
+    # two classes share a bucket if they share two values.
+    held = collided.join(members.select("class"), "class", "left_semi").select("class", "u")
+    active = written(collision_rows(held), "active")
+    rest = open_rows(active, labels)
     # What is left has met in a bucket, but is seldom similar enough.  Two sets have no more in
     # common than either has of shingles that occur in a second class of the rest, and each
     # hash group of other parity holds a shingle that only one of them has.
     alone = shared_counts(rest, texts, size)
     labels = written(
-        labels.join(alone, "class", "left").select(
+        labels.join(alone, "class", "left")
+        .select(
             "class", "label", "n_shingles", (F.col("n_shingles") - F.coalesce("n_alone", F.lit(0))).alias("n_shared")
-        ).join(classes.select("class", "parity"), "class"),
+        )
+        .join(classes.select("class", "parity"), "class")
+        .join(held, "class"),
         "labels",
     )
     hopeful = f"n_shared * 100 >= n_shingles * {percent}"
-    active = rest.select("bucket", "class")
+    active = rest.select("value", "class")
     most = "least(n_shared, shared_a)"
     apart = " + ".join(f"bit_count(get(parity, {i}) ^ get(parity_a, {i}))" for i in range(PARITY // 64))
     alike = (
         f"{most} * 100 >= (n_shingles + size_a - {most}) * {percent}"
         f" and (n_shingles + size_a - ({apart})) * 100 >= (n_shingles + size_a + ({apart})) * {percent}"
+        " and size(array_intersect(u, u_a)) > 1"
     )
     named_a = {
         "class": "a",
@@ -306,25 +346,30 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         "n_shingles": "size_a",
         "n_shared": "shared_a",
         "parity": "parity_a",
+        "u": "u_a",
     }
     step = 1
     while True:
         rest = open_rows(active, labels.where(hopeful))
         if rest.limit(1).count() == 0:
-            released(rest), released(texts), released(met)
+            released(rest), released(texts), released(met), released(collided)
             return labels.select("class", "label")
         few, many = rest.where(F.col("n") <= small), rest.where(F.col("n") > small)
+        # Two classes of different labels are not both of the label that most have, so only
+        # the others need be pivots.
         part = F.pmod(F.xxhash64("class"), F.lit(64 ** min(step, 3)))
-        pivots = written(many.groupBy("bucket", part.alias("part")).agg(F.min("class").alias("a")), "pivots")
+        pivots = written(
+            many.where("label <> major").groupBy("value", part.alias("part")).agg(F.min("class").alias("a")), "pivots"
+        )
         first = pivots.join(labels.withColumnsRenamed(named_a), "a")
         from_pivots = (
-            many.join(first, "bucket")
+            many.join(first, "value")
             .where("label <> label_a")
             .where(alike)
             .select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b"))
         )
-        other = few.withColumnsRenamed(named_a).select("bucket", *named_a.values())
-        among = few.join(other, "bucket").where("a < class and label <> label_a").where(alike)
+        other = few.withColumnsRenamed(named_a).select("value", *named_a.values())
+        among = few.join(other, "value").where("a < class and label <> label_a").where(alike)
         among = among.select("a", F.col("class").alias("b"))
         pairs = from_pivots.union(among).distinct().join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -332,9 +377,9 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         tested = tested.union(pairs)
         if links.limit(1).count():
             labels = merged(labels, links)
-        # What was a pivot has met all others of its bucket.
+        # What was a pivot has met all others of its value.
         active = written(
-            many.join(pivots.withColumnRenamed("a", "class"), ["bucket", "class"], "left_anti").select("bucket", "class"),
+            many.join(pivots.withColumnRenamed("a", "class"), ["value", "class"], "left_anti").select("value", "class"),
             "active",
         )
         released(rest), released(pivots)

@@ -2,13 +2,14 @@
 
 A text is lower-cased, all but its letters become blanks, and its byte trigrams are
 hashed to ``DIMENSIONS`` counts.  Counts are damped by a square root, weighted by inverse
-document frequency and brought to length 1.  In training, the vectors of each language
-are clustered by cosine into up to ``clusters`` centroids.  A text gets the language of
+document frequency over all training rows and brought to length 1.  In training, the vectors
+of each language are clustered by cosine into up to ``clusters`` centroids, each of which
+has ``least_share`` of the language's sample or more.  A text gets the language of
 the centroid with the largest cosine, which is its score.  It is rejected when it is
 farther from that centroid than texts of the language are: below ``slack`` times the
 cosine that 99 % of the centroid's own training texts reach.
 
-Training reads a sample of at most ``sample`` labelled rows, the same number for each
+Centroids come from a sample of at most ``sample`` labelled rows, the same number for each
 language, chosen by a hash of the text; prediction reads all rows and whole texts and
 knows nothing but the text.
 
@@ -73,23 +74,52 @@ class Centroids:
         return best, np.clip(cosine[np.arange(len(best)), best], 0, 1)
 
 
-def _clusters(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """Spherical k-means from the first row and then the farthest ones."""
-    mean = v.mean(0)
-    centres = [mean / (np.linalg.norm(mean) or 1)]
-    while len(centres) < min(k, len(v)):
-        near = (v @ np.array(centres).T).max(1)
-        centres.append(v[near.argmin()])
-    c = np.array(centres)
-    for _ in range(rounds):
-        own = (v @ c.T).argmax(1)
-        sums = np.array([v[own == i].sum(0) if (own == i).any() else c[i] for i in range(len(c))])
-        c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return c
+def _clusters(v: np.ndarray, k: int, least: float, rounds: int = 12) -> np.ndarray:
+    """Spherical k-means from rows drawn by their distance to those drawn before.  While a
+    centroid has less than the share ``least`` of the rows, the smallest one is given up and
+    its rows go to the others."""
+    draw = np.random.default_rng(len(v))
+    c = v[draw.integers(len(v))][None]
+    while len(c) < min(k, len(v)):
+        far = np.maximum(1 - (v @ c.T).max(1).astype(np.float64), 0)
+        if far.sum() < 1e-6:
+            break
+        c = np.concatenate([c, v[draw.choice(len(v), p=far / far.sum())][None]])
+    while True:
+        for _ in range(rounds):
+            own = (v @ c.T).argmax(1)
+            sums = np.array([v[own == i].sum(0) if (own == i).any() else c[i] for i in range(len(c))])
+            c = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        sizes = np.bincount((v @ c.T).argmax(1), minlength=len(c))
+        if len(c) == 1 or sizes.min() >= least * len(v):
+            return c
+        c = np.delete(c, sizes.argmin(), 0)
+
+
+def inverse_frequencies(labelled: DataFrame) -> np.ndarray:
+    """Inverse document frequency of each slot over all rows of ``labelled`` with a letter."""
 
-
-def fit(docs: DataFrame, sample: int = 1600, clusters: int = 4, slack: float = 0.5) -> Centroids | None:
-    """Centroids from a bounded sample of the labelled rows that are not held out."""
+    def run(batches):
+        total = np.zeros(DIMENSIONS + 1, np.int64)  # the last one counts the rows
+        for b in batches:
+            for text in b["text"]:
+                if _LETTER.search(text):
+                    total[:-1] += counts(text) > 0
+                    total[-1] += 1
+        yield {"slot": list(range(DIMENSIONS + 1)), "n": total.tolist()}
+
+    sums = by_batch(labelled.select("text"), "slot int, n long", run).groupBy("slot").agg(F.sum("n").alias("n"))
+    n = np.zeros(DIMENSIONS + 1)
+    for r in sums.collect():
+        n[r.slot] = r.n
+    return (np.log((1 + n[-1]) / (1 + n[:-1])) + 1).astype(np.float32)
+
+
+def fit(
+    docs: DataFrame, sample: int = 1600, clusters: int = 4, slack: float = 0.5, least_share: float = 0.05
+) -> Centroids | None:
+    """Centroids from a bounded sample of the labelled rows that are not held out, weights
+    from all of those rows."""
     labelled = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
     labelled = labelled.where(~held_out()).select("doc_id", "text", "lang")
     sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(sample).collect()}
@@ -117,7 +147,7 @@ def fit(docs: DataFrame, sample: int = 1600, clusters: int = 4, slack: float = 0
             for lang, text in zip(b["lang"], b["text"]):
                 if _LETTER.search(text):
                     out["lang"].append(lang)
-                    out["n"].append(np.minimum(counts(text), 65535).astype(np.uint16).tobytes())
+                    out["n"].append(counts(text).tobytes())
             yield out
 
     rows = by_batch(texts.select("lang", "text"), "lang string, n binary", run).collect()
@@ -125,15 +155,14 @@ def fit(docs: DataFrame, sample: int = 1600, clusters: int = 4, slack: float = 0
         return None
     # Sorted, so that the order in which tasks end changes nothing.
     rows = sorted((r.lang, bytes(r.n)) for r in rows)
-    n = np.array([np.frombuffer(x, np.uint16) for _, x in rows], np.float32)
+    n = np.array([np.frombuffer(x, np.float32) for _, x in rows])
     langs = np.array([x for x, _ in rows])
-    idf = np.log((1 + len(n)) / (1 + (n > 0).sum(0))).astype(np.float32) + 1
-    model = Centroids(idf, [], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0))
+    model = Centroids(inverse_frequencies(labelled), [], np.zeros((0, DIMENSIONS), np.float32), np.zeros(0))
     v = model.vectors(n)
     parts, least = [], []
     for name in sorted(set(langs)):
         own = v[langs == name]
-        c = _clusters(own, clusters)
+        c = _clusters(own, clusters, least_share)
         cosine = own @ c.T
         nearest = cosine.argmax(1)
         for i in range(len(c)):

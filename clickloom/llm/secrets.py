@@ -2,20 +2,24 @@
 
 Patterns find assigned passwords and tokens, access key ids and long hexadecimal strings.
 Other strings of ``SHORTEST`` letters, digits and ``+/_-`` or more are put through a
-battery under the encoding their characters allow (hexadecimal, base32, letters and
-digits, base64): a chi-squared test that the alphabet is used evenly, a runs test about
+battery under the encoding their characters allow (hexadecimal, small letters, base32,
+letters and digits, base64): a chi-squared test that the alphabet is used evenly, a runs test about
 the alphabet's middle and a test of the serial correlation of neighbours.  Fisher's
 method makes one p-value of the three: how irregular a truly random string would be as
 often as this one.  Prose fails the battery by far, and fails it the more surely the
 longer it is.
 
-What passes is held against false discoveries by length: strings of letters alone in the
-case of prose are known to be no secrets and serve as decoys.  For each encoding and
+What passes is held against false discoveries by length: strings of letters in the case of
+prose are known to be no secrets and serve as decoys; those of small letters alone only if
+their pairs of letters are as likely in the words of the corpus as among letters drawn
+evenly, or more so, for a random string of small letters is no prose.  The pairs are counted
+over all texts, outside strings long enough to be secrets themselves.  For each encoding and
 length class, each different string counted once over the whole corpus, the lowest threshold of p is taken at which
 decoys passing are at most ``fdr`` of all that pass; where no threshold does, nothing of
 that class is reported.
 
-One pass reads the texts; thresholds come from a histogram of fixed size.
+One pass reads the texts for the pairs, one for the strings; pairs and the histogram that
+thresholds come from are of fixed size.
 
 Null and empty texts have no spans.  A null ``doc_id`` is kept.  Repeated rows get equal
 results, and repeated strings change no threshold.  An empty table gives an empty table.  Other
@@ -47,12 +51,17 @@ _PROSE = re.compile(r"[A-Za-z]?[a-z]+(?:[-/_][A-Za-z]?[a-z]+)*|[A-Z]+(?:[-/_][A-
 _UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ALPHABETS = {
     "hex": (_DIGITS + "abcdef", _DIGITS + "ABCDEF"),
+    "lower": (_LOWER,),
     "base32": (_UPPER + "234567",),
     "alnum": (_DIGITS + _UPPER + _LOWER,),
     "base64": (_UPPER + _LOWER + _DIGITS + "+/", _UPPER + _LOWER + _DIGITS + "-_"),
 }
 
 
+_NUMBER = np.array([_LOWER.find(chr(i).lower()) % 27 if i < 128 else 26 for i in range(256)])
+_IN_STRING = np.array([i < 128 and (chr(i).isalnum() or chr(i) in "+/_-") for i in range(256)], np.int8)
+
+
 def base_spans(text: str | None) -> list[tuple[int, int, int]]:
     """(start, number of the kind, end) of the pattern matches, sorted."""
     if not text:
@@ -105,7 +114,45 @@ def battery(s: str, alphabet: str) -> float:
     return math.exp(-half) * (1 + half + half * half / 2)
 
 
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
+def letter_pairs(text: str) -> np.ndarray:
+    """How often each pair of letters, in either case, stands in the text outside long strings."""
+    raw = np.frombuffer(text.encode(), np.uint8)
+    letter = _NUMBER[raw]
+    edges = np.flatnonzero(np.diff(_IN_STRING[raw], prepend=0, append=0))
+    starts, ends = edges[::2], edges[1::2]
+    for k in np.flatnonzero(ends - starts >= SHORTEST):
+        letter[starts[k] : ends[k]] = 26
+    both = (letter[:-1] < 26) & (letter[1:] < 26)
+    return np.bincount(letter[:-1][both] * 26 + letter[1:][both], minlength=26 * 26)
+
+
+def pair_scores(docs: DataFrame) -> np.ndarray:
+    """For each pair of letters, how many bits more likely the second is after the first in the
+    words of ``docs`` than among letters drawn evenly."""
+
+    def run(batches):
+        total = np.zeros(26 * 26, np.int64)
+        for b in batches:
+            for text in b["text"]:
+                total += letter_pairs(text)
+        yield {"pair": list(range(26 * 26)), "n": total.tolist()}
+
+    texts = docs.select("text").where("text is not null")
+    sums = by_batch(texts, "pair int, n long", run).groupBy("pair").agg(F.sum("n").alias("n"))
+    n = np.zeros(26 * 26)
+    for r in sums.collect():
+        n[r.pair] = r.n
+    n = n.reshape(26, 26)
+    return np.log2((n + 1) / (n.sum(1, keepdims=True) + 26) * 26).ravel()
+
+
+def wordlike(s: str, scores: np.ndarray) -> bool:
+    letter = _NUMBER[np.frombuffer(s.encode(), np.uint8)]
+    both = (letter[:-1] < 26) & (letter[1:] < 26)
+    return float(scores[letter[:-1][both] * 26 + letter[1:][both]].sum()) >= 0
+
+
+def candidates(text: str, spans: list[tuple[int, int, int]], scores: np.ndarray) -> list[dict]:
     """Strings for the battery outside the pattern matches, with their p-values."""
     import xxhash
 
@@ -129,7 +176,7 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
                 "id": xxhash.xxh3_64_intdigest(s) - (1 << 63),
                 "encoding": got[0],
                 "size": len(s).bit_length() * 2 + (len(s) >> (len(s).bit_length() - 2) & 1),
-                "decoy": bool(_PROSE.fullmatch(s)),
+                "decoy": bool(_PROSE.fullmatch(s)) and (not s.islower() or wordlike(s, scores)),
                 "p": battery(s, got[1]),
             }
         )
@@ -137,6 +184,8 @@ def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(pair_scores(docs))
+
     def run(batches):
         for b in batches:
             out = {"n": [], "base": [], "strings": []}
@@ -144,7 +193,7 @@ def scanned(docs: DataFrame) -> DataFrame:
                 spans = base_spans(text)
                 out["n"].append([sum(k == i for _, k, _ in spans) for i in range(len(KINDS))])
                 out["base"].append([{"start": s, "rank": k, "kind": KINDS[k], "end": e} for s, k, e in spans])
-                out["strings"].append(candidates(text, spans) if text else [])
+                out["strings"].append(candidates(text, spans, shared.value) if text else [])
             yield {"doc_id": b["doc_id"], "place": b["place"], **out}
 
     return by_batch(

@@ -386,6 +386,57 @@ def test_langid(spark, docs, empty):
     assert langid.predict(empty, model).count() == 0
 
 
+def test_langid_against_brute_force(spark):
+    letters = {"aa": "abcde", "bb": "fghij", "cc": "deklmno"}
+    rows = [(i, prose(i, 25 + i % 9, letters[x]).title() + f", {i}!", x) for i, x in enumerate(list(letters) * 30)]
+    rows += [(200 + i, prose(f"t{i}", 30, "pqrst"), "aa") for i in range(15)]  # a second kind of one language
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(table)
+
+    def trigrams(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        raw, out = f" {' '.join(words)} ".encode(), {}
+        for k in range(len(raw) - 2):
+            slot = int.from_bytes(raw[k : k + 3], "big") * 2654435761 % 2**32 >> 20
+            out[slot] = out.get(slot, 0) + 1
+        return out
+
+    held = {i: zlib.crc32(str(i).encode()) % 4 == 2 for i, _, _ in rows}
+    train = [set(trigrams(t)) for i, t, _ in rows if not held[i]]
+
+    def vector(text):
+        v = {k: n**0.5 * (np.log((1 + len(train)) / (1 + sum(k in t for t in train))) + 1) for k, n in trigrams(text).items()}
+        norm = sum(x * x for x in v.values()) ** 0.5
+        return {k: x / norm for k, x in v.items()}
+
+    got, nearest = by_id(langid.predict(table, model)), []
+    for i, text, lang in rows:
+        v = vector(text)
+        cosines = [sum(x * row[k] for k, x in v.items()) for row in model.matrix]
+        best = int(np.argmax(cosines))
+        assert got[i].lang_pred == model.languages[best] == lang and abs(got[i].score - cosines[best]) < 1e-5
+        assert got[i].held_out == held[i] and got[i].rejected == bool(cosines[best] < model.least[best])
+        nearest += [best] * (not held[i])
+    sizes = np.bincount(nearest, minlength=len(model.languages))
+    for name in letters:
+        own = [n for n, x in zip(sizes, model.languages) if x == name]
+        assert 1 <= len(own) <= 4 and min(own) >= 0.04 * sum(own)
+    kinds = {np.argmax([sum(x * row[k] for k, x in vector(t).items()) for row in model.matrix]) for t in (rows[0][1], rows[-1][1])}
+    assert len(kinds) == 2
+
+
+def test_langid_gives_up_tiny_clusters():
+    r = np.random.default_rng(3)
+    v = np.abs(r.normal(0, 0.05, (200, 12)))
+    v[:110, 0] += 1
+    v[110:197, 1] += 1
+    v[197:, 7] += 1  # three odd rows, the farthest of all
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32)
+    c = langid._clusters(v, 4, 0.05)
+    assert np.bincount((v @ c.T).argmax(1), minlength=len(c)).min() >= 10 and len(c) > 1
+    assert len(langid._clusters(v[:1], 4, 0.05)) == len(langid._clusters(np.repeat(v[:1], 9, 0), 4, 0.05)) == 1
+
+
 def test_decontamination(spark, docs, empty):
     words = ITEM.split()
     words[20] = "other"
@@ -497,6 +548,50 @@ def test_secrets(spark, docs, empty):
     assert secrets.find(docs).count() == docs.count() and secrets.find(empty).count() == 0
 
 
+def test_secrets_against_brute_force(spark):
+    """Base spans by the plain patterns, on random strings of what the patterns are made of."""
+    r = random.Random(11)
+    parts = ["password", "API_key", "apikey", "Token", "secret", '"', "'", " ", "  ", ":", "=", "abc12/", "x.y-z_", "AKIA"]
+    parts += ["AKIAZ9", "ABCDEFGHIJKLMNOPQR", "0123456789abcdef", "deadbeef01", "\n", "é", "İ", "ſecret", "\u212aey"]
+    rows = [(i, "".join(r.choice(parts) for _ in range(r.randint(1, 40)))) for i in range(1500)] + [(1500, ""), (1501, None)]
+    found = by_id(secrets.digest(secrets.find(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assign = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    for i, text in rows:
+        text = text or ""
+        want = [
+            [m for m in re.finditer(assign, text) if len(m[1]) >= 6],
+            [m for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20],
+            [m for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24],
+        ]
+        spans = sorted((m.start(), k, m.end()) for k, ms in enumerate(want) for m in ms)
+        named = [f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans]
+        assert (found[i].n_assign, found[i].n_access, found[i].n_hex) == tuple(map(len, want))
+        assert found[i].base_sha256 == hashlib.sha256(",".join(named).encode()).hexdigest()
+        spans = [x for x in found[i].spans.split(",") if x]
+        assert [x for x in spans if not x.startswith("random:")] == named and len(spans) == len(named) + found[i].n_random
+
+
+def test_secrets_of_small_letters(spark):
+    """Random keys of small letters alone are reported, words run together are not."""
+    r = random.Random(12)
+    small = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"{prose(i, 60)} key {''.join(r.choice(small) for _ in range(32))} {prose(-i, 20)}") for i in range(200)]
+    rows += [(1000 + i, prose(f"a{i}", 30) + " " + "".join(prose(f"{i}-{k}", 1) for k in range(8)) + " end") for i in range(300)]
+    rows += [(2000 + i, "".join(r.choice(small) for _ in range(5)) + " " + rows[3][1].split(" key ")[1][:32]) for i in range(50)]
+    found = by_id(secrets.find(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sum(found[i].n_random for i in range(200)) >= 180
+    assert sum(found[1000 + i].n_random for i in range(300)) == 0
+
+
+def test_letter_pairs_leave_long_strings_out():
+    text = "Ab ba-c " + "q" * 20 + " zz" + "x" * 18 + "é" + "qz"
+    want = {}
+    for a, b in ("ab", "ba", "qz"):
+        want[(ord(a) - 97) * 26 + ord(b) - 97] = 1
+    got = secrets.letter_pairs(text)
+    assert {int(k): int(got[k]) for k in np.flatnonzero(got)} == want and secrets.letter_pairs("").sum() == 0
+
+
 def test_secrets_count_a_string_once(spark):
     """Copies of one decoy that looks random do not silence its class."""
     r = random.Random(7)

@@ -40,9 +40,9 @@ def constant(spark: SparkSession, rows: Iterable[Sequence], schema: str) -> Boun
 
 def at_most(df: DataFrame, rows: int) -> Bounded | DataFrame:
     """``df`` bounded by ``rows`` if it has no more; else ``df`` as it is, and a join then goes by
-    measured sizes.  The check is a job that reads ``rows`` + 1 rows of each task at most; ``df`` has to
+    measured sizes.  The check is a job that counts the rows in each task; ``df`` has to
     give the same rows when it is read again."""
-    if rows <= MOST_BROADCAST_ROWS and df.limit(rows + 1).count() <= rows:
+    if rows <= MOST_BROADCAST_ROWS and df.count() <= rows:
         return Bounded(df.limit(rows), rows)
     return df
 

@@ -51,6 +51,27 @@ def test_queries_run_the_join_they_name(spark, no_broadcast, name, operator):
     assert [j for j in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") if j in plan] == [operator]
 
 
+def test_broadcast_join_has_all_orders(spark, set_conf, tmp_path):
+    """Of 1,500 customers, and of more than are broadcast."""
+    small, large = "/root/testdata/sf0.01", str(tmp_path)
+    pairs = spark.read.parquet(f"{small}/orders.parquet").join(
+        spark.read.parquet(f"{small}/customer.parquet"), F.col("o_custkey") == F.col("c_custkey")
+    )
+    rows = pairs.selectExpr("o_custkey", "o_orderkey", "o_orderpriority", "c_name", "c_mktsegment").collect()
+    assert len(rows) == 15_000
+    made = all_queries()["join_broadcast"](spark, small)
+    assert Counter(map(tuple, made.collect())) == Counter(map(tuple, rows))
+
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    more = spark.read.parquet(f"{small}/customer.parquet").crossJoin(spark.range(140).withColumnRenamed("id", "by"))
+    more = more.withColumn("c_custkey", F.col("c_custkey") + 1500 * F.col("by")).drop("by")
+    more.write.parquet(f"{large}/customer.parquet")
+    spark.read.parquet(f"{small}/orders.parquet").write.parquet(f"{large}/orders.parquet")
+    made = all_queries()["join_broadcast"](spark, large)
+    assert "SortMergeJoin" in plan_of(made)
+    assert Counter(map(tuple, made.collect())) == Counter(map(tuple, rows))
+
+
 def test_broadcast_needs_a_proof(spark, no_broadcast, monkeypatch):
     a = spark.range(100).withColumnRenamed("id", "key")
     b = spark.range(50).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))

@@ -286,7 +286,8 @@ def udf_over_list_sql(spark, d):
     grouped.register_fold(spark, "count_urgent", _count_urgent, "o_custkey bigint", "n bigint")
     t.table(spark, d, "orders").createOrReplaceTempView("orders_udf")
     return spark.sql(
-        "SELECT * FROM count_urgent(TABLE(SELECT o_custkey, o_orderpriority FROM orders_udf) PARTITION BY o_custkey)"
+        "SELECT * FROM count_urgent(TABLE(SELECT o_custkey, o_orderpriority FROM orders_udf) "
+        "PARTITION BY pmod(hash(o_custkey), 4096) ORDER BY o_custkey)"
     )
 
 

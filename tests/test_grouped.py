@@ -1,5 +1,7 @@
 """Python functions over all values of a key."""
 
+from types import SimpleNamespace
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -99,6 +101,42 @@ def test_fold_in_sql(spark, tiny_batches):
     assert rows(got) == [(1, 50), (2, 50), (3, None), (None, 50)]
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 500])
+def test_fold_in_sql_over_buckets_of_keys(spark, tiny_batches, buckets):
+    """Many keys in one call: as many results as keys, also of keys that go on over batches."""
+    long = [(k, v) for k in (1, 2, None) for v in range(50, 20, -1)]
+    df = spark.createDataFrame([*long, (3, None), *[(k, k) for k in range(100, 400)]], "k bigint, v bigint")
+    df.repartition(4).createOrReplaceTempView("to_fold")
+    grouped.register_fold(spark, "text_of", lambda values: ",".join(map(str, values)), "k bigint", "t string")
+    got = spark.sql(
+        f"SELECT * FROM text_of(TABLE(SELECT k, v FROM to_fold) PARTITION BY pmod(hash(k), {buckets}) ORDER BY (k, v DESC))"
+    )
+    all_of_it = ",".join(map(str, range(50, 20, -1)))
+    want = [(1, all_of_it), (2, all_of_it), (None, all_of_it), (3, ""), *[(k, str(k)) for k in range(100, 400)]]
+    assert rows(got) == rows_of(want)
+    grouped.register_fold(spark, "first_of", lambda v: next(v, None), "k bigint", "f bigint")
+    got = spark.sql(
+        f"SELECT * FROM first_of(TABLE(SELECT k, v FROM to_fold) PARTITION BY pmod(hash(k), {buckets}) ORDER BY (k, v))"
+    )
+    assert rows(got) == rows_of([(1, 21), (2, 21), (None, 21), (3, None), *[(k, k) for k in range(100, 400)]])
+
+
+def test_a_key_within_a_batch_starts_no_thread(monkeypatch):
+    """Nor does it make a batch of results of its own."""
+    made = {}
+
+    class Session:
+        udtf = SimpleNamespace(register=lambda name, f: made.update({name: f.func}))
+
+    monkeypatch.setattr(grouped, "_Pushed", None)
+    grouped.register_fold(Session, "total", sum, "k bigint", "n bigint")
+    over = made["total"]()
+    batch = pa.RecordBatch.from_pydict({"k": [1, 1, 2, 3, 3, 3], "v": [1, 2, 3, 4, None, 6]})
+    assert list(over.eval(batch)) == []
+    (table,) = over.terminate()
+    assert table.to_pydict() == {"k": [1, 2, 3], "n": [3, 3, 10]}
+
+
 def test_errors_come_through(spark):
     def broken(values):
         raise ValueError("not this one")

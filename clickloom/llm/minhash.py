@@ -304,19 +304,29 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
     """(class, label) of the classes that share a bucket with another."""
     collided = written(collisions(classes), "collisions")
     met = buckets(collided)
-    members = met.select("class", "n_shingles").distinct()
-    texts = written(texts_of(docs, classes.select("class", "doc_id", "place").join(members, "class"), size), "texts")
+    # All that is known of a class that shares a bucket; dealt out by class once.
+    members = written(
+        classes.select("class", "n_shingles", "parity", "doc_id", "place")
+        .join(collided.select("class", "u"), "class")
+        .join(met.select("class").distinct(), "class", "left_semi"),
+        "members",
+    )
+    released(collided)
+    texts = written(texts_of(docs, members.select("class", "doc_id", "place"), size), "texts")
     # First every bucket compares its smallest class with the others.  Sets of sizes too far
     # apart cannot be similar enough.
     others = met.where("a <> class")
     alike = f"least(n_shingles, size_a) * 100 >= greatest(n_shingles, size_a) * {percent}"
     tested = written(others.where(alike).select("a", F.col("class").alias("b")).distinct(), "pairs")
+    released(met)
     links = written(linked(tested, texts, percent, size), "links")
-    labels = merged(members.select("class", F.col("class").alias("label"), "n_shingles"), links)
+    # Each class is its own label so far, so that the links are between labels.
+    first = components(links).select(F.col("node").alias("class"), "label")
+    labels = members.select("class", "n_shingles").join(first, "class", "left")
+    labels = written(labels.select("class", F.coalesce("label", "class").alias("label"), "n_shingles"), "labels")
     # From here on a class has a row for each of its collection values, not for each bucket:
     # two classes share a bucket if they share two values.
-    held = collided.join(members.select("class"), "class", "left_semi").select("class", "u")
-    active = written(collision_rows(held), "active")
+    active = written(collision_rows(members.select("class", "u")), "active")
     rest = open_rows(active, labels)
     # What is left has met in a bucket, but is seldom similar enough.  Two sets have no more in
     # common than either has of shingles that occur in a second class of the rest, and each
@@ -327,8 +337,7 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         .select(
             "class", "label", "n_shingles", (F.col("n_shingles") - F.coalesce("n_alone", F.lit(0))).alias("n_shared")
         )
-        .join(classes.select("class", "parity"), "class")
-        .join(held, "class"),
+        .join(members.select("class", "parity", "u"), "class"),
         "labels",
     )
     hopeful = f"n_shared * 100 >= n_shingles * {percent}"
@@ -352,7 +361,7 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
     while True:
         rest = open_rows(active, labels.where(hopeful))
         if rest.limit(1).count() == 0:
-            released(rest), released(texts), released(met), released(collided)
+            released(rest), released(texts), released(members)
             return labels.select("class", "label")
         few, many = rest.where(F.col("n") <= small), rest.where(F.col("n") > small)
         # Two classes of different labels are not both of the label that most have, so only

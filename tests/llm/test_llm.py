@@ -214,6 +214,23 @@ def test_minhash(spark, docs, empty):
     assert {0, 1, 13, 14} <= ids and not {8, 9} & ids
 
 
+def test_minhash_deals_classes_out_once(spark, many_chunks):
+    """The driver keeps something of each task, and exchanges have all tasks even for a few rows."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[i : i + 120] if i % 2 else words[i : i + 119] + ["x"]) for i in range(0, 40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    context = spark.sparkContext
+    context.setJobGroup("dealt", "dealt")
+    try:
+        assert minhash.near_duplicates(df, 80).count() == 40
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("dealt")]
+    stages = [tracker.getStageInfo(s) for j in jobs for s in j.stageIds]
+    assert sum(s.numTasks for s in stages if s) < 850
+
+
 def test_minhash_chain_and_hot_group(spark):
     """Near copies of near copies are one component, in groups of any size."""
     words = prose("chain", 200).split()

@@ -198,8 +198,8 @@ def register_fold(spark: SparkSession, name: str, fold: Fold, key: str, out: str
 
     ``SELECT * FROM name(TABLE(SELECT k, v FROM t) PARTITION BY k ORDER BY v)``
 
-    calls it for each key, which costs Spark about a millisecond.  Where keys are many, let it have those of a
-    bucket one after another:
+    calls it for each key, each time with a new object and a batch of results.  Where keys are many, let it have
+    those of a bucket one after another:
 
     ``SELECT * FROM name(TABLE(SELECT k, v FROM t) PARTITION BY pmod(hash(k), 4096) ORDER BY (k, v))``
 

@@ -13,6 +13,10 @@ A file set is a folder with ``codebook``, ``blocks`` (Parquet, ascending ids wit
 over the parts) and ``parts``, the number of ids before each part.  Only the vocabulary's
 counts reach the driver.
 
+Texts are encoded in runs of about ``RUN_CHARS`` characters.  The bounds of a run's pieces, as the
+vocabulary splits text, are found for all its bytes at once, and Arrow tells the pieces apart.  Each
+different piece goes to the library's model once and is kept; by position, the ids of the run follow.
+
 Null and empty texts are the end id alone.  Null ids come first, in one range; repeated
 ids lie next to each other in the order of their texts' hashes.  An empty table gives
 empty files, read as no rows.  Strings that the vocabulary adds as tokens of their own
@@ -22,10 +26,13 @@ are not read.
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,13 +43,66 @@ STRIDE = 128
 LONGEST = 16
 BLOCK_TOKENS = 1 << 18
 RANGE_TOKENS = 1 << 23
+RUN_CHARS = 1 << 22
+RUN_IDS = 1 << 20
+CALL_CHARS = 1 << 14
 
 # Words of these letters are split and lower-cased here as the vocabulary's own
 # normaliser does it; all others go through the library whole.
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įı-ſ]*")
-_PIECE = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įı-ſ]+|[0-9]|[^a-z0-9ß-öø-įı-ſ]+"
-)
+_END = 0xFF  # ends a text; no byte of UTF-8
+_SPACE, _LETTER, _DIGIT, _SIGN, _STOP, _ODD = range(6)
+
+
+def _kinds() -> np.ndarray:
+    """What each byte of UTF-8 is; letters from À to ſ begin with 0xC3 to 0xC5."""
+    kinds = np.full(256, _ODD, np.uint8)
+    kinds[0x21:0x7F] = _SIGN
+    kinds[list(b" \t\n\r\v\f")] = _SPACE
+    kinds[list(b"0123456789")] = _DIGIT
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = _LETTER
+    kinds[_END] = _STOP
+    return kinds
+
+
+_KINDS = _kinds()
+
+
+def pieces(data: bytes, short: bool = True) -> pa.Array:
+    """The pieces of texts, ``_END`` after each, white space dropped.  Letters from A to Z are small
+    then, except in words that hold a character beyond ``_PLAIN``, which are one piece each; all are
+    if not ``short``."""
+    own = np.frombuffer(data, np.uint8).copy()
+    kind = _KINDS[own]
+    odd = kind == _ODD
+    if short:
+        # × and ÷ are no letters, İ has no small letter of its own.
+        lead, next_ = own[:-1], own[1:]
+        odd[:-1] |= (lead == 0xC3) & ((next_ == 0x97) | (next_ == 0xB7)) | (lead == 0xC4) & (next_ == 0xB0)
+    else:
+        odd = (kind != _SPACE) & (kind != _STOP)
+    if odd.any():
+        word = np.cumsum((kind == _SPACE) | (kind == _STOP), dtype=np.int32)
+        beyond = np.zeros(word[-1] + 1, bool)
+        beyond[word[odd]] = True
+        kind[beyond[word] & (kind != _SPACE) & (kind != _STOP)] = _ODD
+    own[(own >= 0x41) & (own <= 0x5A) & (kind == _LETTER)] |= 0x20
+    new = (kind == _DIGIT) | (kind == _STOP)
+    new[0] = True
+    new[1:] |= kind[1:] != kind[:-1]
+    # 's 't 'm 'd 're 've 'll where a run of signs would begin
+    at = np.flatnonzero((own == ord("'")) & (kind == _SIGN) & new)
+    one, two = own[at + 1], own.take(at + 2, mode="clip")
+    single = np.isin(one, list(b"stmd"))
+    double = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    new[at[single | double] + 1] = False
+    new[at[single] + 2] = True
+    new[at[double] + 3] = True
+    kept = kind != _SPACE
+    own = own[kept]
+    starts = np.append(np.flatnonzero(new[kept]), len(own)).astype(np.int64)
+    buffers = [None, pa.py_buffer(starts), pa.py_buffer(own)]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, buffers)
 
 
 @lru_cache(maxsize=1)
@@ -53,73 +113,122 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + next(other)) for b in range(256)]
 
 
+def runs(sizes: list[int], most: int) -> Iterator[slice]:
+    """Neighbours whose sizes come to ``most`` or just above it; a larger one ends its run."""
+    start, total = 0, 0
+    for i, n in enumerate(sizes):
+        total += n
+        if total >= most:
+            yield slice(start, i + 1)
+            start, total = i + 1, 0
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 class WordEncoder:
-    """Ids of whole texts, word by word: white space always parts ids in vocabularies
-    that drop it, so each different word is encoded once and kept.  ``most`` bounds the
-    words kept."""
+    """Ids of whole texts, piece by piece: white space always parts ids in vocabularies
+    that drop it, so each different piece of some texts is encoded once.  ``most`` bounds the
+    bytes of the pieces kept, but for those of the texts at hand."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 200 << 20):
         import json
 
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.library = Tokenizer.from_file(path)
         # Texts that hold one of the vocabulary's own added strings go through the library whole.
         added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.content]
         self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
-        self.model = self.library.model
-        self.letters = _byte_letters()
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.most = most
-        # The short cut holds for this normaliser and this split alone.
+        letters = _byte_letters()
+        self.letters = {b: x for b, x in enumerate(letters) if b != ord(" ")}
+        self.known: dict[bytes, bytes] = {}
+        self.most, self.held = most, 0
+        # The short cut holds for this normaliser and this split alone, and if the last id of a
+        # piece, and no other, is one of those that end a piece.
         with open(path) as f:
             parts = json.load(f)
         steps = [x["type"] for x in (parts.get("normalizer") or {}).get("normalizers", [])]
         split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         pattern = split[0].get("pattern", {}).get("Regex")
+        vocabulary, mark = self.library.get_vocab(), parts["model"].get("end_of_word_suffix")
+        top = max(vocabulary.values(), default=0)
         self.short = (
             steps == ["NFC", "Replace", "Lowercase"]
             and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
             and [x["type"] for x in split] == ["Split", "ByteLevel"]
+            and parts["model"]["type"] == "BPE"
+            and bool(mark)
+            and all(x in vocabulary and x + mark in vocabulary for x in letters)
         )
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            if len(self.pieces) > 2 * self.most:
-                self.pieces.clear()
-            letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-            known = np.array([t.id for t in self.model.tokenize(letters)], np.uint32).tobytes()
-            self.pieces[piece] = known
-        return known
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if self.short and _PLAIN.fullmatch(text):
-            return b"".join([self._piece(x) for x in _PIECE.findall(text.lower())])
-        return self._whole(text)
+        if self.short:
+            self.model = Tokenizer(self.library.model)
+            self.model.pre_tokenizer = WhitespaceSplit()
+            self.last = np.zeros(top + 1, bool)
+            self.last[[i for x, i in vocabulary.items() if x.endswith(mark)]] = True
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        got = []
+        for some in runs([len(x) for x in texts], CALL_CHARS):
+            for x in self.library.encode_batch_fast(texts[some], add_special_tokens=False):
+                got.append(np.array(x.ids, np.uint32).tobytes())
+        return got
+
+    def _plain(self, some: list[bytes]) -> list[bytes]:
+        """As ``_whole`` for each piece of plain words, by the library's model alone."""
+        out = []
+        for part in runs([len(x) for x in some], CALL_CHARS):
+            text = b" ".join(some[part]).decode().lower()
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(self.letters)
+            (got,) = self.model.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(got.ids, np.uint32)
+            ends, data = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist(), ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *ends], ends)]
+        if len(out) != len(some):
+            raise ValueError(f"{len(some)} pieces came back as {len(out)}")
+        return out
+
+    def _learn(self, some: list[bytes]) -> None:
+        """Keep the ids of pieces that differ."""
+        if self.held > self.most:
+            self.known.clear()
+            self.held = 0
+        plain, others = [], []
+        for x in some:
+            if x not in self.known:
+                (plain if self.short and _PLAIN.fullmatch(x.decode()) else others).append(x)
+        for new, ids in ((plain, self._plain(plain)), (others, self._whole([x.decode() for x in others]))):
+            self.known.update(zip(new, ids))
+            self.held += sum(map(len, new)) + sum(map(len, ids)) + 160 * len(new)
+
+    def encode_all(self, texts: list[str | None], end: bytes = b"") -> list[np.ndarray]:
+        """The ids of each text, and ``end`` after them, as little-endian 32-bit integers."""
+        if not texts:
+            return []
+        special = [i for i, x in enumerate(texts) if x and self.added and self.added.search(x)]
+        apart, stop = set(special), bytes([_END])
+        data = stop.join([b"" if x is None or i in apart else x.encode() for i, x in enumerate(texts)]) + stop
+        found = pieces(data, self.short).dictionary_encode()
+        different = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        last = different.index(stop)
+        self._learn(different[:last] + different[last + 1 :])
+        # The end is one more piece of each text; a text that goes whole is a piece of its own.
+        ids = [end if x == stop else self.known[x] for x in different]
+        at = found.indices.to_numpy().copy()
+        ends = np.flatnonzero(at == last)
+        if special:
+            at[ends[special]] = np.arange(len(ids), len(ids) + len(special))
+            ids += [x + end for x in self._whole([texts[i] for i in special])]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        n = size[at]
+        after = np.cumsum(n)
+        where = np.repeat((np.cumsum(size) - size)[at] - (after - n), n)
+        where += np.arange(len(where))
+        return np.split(np.frombuffer(b"".join(ids), np.uint32)[where], after[ends[:-1]])
 
     def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        if self.added and self.added.search(text):
-            return self._whole(text)
-        words = text.encode().split()
-        known = self.words
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if len(known) > self.most:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self._word(w)
-            return b"".join(map(known.__getitem__, words))
+        return self.encode_all([text])[0].tobytes()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -128,6 +237,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 def _encoder(path: str) -> WordEncoder:
     """One for each Python worker: what it keeps depends on the words alone."""
     if path not in _ENCODERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
 
@@ -152,21 +262,22 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """(doc_id, place, n_tokens, ids): ids as ``packed``."""
     end = np.array([end_id], np.uint32).tobytes()
 
-    def run(batches):
+    def encode(batches):
         encoder = _encoder(vocabulary)
         for b in batches:
-            ids = [np.frombuffer(encoder.encode(t) + end, np.uint32) for t in b["text"]]
-            yield {
-                "doc_id": b["doc_id"],
-                "place": b["place"],
-                "n_tokens": [len(x) for x in ids],
-                "ids": [packed(x) for x in ids],
-            }
+            for run in runs([len(t or "") for t in b["text"]], RUN_CHARS):
+                ids = encoder.encode_all(b["text"][run], end)
+                yield {
+                    "doc_id": b["doc_id"][run],
+                    "place": b["place"][run],
+                    "n_tokens": [len(x) for x in ids],
+                    "ids": [packed(x) for x in ids],
+                }
 
     return by_batch(
         docs.select("doc_id", "text", F.xxhash64("text").alias("place")),
         "doc_id long, place long, n_tokens long, ids binary",
-        run,
+        encode,
     )
 
 
@@ -203,22 +314,21 @@ class Codebook:
 
     def __init__(self, lengths: dict[int, int], longest: int = LONGEST):
         self.longest = longest
-        ids = sorted(lengths, key=lambda i: (lengths[i], i))
+        ids = np.fromiter(lengths, np.int64, len(lengths))
+        n = np.fromiter(lengths.values(), np.int64, len(lengths))
+        order = np.lexsort((ids, n))
+        ids, n = ids[order], n[order]
         top = max(lengths, default=0) + 1
         self.bits = np.zeros(top, np.uint64)
         self.code = np.zeros(top, np.uint64)
         self.symbol = np.zeros(1 << longest, np.uint32)
         self.step = np.zeros(1 << longest, np.int64)
-        code, before = 0, 0
-        for i in ids:
-            n = lengths[i]
-            code <<= n - before
-            before = n
-            self.bits[i], self.code[i] = n, code
-            low = code << (longest - n)
-            self.symbol[low : low + (1 << (longest - n))] = i
-            self.step[low : low + (1 << (longest - n))] = n
-            code += 1
+        # A code of n bits takes all look-ups that begin with it.
+        room = np.int64(1) << (longest - n)
+        low = np.cumsum(room) - room
+        self.bits[ids], self.code[ids] = n, low >> (longest - n)
+        self.symbol[: room.sum()] = np.repeat(ids, room)
+        self.step[: room.sum()] = np.repeat(n, room)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bits, highest first, and the bit offset of every ``STRIDE``-th id."""
@@ -260,8 +370,8 @@ def _id_counts(ids: DataFrame) -> dict[int, int]:
     def run(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b["ids"]:
-                got = np.bincount(unpacked(x))
+            for some in runs([len(x) for x in b["ids"]], RUN_IDS):
+                got = np.bincount(np.concatenate([unpacked(x) for x in b["ids"][some]]))
                 if len(got) > len(total):
                     got[: len(total)] += total
                     total = got

@@ -366,6 +366,51 @@ def test_huffman_added_strings():
         assert list(struct.unpack(f"<{len(want)}I", own.encode(text))) == want, text
 
 
+def test_huffman_pieces():
+    """Texts together and alone, with every kind of character, as the library encodes them; few pieces kept."""
+    from tokenizers import Tokenizer
+
+    library, r = Tokenizer.from_file(WORD_BPE), random.Random(5)
+    parts = ["'s", "'S", "'re", "'LL", "'l", "'ve", "'m", "''", "'", "a", "Ab", "1", "½", "É", "ß", "İ", "ı", "ĸ", "Ÿ", "ŉ", "×", "÷"]
+    parts += [".", "“", "—", "J\u030c", "\u0301", "Σ", "中文", "\x1c", "\x85", "\xa0", "\0", "\x7f", " ", "\t", "\n", "<|endoftext|>"]
+    some = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(6000)]
+    some += [None, " \n", *(f"Ab{chr(i)}Cd 'S{chr(i)}t" for i in range(0x21, 0x2100)), "", None]
+    want = [library.encode(x or "", add_special_tokens=False).ids + [2] for x in some]
+    for short, most in ((True, 1 << 20), (True, 0), (False, 0)):
+        own = huffman.WordEncoder(WORD_BPE, most)
+        assert own.short
+        own.short = short
+        got = [x.tolist() for part in huffman.runs([len(x or "") for x in some], 5000) for x in own.encode_all(some[part], b"\2\0\0\0")]
+        assert got == want
+    assert own.encode_all([]) == [] and own.encode(None) == b""
+    assert [(x.start, x.stop) for x in huffman.runs([3, 0, 9, 1, 1], 4)] == [(0, 3), (3, 5)] and not [*huffman.runs([], 4)]
+
+
+def test_huffman_calls():
+    """Different words cost no Python calls of their own, only different pieces do; nor do the ids of a codebook."""
+    import sys
+
+    def calls(f):
+        n = 0
+
+        def count(_, event, __):
+            nonlocal n
+            n += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            f()
+        finally:
+            sys.setprofile(None)
+        return n
+
+    own, stems = huffman.WordEncoder(WORD_BPE), ["".join(x) for x in zip("abcdefghijklmnopqrst", "etaoinshrdluetaoinsh")]
+    text = " ".join(f"{a}.{b},{c}" for a in stems for b in stems for c in stems)
+    assert calls(lambda: own.encode(text)) < 1000
+    lengths = huffman.code_lengths({i: 1 + i % 9 for i in range(20_000)})
+    assert calls(lambda: huffman.Codebook(lengths)) < 1000
+
+
 def test_huffman_files(spark, docs, empty, tmp_path):
     from tokenizers import Tokenizer
 

@@ -32,7 +32,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -151,12 +151,13 @@ def buckets(classes: DataFrame) -> DataFrame:
             F.count("*").alias("n"),
             F.bit_xor(F.xxhash64("class")).alias("x"),
             F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"),
-            F.min(F.struct("class", "n_shingles")).alias("first"),
+            F.min("class").alias("a"),
+            F.min_by("n_shingles", "class").alias("size_a"),
         )
         .where("n > 1")
         .groupBy("n", "x", "y")
-        .agg(F.min(F.struct("bucket", "first")).alias("one"))
-        .select("one.bucket", F.col("one.first.class").alias("a"), F.col("one.first.n_shingles").alias("size_a"))
+        .agg(F.min("bucket").alias("one"), F.min_by("a", "bucket").alias("a"), F.min_by("size_a", "bucket").alias("size_a"))
+        .select(F.col("one").alias("bucket"), "a", "size_a")
     )
     out = written(keyed.join(held, "bucket"), "buckets")
     released(keyed)
@@ -205,33 +206,37 @@ def linked(pairs: DataFrame, texts: DataFrame, percent: int, size: int = SHINGLE
 
     with_b = pairs.join(texts.withColumnsRenamed({"class": "b", "text": "text_b"}), "b")
     with_a = with_b.join(texts.withColumnsRenamed({"class": "a", "text": "text_a"}), "a")
-    return by_batch(with_a.select("a", "b", "text_a", "text_b"), "a binary, b binary", run)
+    return by_batch(with_a.select("a", "b", "text_a", "text_b"), "a long, b long", run)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label) with the smallest node that can be reached; ``edges`` are (a, b)."""
-    both = written(
-        edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges"
-    )
-    label = written(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")), "label"
-    )
+    """(node, label) with the smallest node that can be reached; ``edges`` are (a, b).
+
+    A label that an edge joins to a smaller one gives way to it at all of its nodes at once, so
+    that a round joins whole groups; labels do not wander edge by edge.  When nothing changes,
+    both ends of each edge have one label."""
+    edges = written(edges.select("a", "b"), "edges")
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node"), F.least("a", "b").alias("label"))
+    label = written(ends.groupBy("node").agg(F.min("label").alias("label")), "label")
     while True:
-        near = (
-            both.join(label, both.b == label.node)
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
-        lower = label.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        up = label.select(F.col("node").alias("label"), F.col("label").alias("top"))
-        now = written(
-            lower.join(up, "label").select("node", F.least("label", "top").alias("label"), "was"), "label"
+        x = label.select(F.col("node").alias("a"), F.col("label").alias("x"))
+        y = label.select(F.col("node").alias("b"), F.col("label").alias("y"))
+        low = (
+            edges.join(x, "a")
+            .join(y, "b")
+            .where("x <> y")
+            .groupBy(F.greatest("x", "y").alias("node"))
+            .agg(F.min(F.least("x", "y")).alias("low"))
         )
-        changed = now.where("label <> was").limit(1).count()
+        # Labels are nodes and have a label of their own.
+        top = label.join(low, "node", "left").select(F.col("node").alias("label"), F.least("label", "low").alias("top"))
+        seen = Observation()
+        now = label.join(top, "label").observe(seen, F.count_if(F.col("label") != F.col("top")).alias("changed"))
+        now = written(now.select("node", F.col("top").alias("label")), "label")
         released(label)
-        label = now.select("node", "label")
-        if not changed:
-            released(both)
+        label = now
+        if not seen.get["changed"]:
+            released(edges)
             return label
 
 
@@ -242,30 +247,23 @@ def shared_counts(classes: DataFrame, texts: DataFrame, size: int = SHINGLE) ->
     def run(batches):
         hashes = WordHashes()
         for b in batches:
-            out = {"high": [], "low": [], "shingles": []}
-            for name, text in zip(b["class"], b["text"]):
-                high, low = np.frombuffer(name, ">i8").tolist()
-                out["high"].append(high)
-                out["low"].append(low)
-                out["shingles"].append(np.unique(shingle_hashes(hashes.of(_words(text)), size)).view(np.int64))
-            yield out
+            sets = [np.unique(shingle_hashes(hashes.of(_words(text)), size)).view(np.int64) for text in b["text"]]
+            yield {"class": b["class"], "shingles": sets}
 
     sets = by_batch(
         texts.join(classes.select("class").distinct(), "class", "left_semi").select("class", "text"),
-        "high long, low long, shingles array<long>",
+        "class long, shingles array<long>",
         run,
     )
     # Of a single row, the exclusive or is the row's own value.
-    alone = (
-        sets.select("high", "low", F.explode("shingles").alias("shingle"))
+    return (
+        sets.select("class", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.bit_xor("high").alias("high"), F.bit_xor("low").alias("low"))
+        .agg(F.count("*").alias("n"), F.bit_xor("class").alias("class"))
         .where("n = 1")
-        .groupBy("high", "low")
+        .groupBy("class")
         .agg(F.count("*").alias("n_alone"))
     )
-    digits = F.concat(F.lpad(F.hex("high"), 16, "0"), F.lpad(F.hex("low"), 16, "0"))
-    return alone.select(F.unhex(digits).alias("class"), "n_alone")
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -292,10 +290,10 @@ def open_rows(active: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(
             F.sum("n").alias("n"),
             F.count("*").alias("n_labels"),
-            F.max(F.struct("n", "label")).alias("most"),
+            F.max_by("label", "n").alias("major"),
         )
         .where("n_labels > 1")
-        .select("value", "n", F.col("most.label").alias("major"))
+        .select("value", "n", "major")
     )
     return written(marked.join(state, "value"), "rest")
 
@@ -360,7 +358,7 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
     step = 1
     while True:
         rest = open_rows(active, labels.where(hopeful))
-        if rest.limit(1).count() == 0:
+        if rest.isEmpty():
             released(rest), released(texts), released(members)
             return labels.select("class", "label")
         few, many = rest.where(F.col("n") <= small), rest.where(F.col("n") > small)
@@ -384,7 +382,7 @@ def class_labels(docs: DataFrame, classes: DataFrame, percent: int, size: int =
         pairs = written(pairs, "pairs")
         links = written(linked(pairs, texts, percent, size), "links")
         tested = tested.union(pairs)
-        if links.limit(1).count():
+        if not links.isEmpty():
             labels = merged(labels, links)
         # What was a pivot has met all others of its value.
         active = written(
@@ -401,6 +399,8 @@ def near_duplicates(
     """(doc_id, place, n_shingles, component_id, kept) of each row; ``place`` is the
     64-bit hash of the text."""
     signed = written(signatures(docs, collections, rows, size), "signed")
+    # From here on a class goes by a number, fixed as it is written: half as wide as the
+    # fingerprint, and its least is found by hashing, without a sort.
     classes = written(
         signed.where("n_shingles > 0")
         .groupBy("class")
@@ -411,14 +411,14 @@ def near_duplicates(
             F.first("parity").alias("parity"),
             F.first("n_shingles").alias("n_shingles"),
         )
-        .select("class", "n_shingles", "parity", F.col("first.doc_id").alias("doc_id"), F.col("first.place").alias("place"), "least", "u"),
+        .select(F.col("class").alias("name"), F.monotonically_increasing_id().alias("class"), "n_shingles", "parity", F.col("first.doc_id").alias("doc_id"), F.col("first.place").alias("place"), "least", "u"),
         "classes",
     )
     labels = class_labels(docs, classes, percent, size)
-    named = classes.select("class", "least").join(labels, "class", "left")
+    named = classes.select("name", "class", "least").join(labels, "class", "left")
     named = named.withColumn("label", F.coalesce("label", "class"))
     low = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    per_class = written(named.join(low, "label").select("class", "component_id"), "components")
+    per_class = written(named.join(low, "label").select(F.col("name").alias("class"), "component_id"), "components")
     out = signed.join(per_class, "class", "left").select(
         "doc_id", "place", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -231,6 +231,49 @@ def test_minhash_deals_classes_out_once(spark, many_chunks):
     assert sum(s.numTasks for s in stages if s) < 850
 
 
+def test_components_join_whole_groups_in_a_round(spark):
+    """Labels give way to smaller ones at all their nodes at once, not edge by edge."""
+    r = random.Random(11)
+    ids = r.sample(range(10**12), 301)
+    star, path = [(900, i) for i in range(100)], list(zip(ids, ids[1:]))
+    edges = [*star, *path, (7_000, 7_000), *path[:50]]
+    groups = [[*range(100), 900], ids, [7_000]]
+    context = spark.sparkContext
+    context.setJobGroup("joined", "joined")
+    try:
+        label = minhash.components(spark.createDataFrame(edges, "a long, b long"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    got = sorted(map(tuple, label.select("node", "label").collect()))
+    assert got == sorted((x, min(g)) for g in groups for x in g)
+    assert len(context.statusTracker().getJobIdsForGroup("joined")) < 100
+
+
+def test_workers_give_memory_back():
+    from clickloom.llm.common import give_back
+
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    kept = [(bytes(100_000), bytes(1_000)) for _ in range(2_000)]
+    kept = [small for _, small in kept]
+    before = held()
+    give_back()
+    assert len(kept) == 2_000 and before - held() > 100_000_000
+
+
+def test_pipeline_has_one_python_node_in_a_task(spark):
+    """Each Python node of a task has a worker of its own."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, prose(f"t{i}", 30)) for i in range(20)], "doc_id long, text string")
+    rows = corpus_pipeline.tokenisation(spark, docs, "")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert {r.doc_id for r in rows.collect() if r.n_tokens} == set(range(20))
+
+
 def test_minhash_chain_and_hot_group(spark):
     """Near copies of near copies are one component, in groups of any size."""
     words = prose("chain", 200).split()
